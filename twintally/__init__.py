@@ -8,7 +8,6 @@ from twintally.operators import (
     row_count_check,
     rows_extra,
     rows_missing,
-    suspect_rows,
     windowed_row_count,
 )
 from twintally.plans import CheckSpec, check_outcome, run_checks, spec_from_mapping
@@ -33,6 +32,5 @@ __all__ = [
     "rows_missing",
     "run_checks",
     "spec_from_mapping",
-    "suspect_rows",
     "windowed_row_count",
 ]

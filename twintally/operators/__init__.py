@@ -6,7 +6,6 @@ from twintally.operators.content import (
     rows_extra,
     rows_missing,
     schemas_match,
-    suspect_rows,
 )
 from twintally.operators.counts import (
     CountCheck,
@@ -28,6 +27,5 @@ __all__ = [
     "rows_extra",
     "rows_missing",
     "schemas_match",
-    "suspect_rows",
     "windowed_row_count",
 ]

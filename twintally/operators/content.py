@@ -24,9 +24,7 @@ from twintally.operators.counts import count_rows, tally
 
 MODES = ("concat", "typed")
 
-# Enough that few differing rows leave most buckets equal, few enough that the
-# list of differing buckets stays within a few megabytes whatever the tables hold.
-DEFAULT_BUCKETS = 1 << 16
+# Bounds the broadcast list of differing buckets to a few megabytes.
 _MOST_BUCKETS = 1 << 20
 _BUCKET = "_twintally_bucket"
 
@@ -72,8 +70,9 @@ def content_check(
 
     ``columns`` compares a subset of the columns. ``multiset`` counts surplus
     copies of a row as differences. ``key="text"`` groups by the row text itself
-    in place of its digest. ``buckets`` first narrows both sides with
-    :func:`suspect_rows`, for tables expected to be nearly equal.
+    in place of its digest. ``buckets`` (concat mode) is for tables expected to be
+    nearly equal: it sets aside the hash buckets whose checksums agree before
+    anything is shuffled, at the price of a second scan; the answer is the same.
     """
     source, target = _only(source, columns), _only(target, columns)
     if key not in ("digest", "text"):
@@ -82,21 +81,13 @@ def content_check(
         unknown = F.lit(None).cast("bigint")
         counts = count_rows(source, target)
         return _verdict(counts, F.lit(False), unknown, unknown)
-    if buckets is None:
-        numbers = _difference_numbers(_grouped(source, target, mode, key), multiset)
-    else:
-        suspects = _grouped(*suspect_rows(source, target, mode=mode, buckets=buckets), mode, key)
-        differences = _difference_numbers(suspects, multiset).select(
-            F.lit(0).cast("bigint").alias("count_source"), F.lit(0).cast("bigint").alias("count_target"),
-            "missing", "extra",
-        )
-        totals = count_rows(source, target).select(
-            "count_source", "count_target",
-            F.lit(0).cast("bigint").alias("missing"), F.lit(0).cast("bigint").alias("extra"),
-        )
-        numbers = totals.unionAll(differences).agg(
-            *[F.sum(c).alias(c) for c in ("count_source", "count_target", "missing", "extra")]
-        )
+    numbers = _difference_numbers(_grouped(source, target, mode, key, buckets), multiset)
+    if buckets is not None:
+        # The rows left out count too; counting alone reads no column of a Parquet file.
+        none = F.lit(0).cast("bigint")
+        counts = count_rows(source, target).select("*", none.alias("missing"), none.alias("extra"))
+        differences = numbers.withColumns({"count_source": none, "count_target": none})
+        numbers = counts.unionByName(differences).agg(*[F.sum(c).alias(c) for c in counts.columns])
     return _verdict(numbers, F.lit(True), F.col("missing"), F.col("extra"))
 
 
@@ -113,14 +104,13 @@ def rows_missing(
 
     Column ``row`` (the text) in concat mode, the table's own columns in typed
     mode. ``multiset`` gives rows the source has more copies of, with the surplus
-    in a last column ``copies``. Raises :class:`SchemaMismatch` on unlike schemas.
+    in a last column ``copies``. ``buckets`` is that of :func:`content_check`.
+    Raises :class:`SchemaMismatch` on unlike schemas.
     """
     source, target = _only(source, columns), _only(target, columns)
     if not schemas_match(source, target, mode):
         raise SchemaMismatch(f"cannot compare {source.dtypes} with {target.dtypes}")
-    if buckets is not None:
-        source, target = suspect_rows(source, target, mode=mode, buckets=buckets)
-    grouped = _grouped(source, target, mode, "text")
+    grouped = _grouped(source, target, mode, "text", buckets)
     rows = ["row"] if mode == "concat" else ["row.*"]
     if multiset:
         return grouped.filter("s > t").select(*rows, (F.col("s") - F.col("t")).alias("copies"))
@@ -132,10 +122,8 @@ def rows_extra(source: DataFrame, target: DataFrame, **how: object) -> DataFrame
     return rows_missing(target, source, **how)
 
 
-def suspect_rows(
-    source: DataFrame, target: DataFrame, *, mode: str = "concat", buckets: int = DEFAULT_BUCKETS
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides without the rows that are proven to be equal.
+def _narrowed(source: DataFrame, target: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides' ``row`` texts without those that are proven to be on both.
 
     Rows fall into ``buckets`` by their SHA-256. Each task adds up the digests of
     each bucket, so at most ``buckets`` rows per task are shuffled, and a bucket
@@ -145,58 +133,66 @@ def suspect_rows(
     that agree. The list of differing buckets is broadcast: it has at most
     ``buckets`` rows, whatever the size of the tables.
     """
-    if mode != "concat":
-        raise ValueError("rows can be narrowed in concat mode only")
-    if not 0 < buckets <= _MOST_BUCKETS:
-        raise ValueError(f"buckets must be between 1 and {_MOST_BUCKETS}, not {buckets}")
-    low_half = (1 << 32) - 1
-    marked = {}
-    for of_source, side in ((True, source), (False, target)):
-        digests = side.select(F.unhex(F.sha2(row_text(), 256)).alias("digest"))
-        halves = digests.select(
-            F.xxhash64(F.substring("digest", 1, 16)).alias("h"), F.xxhash64(F.substring("digest", 17, 16)).alias("l")
-        )
-        by = [_bucket(F.col("h"), buckets)]
-        by += [F.shiftright(c, 32).alias(f"{c}_high") for c in ("h", "l")]
-        by += [F.col(c).bitwiseAND(F.lit(low_half)).alias(f"{c}_low") for c in ("h", "l")]
-        marked[of_source] = tally(halves, of_source=of_source, by=by)
+    if not 0 < buckets <= _MOST_BUCKETS or buckets & (buckets - 1):
+        raise ValueError(f"buckets must be a power of two up to {_MOST_BUCKETS}, not {buckets}")
+
+    def halves(row: Column) -> tuple[Column, Column]:
+        digest = F.unhex(F.sha2(row, 256))
+        return F.xxhash64(F.substring(digest, 1, 16)), F.xxhash64(F.substring(digest, 17, 16))
+
+    def bucket(half: Column) -> Column:
+        return half.bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
+
+    low = F.lit((1 << 32) - 1)
+
+    def marked(side: DataFrame, of_source: bool) -> DataFrame:
+        first, second = halves(F.col("row"))
+        numbers = side.select(first.alias("first"), second.alias("second"))
+        parts = {f"{name}_high": F.shiftright(name, 32) for name in ("first", "second")}
+        parts |= {f"{name}_low": F.col(name).bitwiseAND(low) for name in ("first", "second")}
+        by = [bucket(F.col("first")), *[part.alias(name) for name, part in parts.items()]]
+        return tally(numbers, of_source=of_source, by=by)
+
     net = F.col("s") - F.col("t")
+    parts = ("first_high", "first_low", "second_high", "second_low")
     # A sum that overflows is NULL, which is not equal to 0: the bucket stays in.
-    nets = [F.try_sum(F.col(part) * net) for part in ("h_high", "h_low", "l_high", "l_low")]
-    both = marked[True].unionAll(marked[False]).groupBy(_BUCKET)
-    sums = both.agg(F.sum(net).alias("rows"), *[total.alias(f"net_{i}") for i, total in enumerate(nets)])
+    sums = (
+        marked(source, True)
+        .unionAll(marked(target, False))
+        .groupBy(_BUCKET)
+        .agg(F.sum(net).alias("rows"), *[F.try_sum(F.col(part) * net).alias(part) for part in parts])
+    )
     equal = F.col("rows") == 0
-    for i in range(len(nets)):
-        equal = equal & F.col(f"net_{i}").eqNullSafe(0)
+    for part in parts:
+        equal = equal & F.col(part).eqNullSafe(0)
     differing = F.broadcast(sums.filter(~equal).select(_BUCKET))
 
     def narrowed(side: DataFrame) -> DataFrame:
-        digest = F.unhex(F.sha2(row_text(), 256))
-        placed = side.select("*", _bucket(F.xxhash64(F.substring(digest, 1, 16)), buckets))
-        return placed.join(differing, _BUCKET, "left_semi").drop(_BUCKET)
+        placed = side.select("row", bucket(halves(F.col("row"))[0]))
+        return placed.join(differing, _BUCKET, "left_semi").select("row")
 
     return narrowed(source), narrowed(target)
 
 
-def _bucket(number: Column, buckets: int) -> Column:
-    return F.pmod(number, F.lit(buckets)).cast("int").alias(_BUCKET)
-
-
 def _only(table: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     return table if columns is None else table.select(*columns)
 
 
-def _grouped(source: DataFrame, target: DataFrame, mode: str, key: str) -> DataFrame:
-    """One line per distinct row: ``row`` (its key) and its copies ``s`` and ``t``."""
+def _grouped(source: DataFrame, target: DataFrame, mode: str, key: str, buckets: int | None) -> DataFrame:
+    """One line per distinct row: ``row`` (its key) and its copies ``s`` and ``t``.
 
-    def keyed(side: DataFrame, of_source: bool) -> DataFrame:
-        row = row_text() if mode == "concat" else row_struct()
-        rows = side.select(row.alias("row"))
-        if mode == "concat" and key == "digest":
-            rows = rows.select(row_digest(F.col("row")).alias("row"))
-        return tally(rows, of_source=of_source, by=[F.col("row")])
-
-    both = keyed(source, True).unionAll(keyed(target, False))
+    With ``buckets``, rows proven to be on both sides may be left out.
+    """
+    row = row_text() if mode == "concat" else row_struct()
+    sides = source.select(row.alias("row")), target.select(row.alias("row"))
+    if buckets is not None:
+        if mode != "concat":
+            raise ValueError("buckets need mode concat")
+        sides = _narrowed(*sides, buckets)
+    if mode == "concat" and key == "digest":
+        sides = tuple(side.select(row_digest(F.col("row")).alias("row")) for side in sides)
+    by = [F.col("row")]
+    both = tally(sides[0], of_source=True, by=by).unionAll(tally(sides[1], of_source=False, by=by))
     return both.groupBy("row").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
 
 

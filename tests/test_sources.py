@@ -1,0 +1,186 @@
+import pytest
+from pyspark.sql import functions as F
+
+from twintally import FileSource, JdbcSource, conform, content_check, read_source
+from twintally.catalogue.source_queries import derby
+from twintally.catalogue.tables import table
+from twintally.sources import read_count, source_from_mapping
+
+
+def write(path, text):
+    path.mkdir()
+    (path / "part.csv").write_text(text)
+    return str(path)
+
+
+MALFORMED = "a,b\n1,2\n3\n4,5,6\nq,7\n"
+
+
+@pytest.mark.parametrize(
+    ("mode", "rows"),
+    [("PERMISSIVE", [(1, 2), (3, None), (4, 5), (None, 7)]), ("DROPMALFORMED", [(1, 2)])],
+)
+def test_csv_modes_count_what_they_read(spark, tmp_path, mode, rows):
+    path = write(tmp_path / "in", MALFORMED)
+    found = read_source(spark, FileSource("csv", path, {"header": True, "mode": mode}, "a int, b int"))
+    assert [tuple(r) for r in found.collect()] == rows
+    assert found.count() == len(rows)
+    assert found.select("a").count() == len(rows)
+
+
+def test_csv_failfast_fails_on_a_count_too(spark, tmp_path):
+    path = write(tmp_path / "in", MALFORMED)
+    found = read_source(spark, FileSource("csv", path, {"header": True, "mode": "FAILFAST"}, "a int, b int"))
+    with pytest.raises(Exception, match="MALFORMED"):
+        found.count()
+
+
+@pytest.mark.parametrize(
+    ("options", "names", "rows"),
+    [
+        ({}, ["_c0", "_c1"], [("a", "b"), ("1", "x"), ("2", None), (None, None)]),
+        ({"header": "true"}, ["a", "b"], [("1", "x"), ("2", None), (None, None)]),
+        ({"header": True, "nullValue": "x"}, ["a", "b"], [("1", None), ("2", None), (None, "")]),
+        ({"header": True, "emptyValue": "E"}, ["a", "b"], [("1", "x"), ("2", None), (None, "E")]),
+        ({"header": True, "inferSchema": True}, ["a", "b"], [(1, "x"), (2, None), (None, None)]),
+        ({"header": True, "comment": "2"}, ["a", "b"], [("1", "x"), (None, None)]),
+        ({"sep": ";", "header": True}, ["a,b"], [("1,x",), ("2,",), (',""',)]),
+    ],
+)
+def test_csv_options_reach_the_reader(spark, tmp_path, options, names, rows):
+    path = write(tmp_path / "in", 'a,b\n1,x\n2,\n,""\n')
+    found = read_source(spark, FileSource("csv", path, options))
+    assert found.columns == names
+    assert [tuple(r) for r in found.collect()] == rows
+
+
+@pytest.mark.parametrize(
+    "wrong",
+    [
+        lambda: FileSource("orc", "/x"),
+        lambda: FileSource("csv", ""),
+        lambda: FileSource("csv", "/x", {"quoteAll": True}),
+        lambda: FileSource("parquet", "/x", {"header": True}),
+        lambda: FileSource("csv", "/x", {"mode": "STRICT"}),
+        lambda: FileSource("csv", "/x", {"unescapedQuoteHandling": "GUESS"}),
+        lambda: FileSource("csv", "/x", {"header": "maybe"}),
+        lambda: FileSource("csv", "/x", {"maxColumns": "5.5"}),
+        lambda: FileSource("csv", "/x", {"samplingRatio": "half"}),
+        lambda: FileSource("csv", "/x", {"sep": 1}),
+        lambda: FileSource("parquet", "/x", {"int96RebaseMode": "OLD"}),
+        lambda: JdbcSource({"dbtable": "t"}),
+        lambda: JdbcSource({"url": "u"}),
+        lambda: JdbcSource({"url": "u", "dbtable": "t", "query": "q"}),
+        lambda: JdbcSource({"url": "u", "dbtable": "t", "numPartitions": True}),
+        lambda: source_from_mapping({"type": "file"}),
+        lambda: source_from_mapping({"type": "database", "file_config": {"format": "csv", "path": "/x"}}),
+        lambda: source_from_mapping({"type": "stream"}),
+        lambda: source_from_mapping({"type": "database", "database_config": {"format": "odbc", "options": {}}}),
+    ],
+)
+def test_bad_sources_are_refused(wrong):
+    with pytest.raises(ValueError):
+        wrong()
+
+
+def test_options_are_typed_and_unset_ones_dropped():
+    source = FileSource("csv", "/x", {"header": "yes", "maxColumns": "7", "samplingRatio": "0.5", "sep": None})
+    assert source.options == {"header": True, "maxColumns": 7, "samplingRatio": 0.5}
+    bounds = JdbcSource({"url": "u", "dbtable": "t", "lowerBound": "2024-01-01", "upperBound": 9})
+    assert bounds.options["lowerBound"] == "2024-01-01"
+
+
+def test_the_unused_part_of_a_mapping_is_ignored():
+    parts = {"file_config": {"format": "parquet", "path": "/x", "options": None}, "database_config": {"format": "no"}}
+    assert source_from_mapping({"type": "file", **parts}) == FileSource("parquet", "/x")
+
+
+def test_secrets_stay_out_of_repr():
+    shown = repr(JdbcSource({"url": "jdbc:x://h/d?user=u&password=hush&ssl=1", "password": "hush", "dbtable": "t"}))
+    assert "hush" not in shown and "ssl=1" in shown
+
+
+def test_only_paths_and_queries_are_templates(spark):
+    from datetime import datetime
+
+    when = datetime(2024, 1, 2, 3)
+    assert FileSource("csv", "/x/%Y/%m").at(when).path == "/x/2024/01"
+    jdbc = JdbcSource({"url": "u%Y", "query": "select '%d'"}).at(when)
+    assert jdbc.options == {"url": "u%Y", "query": "select '02'"}
+    assert JdbcSource({"url": "u", "dbtable": "t%Y"}).at(when).options["dbtable"] == "t%Y"
+
+
+def test_parallel_jdbc_read_has_its_partitions(spark, small_dir):
+    connect = derby(spark, small_dir, "customer")
+    split = {"partitionColumn": '"c_custkey"', "lowerBound": 1, "upperBound": 150, "numPartitions": 4}
+    found = read_source(spark, JdbcSource({**connect, "dbtable": "customer", **split}))
+    assert found.rdd.getNumPartitions() == 4
+    assert found.count() == 150
+    assert min(found.groupBy(F.spark_partition_id()).count().toPandas()["count"]) > 30
+
+
+def test_jdbc_filter_reaches_the_database(spark, small_dir):
+    found = read_source(spark, JdbcSource({**derby(spark, small_dir, "customer"), "dbtable": "customer"}))
+    plan = found.filter("c_custkey < 10")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(c_custkey,10)" in plan
+
+
+def test_jdbc_custom_schema(spark, small_dir):
+    source = JdbcSource({
+        **derby(spark, small_dir, "customer"), "dbtable": "customer", "customSchema": "c_custkey string", "fetchsize": 50,
+    })
+    assert dict(read_source(spark, source).dtypes)["c_custkey"] == "string"
+
+
+@pytest.mark.parametrize(
+    "what", [{"dbtable": "customer"}, {"query": "select * from customer"}, {"dbtable": "(select * from customer) t"}]
+)
+def test_the_database_counts(spark, small_dir, what):
+    split = {"partitionColumn": '"c_custkey"', "lowerBound": 1, "upperBound": 150, "numPartitions": 4}
+    options = {**derby(spark, small_dir, "customer"), **what, **(split if "dbtable" in what else {})}
+    counted = read_count(spark, JdbcSource(options))
+    assert counted.dtypes == [("n", "bigint")]
+    assert [tuple(r) for r in counted.collect()] == [(150,)]
+
+
+# Round trips: the same rows through another format
+
+
+def differing(source, target):
+    return content_check(source, target).first().source_not_in_target
+
+
+def test_round_trips(spark, sf_dir, tmp_path):
+    orders = table(spark, sf_dir, "orders")
+    path = str(tmp_path / "orders")
+    orders.write.csv(path, header=True)
+    as_text = read_source(spark, FileSource("csv", path, {"header": True}))
+    inferred = read_source(spark, FileSource("csv", path, {"header": True, "inferSchema": True}))
+    assert differing(orders, as_text) == 15000  # timestamps are laid out differently
+    assert differing(orders, conform(as_text, orders.schema)) == 0
+    assert differing(orders, inferred) == 0
+
+
+def test_line_breaks_in_csv(spark, sf_dir, tmp_path):
+    documents = table(spark, sf_dir, "documents")
+    path = str(tmp_path / "documents")
+    documents.write.csv(path, header=True)
+    broken = read_source(spark, FileSource("csv", path, {"header": True}))
+    whole = read_source(spark, FileSource("csv", path, {"header": True, "multiLine": True}))
+    found = content_check(documents, broken).first()
+    assert (found.count_target, found.source_not_in_target) == (9344, 931)
+    assert differing(documents, whole) == 0
+
+
+def test_padded_text_from_a_database(spark, small_dir):
+    nation = table(spark, small_dir, "nation")
+    padded = nation.withColumn("n_name", F.rpad("n_name", 40, " "))
+    assert differing(nation, padded) == 25
+    assert differing(nation, conform(padded, nation.schema)) == 0
+    assert differing(nation, conform(padded, nation.schema, trim_right=False)) == 25
+
+
+def test_conform_keeps_names_and_further_columns(spark):
+    odd = spark.sql("select '1' as `a.b`, 2 as extra")
+    like = spark.sql("select 1L as id").schema
+    assert conform(odd, like).dtypes == [("a.b", "bigint"), ("extra", "int")]

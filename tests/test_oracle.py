@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from twintally.catalogue.tables import TABLES
+from twintally.catalogue.tables import TABLES, table
 
 SPARK_KIND = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
@@ -45,3 +45,8 @@ def test_query_matches_sql(name, spark, duck, sf_dir):
 def test_entry(spark):
     rows = driver.entry(spark).collect()
     assert len(rows) == 1 and rows[0].schema_match
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_stated_schemas_are_those_of_the_files(name, spark, sf_dir):
+    assert table(spark, sf_dir, name).dtypes == spark.read.parquet(f"{sf_dir}/{name}.parquet").dtypes

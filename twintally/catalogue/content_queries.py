@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from twintally.catalogue.registry import query
 from twintally.catalogue.source_queries import derby
 from twintally.catalogue.tables import (
-    COLUMNS,
     DOCUMENTS_TARGET_SQL,
     LINEITEM_TARGET_SQL,
     ORDERS_TARGET_SQL,
+    columns_of,
     documents_target,
     lineitem_target,
     orders_target,
@@ -185,7 +185,7 @@ from orders""",
 )
 def check_schema_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return content_check(orders, orders.select(*reversed(COLUMNS["orders"])))
+    return content_check(orders, orders.select(*reversed(columns_of("orders"))))
 
 
 @query("content_check_conformed", _check_sql("orders", ORDERS_TARGET_SQL))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twintally.catalogue.registry import query
-from twintally.catalogue.tables import parquet, table
+from twintally.catalogue.tables import SCHEMAS, parquet, table
 from twintally.functions.timing import resolve_process_time
 from twintally.sources import FileSource, JdbcSource, read_count, read_source
 from twintally.storage import fresh_folder
@@ -21,10 +21,6 @@ _UNUSED_CLOCK = datetime(2000, 1, 1)
 _loaded: dict[tuple[str, str, str], str] = {}
 
 
-def _ddl(frame: DataFrame) -> str:
-    return ", ".join(f"{name} {kind}" for name, kind in frame.dtypes)
-
-
 def derby(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
     """Options that connect to a table, loaded into Derby's in-memory database.
 
@@ -63,7 +59,7 @@ def scan_parquet_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, path = table(spark, sf_dir, "customer"), fresh_folder(spark, "scan-csv")
     customer.write.csv(path, header=True)
-    return read_source(spark, FileSource("csv", path, {"header": True}, schema=_ddl(customer)))
+    return read_source(spark, FileSource("csv", path, {"header": True}, schema=SCHEMAS["customer"]))
 
 
 @query("scan_csv_options", "select * from orders")
@@ -73,7 +69,7 @@ def scan_csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = "dd/MM/yyyy HH:mm:ss"
     orders.write.options(**shape, timestampNTZFormat=layout, quoteAll=True).csv(path)
     options = {**shape, "timestampNTZFormat": layout, "mode": "FAILFAST", "header": "false", "maxColumns": "20"}
-    return read_source(spark, FileSource("csv", path, options, schema=_ddl(orders)))
+    return read_source(spark, FileSource("csv", path, options, schema=SCHEMAS["orders"]))
 
 
 @query("scan_csv_multiline", "select * from documents")
@@ -82,7 +78,7 @@ def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A file with line breaks inside values is read by one task: keep files small.
     documents.write.option("maxRecordsPerFile", 100_000).csv(path, header=True)
     options = {"header": True, "multiLine": True}
-    return read_source(spark, FileSource("csv", path, options, schema=_ddl(documents)))
+    return read_source(spark, FileSource("csv", path, options, schema=SCHEMAS["documents"]))
 
 
 @query("scan_jdbc_table", "select * from supplier")

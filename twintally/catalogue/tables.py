@@ -12,14 +12,41 @@ from pyspark.sql import functions as F
 
 from twintally.sources import FileSource, read_source
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
+# The schemas of the input tables. Stating them spares each read a job
+# that opens a file to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+TABLES = tuple(SCHEMAS)
 
 
 def parquet(sf_dir: str, name: str) -> FileSource:
-    return FileSource("parquet", f"{sf_dir}/{name}.parquet")
+    return FileSource("parquet", f"{sf_dir}/{name}.parquet", schema=SCHEMAS[name])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,19 +107,10 @@ tgt as (
 )"""
 
 
-# Columns of each table whose text Spark and SQL render alike.
-COLUMNS = {
-    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-    "lineitem": (
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-    ),
-    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
-    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
-    "labels": ("doc_id", "quality", "toxic"),
-}
+def columns_of(name: str) -> list[str]:
+    return [column.split()[0] for column in SCHEMAS[name].split(", ")]
 
 
 def row_text_sql(name: str, columns: tuple[str, ...] | None = None) -> str:
-    casts = ", ".join(f"cast({c} as varchar)" for c in columns or COLUMNS[name])
+    casts = ", ".join(f"cast({c} as varchar)" for c in columns or columns_of(name))
     return f"concat_ws('||', {casts})"

@@ -119,6 +119,14 @@ def test_parallel_jdbc_read_has_its_partitions(spark, small_dir):
     assert min(found.groupBy(F.spark_partition_id()).count().toPandas()["count"]) > 30
 
 
+def test_a_query_is_read_in_parallel_too(spark, small_dir):
+    split = {"partitionColumn": '"c_custkey"', "lowerBound": "1", "upperBound": "150", "numPartitions": "3"}
+    wanted = 'select * from customer where "c_custkey" > 10'
+    found = read_source(spark, JdbcSource({**derby(spark, small_dir, "customer"), "query": wanted, **split}))
+    assert found.rdd.getNumPartitions() == 3
+    assert found.count() == table(spark, small_dir, "customer").filter("c_custkey > 10").count()
+
+
 def test_jdbc_filter_reaches_the_database(spark, small_dir):
     found = read_source(spark, JdbcSource({**derby(spark, small_dir, "customer"), "dbtable": "customer"}))
     plan = found.filter("c_custkey < 10")._jdf.queryExecution().executedPlan().toString()

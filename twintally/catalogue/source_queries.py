@@ -105,9 +105,9 @@ def scan_jdbc_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def scan_jdbc_partitioned_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high = table(spark, sf_dir, "customer").agg(F.min("c_custkey"), F.max("c_custkey")).first()
-    wanted = """(select "c_custkey", "c_mktsegment" from customer where "c_acctbal" > 0) t"""
+    wanted = """select "c_custkey", "c_mktsegment" from customer where "c_acctbal" > 0"""
     split = {"partitionColumn": '"c_custkey"', "lowerBound": low, "upperBound": high, "numPartitions": "4"}
-    return read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "dbtable": wanted, **split}))
+    return read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "query": wanted, **split}))
 
 
 @query("scan_jdbc_count", "select cast(count(*) as bigint) as n from customer where c_nationkey < 10")

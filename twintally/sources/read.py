@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
         case FileSource():
             return _read_file(spark, source)
         case JdbcSource():
-            return spark.read.format("jdbc").options(**source.options).load()
+            return spark.read.format("jdbc").options(**_jdbc_options(source)).load()
     raise TypeError(f"not a source: {source!r}")
 
 
@@ -34,6 +36,14 @@ def _read_file(spark: SparkSession, source: FileSource) -> DataFrame:
     return table
 
 
+def _jdbc_options(source: JdbcSource) -> dict[str, Any]:
+    options = dict(source.options)
+    if "partitionColumn" in options and options.get("query"):
+        # Spark reads a query in parallel only when it is given as a derived table.
+        options["dbtable"] = f"({options.pop('query')}) parallel_query"
+    return options
+
+
 def read_count(spark: SparkSession, source: JdbcSource) -> DataFrame:
     """The number of rows behind a JDBC source, counted by the database.
 

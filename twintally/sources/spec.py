@@ -44,8 +44,8 @@ class FileSource:
 class JdbcSource:
     """A database table (``dbtable``) or query (``query``) read over JDBC.
 
-    Only ``query`` may be a time template. A parallel read takes ``dbtable``, a
-    derived table included, with ``partitionColumn`` and its bounds.
+    Only ``query`` may be a time template. Without ``partitionColumn`` and its
+    bounds one task reads everything, so set them for tables of any size.
     """
 
     options: Mapping[str, Any]

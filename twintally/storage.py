@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="twintally-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="twintally-")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -125,8 +125,8 @@ def rows_extra(source: DataFrame, target: DataFrame, **how: object) -> DataFrame
 def _narrowed(source: DataFrame, target: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Both sides' ``row`` texts without those that are proven to be on both.
 
-    Rows fall into ``buckets`` by their SHA-256. Each task adds up the digests of
-    each bucket, so at most ``buckets`` rows per task are shuffled, and a bucket
+    Rows fall into ``buckets`` by a hash. Each task adds up the SHA-256 of the rows
+    of each bucket, so at most ``buckets`` rows per task are shuffled, and a bucket
     whose sums and counts agree on both sides holds the same rows on both. What
     is left, every row of every other bucket, has exactly the differences of the
     whole tables, for one more scan of each side but without shuffling the rows
@@ -135,23 +135,20 @@ def _narrowed(source: DataFrame, target: DataFrame, buckets: int) -> tuple[DataF
     """
     if not 0 < buckets <= _MOST_BUCKETS or buckets & (buckets - 1):
         raise ValueError(f"buckets must be a power of two up to {_MOST_BUCKETS}, not {buckets}")
-
-    def halves(row: Column) -> tuple[Column, Column]:
-        digest = F.unhex(F.sha2(row, 256))
-        return F.xxhash64(F.substring(digest, 1, 16)), F.xxhash64(F.substring(digest, 17, 16))
-
-    def bucket(half: Column) -> Column:
-        return half.bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
-
+    bucket = F.xxhash64("row").bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
     low = F.lit((1 << 32) - 1)
 
     def marked(side: DataFrame, of_source: bool) -> DataFrame:
-        first, second = halves(F.col("row"))
-        numbers = side.select(first.alias("first"), second.alias("second"))
+        digests = side.select(bucket, F.unhex(F.sha2("row", 256)).alias("digest"))
+        halves = digests.select(
+            _BUCKET,
+            F.xxhash64(F.substring("digest", 1, 16)).alias("first"),
+            F.xxhash64(F.substring("digest", 17, 16)).alias("second"),
+        )
         parts = {f"{name}_high": F.shiftright(name, 32) for name in ("first", "second")}
         parts |= {f"{name}_low": F.col(name).bitwiseAND(low) for name in ("first", "second")}
-        by = [bucket(F.col("first")), *[part.alias(name) for name, part in parts.items()]]
-        return tally(numbers, of_source=of_source, by=by)
+        by = [F.col(_BUCKET), *[part.alias(name) for name, part in parts.items()]]
+        return tally(halves, of_source=of_source, by=by)
 
     net = F.col("s") - F.col("t")
     parts = ("first_high", "first_low", "second_high", "second_low")
@@ -168,7 +165,7 @@ def _narrowed(source: DataFrame, target: DataFrame, buckets: int) -> tuple[DataF
     differing = F.broadcast(sums.filter(~equal).select(_BUCKET))
 
     def narrowed(side: DataFrame) -> DataFrame:
-        placed = side.select("row", bucket(halves(F.col("row"))[0]))
+        placed = side.select("row", bucket)
         return placed.join(differing, _BUCKET, "left_semi").select("row")
 
     return narrowed(source), narrowed(target)

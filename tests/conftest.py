@@ -20,7 +20,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_TIME_ZONE", "UTC"))
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .config("spark.checkpoint.dir", str(scratch / "checkpoints"))
         .getOrCreate()
@@ -32,7 +32,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return str(TESTDATA / "sf0.01")
+    return str(TESTDATA / os.environ.get("TEST_SF", "sf0.01"))
 
 
 @pytest.fixture(scope="session")

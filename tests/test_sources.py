@@ -90,6 +90,20 @@ def test_options_are_typed_and_unset_ones_dropped():
     assert bounds.options["lowerBound"] == "2024-01-01"
 
 
+def test_every_reader_option_can_be_set():
+    from twintally.sources.options import CSV_OPTIONS, JDBC_OPTIONS, PARQUET_OPTIONS
+
+    assert (len(CSV_OPTIONS), len(PARQUET_OPTIONS), len(JDBC_OPTIONS)) == (30, 4, 24)
+    text = {str: "x", bool: "true", int: "1", float: "0.5", "bound": "1"}
+    for allowed, build in (
+        (CSV_OPTIONS, lambda o: FileSource("csv", "/x", o)),
+        (PARQUET_OPTIONS, lambda o: FileSource("parquet", "/x", o)),
+        ({k: v for k, v in JDBC_OPTIONS.items() if k != "query"}, JdbcSource),
+    ):
+        given = {name: kind[0] if isinstance(kind, tuple) else text[kind] for name, kind in allowed.items()}
+        assert list(build(given).options) == list(allowed)
+
+
 def test_the_unused_part_of_a_mapping_is_ignored():
     parts = {"file_config": {"format": "parquet", "path": "/x", "options": None}, "database_config": {"format": "no"}}
     assert source_from_mapping({"type": "file", **parts}) == FileSource("parquet", "/x")

@@ -40,6 +40,9 @@ CASES = {
     "nan": ("select double('NaN') x", "select double('NaN') x", EQUAL, EQUAL),
     "binary": ("select X'4142' x", "select X'4142' x", EQUAL, EQUAL),
     "column named like a tally": ("select 1 s, 2 t, 3 row", "select 1 s, 2 t, 4 row", DIFFER, DIFFER),
+    "null against empty": ("select 1 x, '' y", "select 1 x, cast(null as string) y", DIFFER, DIFFER),
+    "same names twice": ("select 1 x, 'b' x", "select 1 x, 'c' x", DIFFER, DIFFER),
+    "signed zero": ("select 0d x", "select -0d x", DIFFER, EQUAL),
     "column name with a dot": ("select 1 as `a.b`", "select 1 as `a.b`", EQUAL, EQUAL),
 }
 
@@ -49,9 +52,10 @@ def test_modes(spark, case):
     source, target, concat, typed = CASES[case]
     source, target = spark.sql(source), spark.sql(target)
     assert outcome(source, target) == concat
-    assert outcome(source, target, key="text") == concat
+    assert outcome(source, target, key="full") == concat
     assert outcome(source, target, buckets=8) == concat
     assert outcome(source, target, mode="typed") == typed
+    assert outcome(source, target, mode="typed", key="full") == typed
 
 
 @pytest.mark.parametrize(
@@ -78,8 +82,11 @@ def test_long_and_short_texts_get_their_own_digest(spark):
     texts = ["", "a", "a" * 31, "a" * 32, "a" * 33, "a" * 5000, "é" * 15, "é" * 16]
     source = frame(spark, [(t,) for t in texts], "x string")
     target = frame(spark, [(t + "!",) for t in texts], "x string")
-    assert outcome(source, source) == EQUAL
-    assert outcome(source, target) == (True, 8, 8, False)
+    for how in ({}, {"mode": "typed"}):
+        assert outcome(source, source, **how) == EQUAL
+        assert outcome(source, target, **how) == (True, 8, 8, False)
+    binary = [side.select(F.col("x").cast("binary"), F.lit(None).cast("string")) for side in (source, target)]
+    assert outcome(*binary, mode="typed") == (True, 8, 8, False)
 
 
 def test_duplicates(spark):
@@ -137,7 +144,7 @@ def test_equal_to_the_plain_set_form(spark, sf_dir):
     target = lineitem_target(source)
     left, right = (s.select(F.concat_ws("||", "*").alias("row")).distinct() for s in (source, target))
     plain = (source.count(), target.count(), left.subtract(right).count(), right.subtract(left).count())
-    for how in ({}, {"key": "text"}, {"mode": "typed"}, {"buckets": 1 << 10}, {"buckets": 1 << 16}):
+    for how in ({}, {"key": "full"}, {"mode": "typed"}, {"buckets": 1 << 10}, {"buckets": 1 << 16}):
         found = content_check(source, target, **how).first()
         numbers = (found.count_source, found.count_target, found.source_not_in_target, found.target_not_in_source)
         assert numbers == plain, how

@@ -53,7 +53,7 @@ def test_a_batch_shares_one_shuffle(orders):
     assert scans(text) == 10 and shuffles(text) == 1 and "partial_sum" in text
 
 
-@pytest.mark.parametrize("how", [{}, {"key": "text"}, {"mode": "typed"}, {"multiset": True}])
+@pytest.mark.parametrize("how", [{}, {"key": "full"}, {"mode": "typed"}, {"multiset": True}])
 def test_contents_take_one_scan_a_side_and_one_shuffle(orders, how):
     text = plan(content_check(orders, orders.filter("o_custkey > 9"), **how))
     assert scans(text) == 2 and shuffles(text) == 1

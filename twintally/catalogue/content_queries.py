@@ -128,9 +128,9 @@ def check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(*_pair(spark, sf_dir, "orders"))
 
 
-@query("content_check_text_key", _check_sql("orders", ORDERS_TARGET_SQL))
-def check_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content_check(*_pair(spark, sf_dir, "orders"), key="text")
+@query("content_check_full_key", _check_sql("orders", ORDERS_TARGET_SQL))
+def check_full_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_check(*_pair(spark, sf_dir, "orders"), key="full")
 
 
 @query("content_check_typed", _check_sql("orders", ORDERS_TARGET_SQL))
@@ -171,6 +171,11 @@ def check_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(*_pair(spark, sf_dir, "documents"))
 
 
+@query("content_check_documents_typed", _check_sql("documents", DOCUMENTS_TARGET_SQL))
+def check_documents_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_check(*_pair(spark, sf_dir, "documents"), mode="typed")
+
+
 @query("content_check_same_table", _check_sql("lineitem", "tgt as (select * from lineitem)"))
 def check_same_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "lineitem"))

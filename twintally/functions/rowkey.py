@@ -7,8 +7,9 @@ applied to.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEPARATOR = "||"
 
@@ -26,11 +27,11 @@ def row_text() -> Column:
 
 
 def row_digest(text: Column) -> Column:
-    """At most 32 bytes that stand for ``text``.
+    """At most 32 bytes that stand for ``text`` (a string or binary column).
 
     Text under 32 bytes is kept as it is; longer text becomes its SHA-256, which
     is always 32 bytes, so the two never collide. Shuffling this in place of the
-    text bounds the key's width whatever the width of the table.
+    text bounds the key's width whatever the width of the table. NULL stays NULL.
     """
     return F.when(F.octet_length(text) < _DIGEST_BYTES, text.cast("binary")).otherwise(
         F.unhex(F.sha2(text, 8 * _DIGEST_BYTES))
@@ -40,3 +41,17 @@ def row_digest(text: Column) -> Column:
 def row_struct() -> Column:
     """The row as a struct: null-safe and type-exact, nested types included."""
     return F.struct(F.col("*"))
+
+
+def row_struct_digest(table: DataFrame) -> DataFrame:
+    """One ``row`` struct for each row: :func:`row_struct` with long values cut down.
+
+    String and binary columns become their :func:`row_digest`, so rows are equal
+    here when they are equal as structs; all other columns stay as they are.
+    """
+    numbered = table.toDF(*[f"c{i}" for i in range(len(table.columns))])
+    values = [
+        row_digest(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else f.name
+        for f in numbered.schema.fields
+    ]
+    return numbered.select(F.struct(*values).alias("row"))

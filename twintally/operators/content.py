@@ -8,8 +8,9 @@ still reaches the shuffle once per task.
 
 Keys of ``mode="concat"`` are the row's text (see
 :func:`twintally.functions.rowkey.row_text`); counting groups by its digest, at
-most 32 bytes, in place of the text. ``mode="typed"`` groups by the row itself:
-NULL and nesting count, and both sides must have the same column types.
+most 32 bytes, in place of the text. ``mode="typed"`` groups by the row itself,
+when counting with a digest for each long string: NULL and nesting matter, and
+both sides must have the same column types.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.functions.rowkey import row_digest, row_struct, row_text
+from twintally.functions.rowkey import row_digest, row_struct, row_struct_digest, row_text
 from twintally.operators.counts import count_rows, tally
 
 MODES = ("concat", "typed")
+KEYS = ("digest", "full")
 
 # Bounds the broadcast list of differing buckets to a few megabytes.
 _MOST_BUCKETS = 1 << 20
@@ -69,14 +71,14 @@ def content_check(
     one-sided counts are NULL and the check fails; the row counts are still given.
 
     ``columns`` compares a subset of the columns. ``multiset`` counts surplus
-    copies of a row as differences. ``key="text"`` groups by the row text itself
-    in place of its digest. ``buckets`` (concat mode) is for tables expected to be
+    copies of a row as differences. ``key="full"`` groups by the whole row text or
+    row, not by digests. ``buckets`` (concat mode) is for tables expected to be
     nearly equal: it sets aside the hash buckets whose checksums agree before
     anything is shuffled, at the price of a second scan; the answer is the same.
     """
     source, target = _only(source, columns), _only(target, columns)
-    if key not in ("digest", "text"):
-        raise ValueError(f"key must be digest or text, not {key!r}")
+    if key not in KEYS:
+        raise ValueError(f"key must be one of {', '.join(KEYS)}, not {key!r}")
     if not schemas_match(source, target, mode):
         unknown = F.lit(None).cast("bigint")
         counts = count_rows(source, target)
@@ -110,7 +112,7 @@ def rows_missing(
     source, target = _only(source, columns), _only(target, columns)
     if not schemas_match(source, target, mode):
         raise SchemaMismatch(f"cannot compare {source.dtypes} with {target.dtypes}")
-    grouped = _grouped(source, target, mode, "text", buckets)
+    grouped = _grouped(source, target, mode, "full", buckets)
     rows = ["row"] if mode == "concat" else ["row.*"]
     if multiset:
         return grouped.filter("s > t").select(*rows, (F.col("s") - F.col("t")).alias("copies"))
@@ -180,16 +182,19 @@ def _grouped(source: DataFrame, target: DataFrame, mode: str, key: str, buckets:
 
     With ``buckets``, rows proven to be on both sides may be left out.
     """
-    row = row_text() if mode == "concat" else row_struct()
-    sides = source.select(row.alias("row")), target.select(row.alias("row"))
-    if buckets is not None:
-        if mode != "concat":
+    sides = source, target
+    if mode == "typed":
+        if buckets is not None:
             raise ValueError("buckets need mode concat")
-        sides = _narrowed(*sides, buckets)
-    if mode == "concat" and key == "digest":
-        sides = tuple(side.select(row_digest(F.col("row")).alias("row")) for side in sides)
+        keyed = [row_struct_digest(s) if key == "digest" else s.select(row_struct().alias("row")) for s in sides]
+    else:
+        keyed = [s.select(row_text().alias("row")) for s in sides]
+        if buckets is not None:
+            keyed = _narrowed(*keyed, buckets)
+        if key == "digest":
+            keyed = [s.select(row_digest(F.col("row")).alias("row")) for s in keyed]
     by = [F.col("row")]
-    both = tally(sides[0], of_source=True, by=by).unionAll(tally(sides[1], of_source=False, by=by))
+    both = tally(keyed[0], of_source=True, by=by).unionAll(tally(keyed[1], of_source=False, by=by))
     return both.groupBy("row").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
 
 

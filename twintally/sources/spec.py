@@ -83,6 +83,8 @@ def source_from_mapping(config: Mapping[str, Any]) -> Source:
     if not body:
         raise ValueError(f"{kind}_config is needed for a source of type {kind!r}")
     options = body.get("options") or {}
+    if isinstance(options, str) and not options.strip():
+        options = {}
     if kind == "file":
         return FileSource(body.get("format"), body.get("path"), options)
     if body.get("format") != "jdbc":

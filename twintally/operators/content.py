@@ -8,7 +8,7 @@ still reaches the shuffle once per task.
 
 Keys of ``mode="concat"`` are the row's text (see
 :func:`twintally.functions.rowkey.row_text`); counting groups by its digest, at
-most 32 bytes, in place of the text. ``mode="typed"`` groups by the row itself,
+most 20 bytes, in place of the text. ``mode="typed"`` groups by the row itself,
 when counting with a digest for each long string: NULL and nesting matter, and
 both sides must have the same column types.
 """

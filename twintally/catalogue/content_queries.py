@@ -111,6 +111,14 @@ def missing_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_missing(*_pair(spark, sf_dir, "lineitem"), buckets=1 << 16)
 
 
+@query(
+    "content_extra_typed_narrowed",
+    f"with {LINEITEM_TARGET_SQL} select * from tgt except select * from lineitem",
+)
+def extra_typed_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_extra(*_pair(spark, sf_dir, "lineitem"), mode="typed", buckets=1 << 16)
+
+
 @query(
     "content_extra_multiset",
     f"""{_sides("orders", ORDERS_TARGET_SQL)}

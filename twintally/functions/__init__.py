@@ -1,5 +1,5 @@
 from twintally.functions.measures import count_diff, percentage_diff, with_count_verdict, within_threshold
-from twintally.functions.rowkey import row_digest, row_struct, row_struct_digest, row_text
+from twintally.functions.rowkey import row_digest, row_exact_text, row_struct, row_struct_digest, row_text
 from twintally.functions.template import render, render_column
 from twintally.functions.timing import (
     delayed,
@@ -20,6 +20,7 @@ __all__ = [
     "render_column",
     "resolve_process_time",
     "row_digest",
+    "row_exact_text",
     "row_struct",
     "row_struct_digest",
     "row_text",

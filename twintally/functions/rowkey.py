@@ -56,3 +56,31 @@ def row_struct_digest(table: DataFrame) -> DataFrame:
         for f in numbered.schema.fields
     ]
     return numbered.select(F.struct(*values).alias("row"))
+
+
+def row_exact_text(table: DataFrame) -> Column:
+    """A text that is the same for two rows exactly if they are equal as structs.
+
+    NULL is empty, strings carry their length, and everything else has a text
+    without a comma, so no two different rows run together.
+    """
+    return F.concat_ws(",", *[_exact(F.col(_quoted(f.name)), f.dataType) for f in table.schema.fields])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _exact(value: Column, kind: T.DataType) -> Column:
+    match kind:
+        case T.StringType() | T.BinaryType():
+            text = F.concat(F.octet_length(value).cast("string"), F.lit(":"), value.cast("string"))
+        case T.FloatType() | T.DoubleType():
+            text = (value + F.lit(0).cast(kind)).cast("string")  # -0.0 equals 0.0
+        case T.TimestampType():
+            text = F.unix_micros(value).cast("string")  # clock text repeats an hour in autumn
+        case T.IntegralType() | T.DecimalType() | T.BooleanType() | T.DateType() | T.TimestampNTZType():
+            text = value.cast("string")
+        case _:
+            raise ValueError(f"no exact text for type {kind.simpleString()}")
+    return F.coalesce(text, F.lit(""))

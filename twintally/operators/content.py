@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.functions.rowkey import row_digest, row_struct, row_struct_digest, row_text
+from twintally.functions.rowkey import row_digest, row_exact_text, row_struct, row_struct_digest, row_text
 from twintally.operators.counts import count_rows, tally
 
 MODES = ("concat", "typed")
@@ -72,9 +72,10 @@ def content_check(
 
     ``columns`` compares a subset of the columns. ``multiset`` counts surplus
     copies of a row as differences. ``key="full"`` groups by the whole row text or
-    row, not by digests. ``buckets`` (concat mode) is for tables expected to be
+    row, not by digests. ``buckets``, a power of two, is for tables expected to be
     nearly equal: it sets aside the hash buckets whose checksums agree before
-    anything is shuffled, at the price of a second scan; the answer is the same.
+    rows are shuffled, at the price of a second scan; the answer is the same.
+    (Typed mode has no buckets for tables with nested columns.)
     """
     source, target = _only(source, columns), _only(target, columns)
     if key not in KEYS:
@@ -124,8 +125,8 @@ def rows_extra(source: DataFrame, target: DataFrame, **how: object) -> DataFrame
     return rows_missing(target, source, **how)
 
 
-def _narrowed(source: DataFrame, target: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides' ``row`` texts without those that are proven to be on both.
+def _narrowed(source: DataFrame, target: DataFrame, text: Column, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides without the rows that are proven to be on both; equal rows have equal ``text``.
 
     Rows fall into ``buckets`` by a hash. Each task adds up the SHA-256 of the rows
     of each bucket, so at most ``buckets`` rows per task are shuffled, and a bucket
@@ -137,11 +138,15 @@ def _narrowed(source: DataFrame, target: DataFrame, buckets: int) -> tuple[DataF
     """
     if not 0 < buckets <= _MOST_BUCKETS or buckets & (buckets - 1):
         raise ValueError(f"buckets must be a power of two up to {_MOST_BUCKETS}, not {buckets}")
-    bucket = F.xxhash64("row").bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
+
+    def bucket(text: Column) -> Column:
+        return F.xxhash64(text).bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
+
     low = F.lit((1 << 32) - 1)
 
     def marked(side: DataFrame, of_source: bool) -> DataFrame:
-        digests = side.select(bucket, F.unhex(F.sha2("row", 256)).alias("digest"))
+        texts = side.select(text.alias("text"))
+        digests = texts.select(bucket(F.col("text")), F.unhex(F.sha2("text", 256)).alias("digest"))
         halves = digests.select(
             _BUCKET,
             F.xxhash64(F.substring("digest", 1, 16)).alias("first"),
@@ -167,8 +172,7 @@ def _narrowed(source: DataFrame, target: DataFrame, buckets: int) -> tuple[DataF
     differing = F.broadcast(sums.filter(~equal).select(_BUCKET))
 
     def narrowed(side: DataFrame) -> DataFrame:
-        placed = side.select("row", bucket)
-        return placed.join(differing, _BUCKET, "left_semi").select("row")
+        return side.select("*", bucket(text)).join(differing, _BUCKET, "left_semi").drop(_BUCKET)
 
     return narrowed(source), narrowed(target)
 
@@ -185,12 +189,12 @@ def _grouped(source: DataFrame, target: DataFrame, mode: str, key: str, buckets:
     sides = source, target
     if mode == "typed":
         if buckets is not None:
-            raise ValueError("buckets need mode concat")
+            sides = _narrowed(*sides, row_exact_text(source), buckets)
         keyed = [row_struct_digest(s) if key == "digest" else s.select(row_struct().alias("row")) for s in sides]
     else:
         keyed = [s.select(row_text().alias("row")) for s in sides]
         if buckets is not None:
-            keyed = _narrowed(*keyed, buckets)
+            keyed = _narrowed(*keyed, F.col("row"), buckets)
         if key == "digest":
             keyed = [s.select(row_digest(F.col("row")).alias("row")) for s in keyed]
     by = [F.col("row")]

@@ -74,7 +74,7 @@ def test_parse_raises(spark, text):
 
 
 def test_process_time_choice(spark):
-    rows = [(e, d, g) for e in ("2024-1-2 3:4:5", None) for d in (0, 3600, 86400) for g in (*GRANULARITIES, None)]
+    rows = [(e, d, g) for e in ("2024-1-2 3:4:5", "", None) for d in (0, 3600, 86400) for g in (*GRANULARITIES, None)]
     table = spark.createDataFrame(rows, "e string, d int, g string")
     now = F.lit(NOW.isoformat(sep=" ")).cast("timestamp_ntz")
     found = table.select("*", process_time(F.col("e"), now, F.col("d"), F.col("g")).alias("p")).collect()
@@ -84,10 +84,11 @@ def test_process_time_choice(spark):
 
 
 def test_session_now_is_naive_and_local(spark):
-    with session_zone(spark, "Asia/Kolkata"):
-        ahead = session_now(spark)
-    assert ahead.tzinfo is None
-    assert timedelta(hours=5, minutes=29) < ahead - session_now(spark) < timedelta(hours=5, minutes=31)
+    for zone in ("Asia/Kolkata", "+05:30"):
+        with session_zone(spark, zone):
+            ahead = session_now(spark)
+        assert ahead.tzinfo is None
+        assert timedelta(hours=5, minutes=29) < ahead - session_now(spark) < timedelta(hours=5, minutes=31)
 
 
 @pytest.mark.parametrize("letter", sorted(DIRECTIVES))

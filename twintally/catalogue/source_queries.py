@@ -76,7 +76,7 @@ def scan_csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, path = table(spark, sf_dir, "documents"), fresh_folder(spark, "scan-csv-multiline")
     # A file with line breaks inside values is read by one task: keep files small.
-    documents.write.option("maxRecordsPerFile", 100_000).csv(path, header=True)
+    documents.write.option("maxRecordsPerFile", 10_000).csv(path, header=True)
     options = {"header": True, "multiLine": True}
     return read_source(spark, FileSource("csv", path, options, schema=SCHEMAS["documents"]))
 

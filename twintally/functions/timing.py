@@ -9,7 +9,6 @@ session zone never moves a window.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
-from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -78,7 +77,8 @@ def process_time(
     explicit: Column, now: Column, delay_seconds: Column, granularity: str | Column | None
 ) -> Column:
     """The explicit time if there is one, else ``now`` minus the delay; truncated."""
-    chosen = F.coalesce(parse_process_time(explicit), delayed(now, delay_seconds))
+    given = F.nullif(explicit, F.lit(""))
+    chosen = F.coalesce(parse_process_time(given), delayed(now, delay_seconds))
     return truncate(chosen, granularity)
 
 
@@ -87,8 +87,7 @@ def process_time(
 
 def session_now(spark: SparkSession) -> datetime:
     """The naive wall clock of the session time zone."""
-    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
-    return datetime.now(zone).replace(tzinfo=None)
+    return spark.range(1).select(F.localtimestamp()).first()[0]
 
 
 def truncate_time(when: datetime, granularity: str | None) -> datetime:

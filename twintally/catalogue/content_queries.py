@@ -8,10 +8,12 @@ from twintally.catalogue.registry import query
 from twintally.catalogue.source_queries import derby
 from twintally.catalogue.tables import (
     DOCUMENTS_TARGET_SQL,
+    EMBEDDINGS_TARGET_SQL,
     LINEITEM_TARGET_SQL,
     ORDERS_TARGET_SQL,
     columns_of,
     documents_target,
+    embeddings_target,
     lineitem_target,
     orders_target,
     row_text_sql,
@@ -184,6 +186,23 @@ def check_documents_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(*_pair(spark, sf_dir, "documents"), mode="typed")
 
 
+@query(
+    "content_check_nested",
+    f"""with {EMBEDDINGS_TARGET_SQL},
+numbers as (
+  select (select count(*) from embeddings) as count_source, (select count(*) from tgt) as count_target,
+         (select count(*) from (select * from embeddings except select * from tgt)) as missing,
+         (select count(*) from (select * from tgt except select * from embeddings)) as extra
+)
+select true as schema_match, count_source, count_target, missing as source_not_in_target,
+       extra as target_not_in_source, missing = 0 and extra = 0 as is_passed
+from numbers""",
+)
+def check_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return content_check(embeddings, embeddings_target(embeddings), mode="typed")
+
+
 @query("content_check_same_table", _check_sql("lineitem", "tgt as (select * from lineitem)"))
 def check_same_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "lineitem"))

@@ -107,6 +107,19 @@ tgt as (
 )"""
 
 
+def embeddings_target(embeddings: DataFrame) -> DataFrame:
+    """Embeddings with one label missing and the vectors of another reversed."""
+    vector = F.when(F.col("label") == 1, F.reverse("embedding")).otherwise(F.col("embedding"))
+    return embeddings.filter(F.col("label") != 0).select("vec_id", vector.alias("embedding"), "label")
+
+
+EMBEDDINGS_TARGET_SQL = """
+tgt as (
+  select vec_id, case when label = 1 then list_reverse(embedding) else embedding end as embedding, label
+  from embeddings where label <> 0
+)"""
+
+
 def columns_of(name: str) -> list[str]:
     return [column.split()[0] for column in SCHEMAS[name].split(", ")]
 

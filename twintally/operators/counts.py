@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +17,22 @@ from twintally.functions.measures import with_count_verdict
 from twintally.functions.timing import truncate
 
 
-def tally(table: DataFrame, *, of_source: bool, each: Column | int = 1, by: Sequence[Column] = ()) -> DataFrame:
-    """``by`` columns, then ``s`` and ``t``: ``each`` on the side's own, 0 on the other."""
-    own = (each if isinstance(each, Column) else F.lit(each)).cast("bigint")
-    none = F.lit(0).cast("bigint")
-    s, t = (own, none) if of_source else (none, own)
-    return table.select(*by, s.alias("s"), t.alias("t"))
+def tally(table: DataFrame, *, of_source: bool, each: str = "1L", by: Sequence[Column] = ()) -> DataFrame:
+    """``by`` columns, then bigints ``s`` and ``t``: ``each`` on the side's own, 0 on the other."""
+    s, t = (each, "0L") if of_source else ("0L", each)
+    return table.select(*by, F.expr(f"{s} as s"), F.expr(f"{t} as t"))
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """The union of frames with the same columns.
+
+    Neighbours are joined pairwise: a union is analysed as soon as it is made, so
+    adding one frame at a time would analyse the first ones again and again.
+    """
+    while len(frames) > 1:
+        pairs = [left.unionAll(right) for left, right in zip(frames[::2], frames[1::2])]
+        frames = pairs + list(frames[2 * len(pairs) :])
+    return frames[0]
 
 
 def _totals() -> tuple[Column, Column]:
@@ -105,13 +114,11 @@ def batch_row_count(checks: Sequence[CountCheck]) -> DataFrame:
     thresholds = F.array(*[
         F.struct(F.lit(c.name).alias("check_name"), F.lit(c.threshold).alias("threshold")) for c in checks
     ])
-    zeros = spark.range(0, 1, 1, 1).select(F.inline(thresholds)).select(
-        "check_name", "threshold", F.lit(0).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("t")
-    )
-    sides = [zeros]
+    by = [F.col("check_name"), F.col("threshold")]
+    sides = [tally(spark.range(0, 1, 1, 1).select(F.inline(thresholds)), of_source=True, each="0L", by=by)]
     for check in checks:
         by = [F.lit(check.name).alias("check_name"), F.lit(check.threshold).alias("threshold")]
         sides.append(tally(check.source, of_source=True, by=by))
         sides.append(tally(check.target, of_source=False, by=by))
-    counted = reduce(DataFrame.unionAll, sides).groupBy("check_name", "threshold").agg(*_totals())
+    counted = union_all(sides).groupBy("check_name", "threshold").agg(*_totals())
     return with_count_verdict(counted, F.col("threshold"))

@@ -12,32 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twintally.llm.exact_dedup import drop_exact_copies
-from twintally.llm.language import UNKNOWN, fit_language, identify_languages
+from twintally.llm.language import drop_unknown, fit_language
 from twintally.llm.packing import pack_documents
 from twintally.llm.scratch import Scratch
 from twintally.llm.simhash import drop_near_copies
-from twintally.llm.toxicity import fit_toxicity, fold, score_toxicity
-
-
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose identifier is not among the rejected ones."""
-    gone = rejected.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+from twintally.llm.toxicity import drop_toxic, fit_toxicity, fold
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose toxicity score is 0.5 or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id"), 5) != 0)
-    scored = score_toxicity(docs, fit_toxicity(docs, labels))
-    rejected = Scratch(spark, "stage").keep(scored.where("predicted = 1").select("doc_id"), "toxic")
-    return _without(docs, rejected)
+    return drop_toxic(docs, fit_toxicity(docs, labels))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: those without text or without a letter."""
-    found = identify_languages(docs, fit_language(docs.where(fold(F.col("doc_id"), 3) != 1)))
-    rejected = Scratch(spark, "stage").keep(found.where(F.col("lang_pred") == UNKNOWN).select("doc_id"), "unknown")
-    return _without(docs, rejected)
+    return drop_unknown(docs, fit_language(docs.where(fold(F.col("doc_id"), 3) != 1)))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

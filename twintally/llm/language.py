@@ -210,3 +210,17 @@ def identify_languages(
 
     rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
     return rows.mapInArrow(compute, "doc_id long, lang_pred string, score double")
+
+
+def drop_unknown(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have a language, as they are; no row is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_column)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(at, 64) for at in range(0, batch.num_rows, 64)):
+                names, _ = shared.value.predict(part.column(place).to_pylist())
+                yield part.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+
+    return docs.mapInArrow(known, docs.schema)

@@ -254,3 +254,16 @@ def score_toxicity(
 
     rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
     return rows.mapInArrow(compute, "doc_id long, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below 0.5, as they are; no row is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_column)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                yield part.filter(pa.array(shared.value.scores(part.column(place).to_pylist()) < 0.5))
+
+    return docs.mapInArrow(clean, docs.schema)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.llm.scratch import quoted
+from twintally.llm.scratch import quoted, without
 
 _ENTRY = ["digest", "n_bytes", "check"]
 
@@ -94,7 +94,5 @@ def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: s
     other text with it. Settings are those of :func:`exact_groups`.
     """
     groups = exact_groups(docs, id_column, text_column, **settings)
-    gone = groups.where("not kept").select("doc_id", F.unhex("text_sha256").alias("digest")).distinct()
-    digest = text_entry(quoted(text_column))[0]
-    same = quoted(id_column).cast("long").eqNullSafe(gone["doc_id"]) & (digest == gone["digest"])
-    return docs.join(gone, same, "left_anti")
+    gone = groups.where("not kept").select("doc_id", F.unhex("text_sha256"))
+    return without(docs, gone, [quoted(id_column).cast("long"), text_entry(quoted(text_column))[0]])

@@ -84,3 +84,16 @@ def _small_star(pairs: DataFrame) -> DataFrame:
 def quoted(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def without(docs: DataFrame, gone: DataFrame, like: list[Column]) -> DataFrame:
+    """The rows of ``docs`` for which ``gone`` has no row whose columns equal ``like``, in order; nulls are equal."""
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for place in range(len(gone.columns)):
+        name = f"gone_{place}"
+        while name in taken:
+            name += "_"
+        names.append(name)
+    same = [column.eqNullSafe(F.col(name)) for column, name in zip(like, names)]
+    return docs.join(gone.toDF(*names).distinct(), same, "left_anti")

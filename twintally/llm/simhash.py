@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twintally.llm import golay
-from twintally.llm.scratch import Scratch, components, quoted
+from twintally.llm.scratch import Scratch, components, quoted, without
 
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits of each segment
@@ -229,6 +229,5 @@ def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
     if its component has another. Settings are those of :func:`simhash_groups`.
     """
     groups = simhash_groups(docs, id_column, text_column, **settings)
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone = groups.where(~stays).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, quoted(id_column).cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    return without(docs, gone, [quoted(id_column).cast("long")])

@@ -170,14 +170,12 @@ class TrieEncoder:
         plain = [[*self._pieces(text)] for text in texts]
         loose = set().union(*(p[0] for pieces in plain for p in pieces if not isinstance(p, int) and not p[1]))
         chunks = set().union(*(p[0] for pieces in plain for p in pieces if not isinstance(p, int) and p[1]))
-        self.chunks.want(chunks, self._learn_chunks)
-        self.words.want(loose, self.learn)
-        return [np.frombuffer(b"".join(self._ids(pieces)), "<i4") for pieces in plain]
+        known = self.chunks.look_up(chunks, self._learn_chunks), self.words.look_up(loose, self.learn)
+        return [np.frombuffer(b"".join(_ids(pieces, *known)), "<i4") for pieces in plain]
 
     def _learn_chunks(self, chunks: set[str]) -> dict[str, bytes]:
         cut = {c: WORDS.findall(c) for c in chunks}
-        self.words.want(set().union(*cut.values()), self.learn)
-        ids = self.words.__getitem__
+        ids = self.words.look_up(set().union(*cut.values()), self.learn).__getitem__
         return {c: ids(words[0]) if len(words) == 1 else b"".join(map(ids, words)) for c, words in cut.items()}
 
     def _pieces(self, text: str) -> Iterator[tuple[list[str], bool] | int]:
@@ -191,18 +189,19 @@ class TrieEncoder:
                 first, *rest = part.split(" ")
                 yield ([first] if first else []) + [" " + piece for piece in rest], True
 
-    def _ids(self, pieces) -> Iterator[bytes]:
-        for piece in pieces:
-            if isinstance(piece, int):
-                yield np.array([piece], "<i4").tobytes()
-            else:
-                yield b"".join(map((self.chunks if piece[1] else self.words).__getitem__, piece[0]))
-
     def decode(self, ids: Iterable[int]) -> str:
         """The text of token ids; bytes that are no UTF-8 become replacement characters."""
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _ids(pieces: list, chunks: dict[str, bytes], words: dict[str, bytes]) -> Iterator[bytes]:
+    for piece in pieces:
+        if isinstance(piece, int):
+            yield np.array([piece], "<i4").tobytes()
+        else:
+            yield b"".join(map((chunks if piece[1] else words).__getitem__, piece[0]))
+
+
 @cache
 def _encoder(path: str) -> TrieEncoder:
     return TrieEncoder(path)

@@ -18,14 +18,24 @@ class Memo(dict):
         self.most = most
         self.older: dict = {}
 
-    def want(self, keys: set, learn: Callable[[set], dict]) -> None:
-        """Makes every key present: kept, taken from the older generation or learnt."""
+    def look_up(self, keys: set, learn: Callable[[set], dict]) -> dict:
+        """A table of just these keys: kept, taken from the older generation or learnt."""
         if len(self) > self.most:
             self.older = dict(self)
             self.clear()
-        missing = keys - self.keys()
-        known = missing & self.older.keys()
-        self.update((key, self.older[key]) for key in known)
-        missing -= known
+        found, missing = {}, set()
+        own, older = self.get, self.older.get
+        for key in keys:
+            value = own(key)
+            if value is None:
+                value = older(key)
+                if value is None:
+                    missing.add(key)
+                    continue
+                self[key] = value
+            found[key] = value
         if missing:
-            self.update(learn(missing))
+            learnt = learn(missing)
+            self.update(learnt)
+            found |= learnt
+        return found

@@ -13,8 +13,8 @@ packed by cutting, so that a task leaves at most one window that is not full.
 
 from __future__ import annotations
 
-import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from twintally.llm.bpe import byte_letters
 from twintally.llm.memo import Memo
 from twintally.llm.scratch import quoted
 
 WINDOW, EOS, MOST_OPEN = 2048, 1, 2048
 
-_CACHED_CHUNKS = 300_000
+_CACHED_CHUNKS = 600_000
 _PLAIN_ENDS = frozenset(".,;:!?")
+_LETTERS = dict(enumerate(byte_letters()))
 # White space to Python that the tokenizer does not take for white space.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -51,19 +53,13 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        model = json.loads(self.tokenizer.to_str())["model"]
-        suffix = model.get("end_of_word_suffix")
-        self.ends_word = np.zeros(max(model["vocab"].values()) + 1, bool)
-        if suffix:
-            self.ends_word[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
         self.chunks = Memo(_CACHED_CHUNKS)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         odd = [*self.specials, *_ODD_SPACE]
         split = [None if any(s in text for s in odd) else text.split() for text in texts]
-        self.chunks.want(set().union(*(words for words in split if words)), self._learn)
-        ids = self.chunks.__getitem__
+        ids = self.chunks.look_up(set().union(*(words for words in split if words)), self._learn).__getitem__
         return [
             self._library([text])[0] if words is None else b"".join(map(ids, words)) for text, words in zip(texts, split)
         ]
@@ -73,29 +69,27 @@ class ChunkEncoder:
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of new chunks; a mark at a word's end is a token of its own."""
-        marked = {c: c[:-1] for c in chunks if c[-1] in _PLAIN_ENDS and c[-2:-1].isalnum()}
-        parts = (chunks - marked.keys()).union(marked.values())
-        plain = [p for p in parts if p.isalpha() and max(p) < "\u0250" and "\u0130" not in p]
-        others = list(parts.difference(plain))
-        known = dict(zip(others, self._library(others)))
-        known.update(zip(plain, self._plain_words(plain)))
         marks = dict(zip(_PLAIN_ENDS, self._library(list(_PLAIN_ENDS))))
-        found = {c: known[c] for c in chunks - marked.keys()}
-        found.update((c, known[p] + marks[c[-1]]) for c, p in marked.items())
-        return found
-
-    def _plain_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of plain letters, many in one call: each ends with a token that ends a word."""
-        found: list[bytes] = []
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            ids = np.frombuffer(self._library([" ".join(some)])[0], "<u4")
-            stops = np.nonzero(self.ends_word[ids])[0] + 1
-            if len(stops) != len(some):  # a vocabulary without marks of word ends
-                found += self._library(some)
-                continue
-            whole, stops = ids.tobytes(), (4 * stops).tolist()
-            found += [whole[a:b] for a, b in zip([0, *stops], stops)]
+        split = self.tokenizer.model.tokenize
+        found: dict[str, bytes] = {}
+        known: dict[str, bytes] = {}
+        others: list[str] = []
+        for chunk in chunks:
+            word, mark = chunk, b""
+            if chunk[-1] in marks and chunk[-2:-1].isalnum():
+                word, mark = chunk[:-1], marks[chunk[-1]]
+            ids = known.get(word)
+            if ids is None:
+                # A word of plain letters passes the normaliser and the cutting into words as it is, but for its case.
+                if not word.isalpha() or max(word) >= "\u0250" or "\u0130" in word:
+                    others.append(chunk)
+                    continue
+                letters = word.lower()
+                if not letters.isascii():
+                    letters = letters.encode("utf-8").decode("latin-1").translate(_LETTERS)
+                ids = known[word] = array("I", [token.id for token in split(letters)]).tobytes()
+            found[chunk] = ids + mark
+        found.update(zip(others, self._library(others)))
         return found
 
 
@@ -225,7 +219,7 @@ def pack_documents(
         texts = (
             (part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()])
             for batch in batches
-            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256))
+            for part in (batch.slice(at, 1000) for at in range(0, batch.num_rows, 1000))
         )
         first = TaskContext.get().partitionId() << 32
         held: list[tuple] = []

@@ -14,6 +14,7 @@ from twintally.llm.embeddings import near_vectors
 from twintally.llm.exact_dedup import exact_groups
 from twintally.llm.language import fit_language, identify_languages
 from twintally.llm.licenses import TEMPLATES, scan_licenses
+from twintally.llm.lines import line_report
 from twintally.llm.packing import pack_documents
 from twintally.llm.simhash import simhash_groups
 from twintally.llm.toxicity import fit_toxicity, fold, score_toxicity
@@ -151,6 +152,12 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle_words=4, most_distance=4)
 
 
+@query("op7_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = line_report(table(spark, sf_dir, "documents"))
+    return report.withColumn("dropped", F.array_join("dropped", ","))
+
+
 @query("op8_embedding_dedup")
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -107,7 +107,8 @@ def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(one: np.ndarray, other: np.ndarray, most: int) -> np.ndarray:
-    return np.bitwise_count(one ^ other) <= most
+    # Counts bits of unsigned numbers: of negative ones NumPy would count the absolute value's.
+    return np.bitwise_count(np.bitwise_xor(one, other).view(np.uint64)) <= most
 
 
 def _walk(prints: np.ndarray, most: int) -> list[tuple[int, int]]:

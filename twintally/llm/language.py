@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from twintally.llm.scratch import Scratch, quoted
+from twintally.llm.scratch import Scratch, map_rows, quoted
 
 MOST_N = 3
 LETTERS = 128  # characters that n-grams are made of: the most common of the landmarks
@@ -223,4 +223,4 @@ def drop_unknown(docs: DataFrame, model: LanguageModel, text_column: str = "text
                 names, _ = shared.value.predict(part.column(place).to_pylist())
                 yield part.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
 
-    return docs.mapInArrow(known, docs.schema)
+    return map_rows(docs, known)

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.llm.scratch import Scratch, quoted
+from twintally.llm.scratch import Scratch, map_rows, quoted
 from twintally.llm.words import word_hashes
 
 MOST_PER_CLASS = 4000
@@ -266,4 +266,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_column: str = "text")
             for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
                 yield part.filter(pa.array(shared.value.scores(part.column(place).to_pylist()) < 0.5))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return map_rows(docs, clean)

@@ -33,7 +33,8 @@ from twintally.llm.scratch import quoted
 WINDOW, EOS, MOST_OPEN = 2048, 1, 2048
 
 _CACHED_CHUNKS = 600_000
-_PLAIN_ENDS = frozenset(".,;:!?")
+# Neither letters nor digits, nor the start of a contraction.
+_MARKS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
 _LETTERS = dict(enumerate(byte_letters()))
 # White space to Python that the tokenizer does not take for white space.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -68,16 +69,17 @@ class ChunkEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of new chunks; a mark at a word's end is a token of its own."""
-        marks = dict(zip(_PLAIN_ENDS, self._library(list(_PLAIN_ENDS))))
+        """Ids of new chunks; marks after a word of letters are cut from it by the tokenizer as well."""
         split = self.tokenizer.model.tokenize
+        marks: dict[str, bytes] = {"": b""}
         found: dict[str, bytes] = {}
         known: dict[str, bytes] = {}
         others: list[str] = []
         for chunk in chunks:
-            word, mark = chunk, b""
-            if chunk[-1] in marks and chunk[-2:-1].isalnum():
-                word, mark = chunk[:-1], marks[chunk[-1]]
+            word = chunk.rstrip(_MARKS)
+            mark = chunk[len(word) :]
+            if mark not in marks:
+                marks[mark] = self._library([mark])[0]
             ids = known.get(word)
             if ids is None:
                 # A word of plain letters passes the normaliser and the cutting into words as it is, but for its case.
@@ -88,7 +90,7 @@ class ChunkEncoder:
                 if not letters.isascii():
                     letters = letters.encode("utf-8").decode("latin-1").translate(_LETTERS)
                 ids = known[word] = array("I", [token.id for token in split(letters)]).tobytes()
-            found[chunk] = ids + mark
+            found[chunk] = ids + marks[mark]
         found.update(zip(others, self._library(others)))
         return found
 

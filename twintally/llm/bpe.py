@@ -30,7 +30,7 @@ from twintally.llm.scratch import quoted
 # Fixed value: the public pattern by which byte-level BPE cuts text into words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-_CACHED = 300_000
+_CACHED = 400_000
 
 
 def byte_letters() -> list[str]:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from twintally import SchemaMismatch, content_check, rows_extra, rows_missing
+from twintally import SchemaMismatch, content_check, rows_extra, rows_missing, schema_difference
 from twintally.operators import distinct_fingerprints, row_fingerprint
 
 
@@ -131,7 +131,7 @@ def test_mismatch_still_counts(spark):
 
 def test_bad_settings(spark):
     side = spark.range(1)
-    for how in ({"mode": "json"}, {"key": "crc"}, {"buckets": 0}, {"buckets": 12}, {"buckets": 1 << 21}):
+    for how in ({"mode": "json"}, {"key": "crc"}, {"buckets": 0}, {"buckets": 12}, {"columns": ["nowhere"]}):
         with pytest.raises(ValueError):
             content_check(side, side, **how)
     nested = spark.sql("select array(1) x")
@@ -205,3 +205,38 @@ def test_buckets_keep_typed_equality(spark, kind):
             assert content_check(left, right, mode="typed", buckets=4, multiset=True).first() == full
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+WAYS = [
+    {"mode": mode, "key": key, "buckets": buckets} for mode in ("concat", "typed") for key in ("digest", "full") for buckets in (None, 4)
+]
+
+
+@pytest.mark.parametrize("kind", ["string", "string collate UTF8_LCASE", "binary"])
+@pytest.mark.parametrize("how", WAYS, ids=str)
+def test_every_way_has_the_same_answer(spark, kind, how):
+    texts = ["A", "b", "C" * 19, "D" * 20, "e" * 21, "F" * 4000, "", None]
+    source = frame(spark, [(t,) for t in texts], "x string").select(F.col("x").cast(kind).alias("x"))
+    lower = frame(spark, [(t and t.lower(),) for t in texts], "x string").select(F.col("x").cast(kind).alias("x"))
+    alike = "LCASE" in kind
+    assert outcome(source, lower, **how) == (EQUAL if alike else (True, 4, 4, False))
+    assert outcome(source, source, **how) == EQUAL
+    missing = rows_missing(source, lower, mode=how["mode"], buckets=how["buckets"])
+    assert missing.count() == (0 if alike else 4)
+
+
+def test_columns_are_named_letter_by_letter(spark):
+    one, other = frame(spark, [(1, 2)], "A int, `x.y` int"), frame(spark, [(1, 2)], "a int, `x.y` int")
+    assert outcome(one, other, columns=["x.y"]) == EQUAL
+    assert outcome(one, other, columns=["A"]) == outcome(one, other, columns=["a"]) == (False, None, None, False)
+    twice = spark.sql("select 1 as k, 2 as v, 3 as v")
+    assert outcome(twice, twice, columns=["k"]) == EQUAL
+
+
+def test_what_differs_in_schemas(spark):
+    one, other = spark.sql("select 1 as a, 2L as b, 3 as c"), spark.sql("select 1 as A, 2 as b")
+    found = schema_difference(one, other)
+    assert [tuple(r) for r in found.collect()] == [(0, "a", "int", "A", "int"), (2, "c", "int", None, None)]
+    typed = schema_difference(one, other, mode="typed", columns=["b"])
+    assert [tuple(r) for r in typed.collect()] == [(0, "b", "bigint", "b", "int")]
+    assert schema_difference(one, one).collect() == []

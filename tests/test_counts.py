@@ -87,3 +87,15 @@ def test_batch_names(spark):
         batch_row_count([check, check])
     with pytest.raises(ValueError):
         batch_row_count([])
+
+
+@pytest.mark.parametrize("threshold", [2.5, -3, 101, "5", True, None])
+def test_thresholds_are_whole_percent(spark, threshold):
+    side = spark.range(3).select(F.current_timestamp().alias("t"))
+    for check in (
+        lambda: row_count_check(side, side, threshold),
+        lambda: windowed_row_count(side, side, threshold, "daily", "t"),
+        lambda: batch_row_count([CountCheck("a", side, side, threshold)]),
+    ):
+        with pytest.raises(ValueError, match="threshold"):
+            check()

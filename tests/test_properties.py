@@ -11,7 +11,7 @@ TEXT = st.one_of(st.none(), st.text(alphabet="ab|", max_size=4))
 ROWS = st.lists(st.tuples(TEXT, st.one_of(st.none(), st.integers(-2, 2))), max_size=12)
 SCHEMA = "x string, y int"
 
-few = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=50, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def rendered(row):

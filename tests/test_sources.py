@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from twintally import FileSource, JdbcSource, conform, content_check, read_source
+from twintally import FileSource, JdbcSource, conform, content_check, read_source, row_count_check
 from twintally.catalogue.source_queries import derby
 from twintally.catalogue.tables import table
 from twintally.sources import read_count, source_from_mapping
@@ -59,7 +59,7 @@ def test_csv_options_reach_the_reader(spark, tmp_path, options, names, rows):
     [
         lambda: FileSource("orc", "/x"),
         lambda: FileSource("csv", ""),
-        lambda: FileSource("csv", "/x", {"quoteAll": True}),
+        lambda: FileSource("csv", "/x", {"quoteEverything": True}),
         lambda: FileSource("parquet", "/x", {"header": True}),
         lambda: FileSource("csv", "/x", {"mode": "STRICT"}),
         lambda: FileSource("csv", "/x", {"unescapedQuoteHandling": "GUESS"}),
@@ -179,7 +179,7 @@ def test_round_trips(spark, sf_dir, tmp_path):
     as_text = read_source(spark, FileSource("csv", path, {"header": True}))
     inferred = read_source(spark, FileSource("csv", path, {"header": True, "inferSchema": True}))
     assert differing(orders, as_text) == 15000  # timestamps are laid out differently
-    assert differing(orders, conform(as_text, orders.schema)) == 0
+    assert content_check(orders, as_text, conform=True).first().is_passed
     assert differing(orders, inferred) == 0
 
 
@@ -198,11 +198,54 @@ def test_padded_text_from_a_database(spark, small_dir):
     nation = table(spark, small_dir, "nation")
     padded = nation.withColumn("n_name", F.rpad("n_name", 40, " "))
     assert differing(nation, padded) == 25
-    assert differing(nation, conform(padded, nation.schema)) == 0
-    assert differing(nation, conform(padded, nation.schema, trim_right=False)) == 25
+    assert differing(nation, conform(padded, nation.schema)[0]) == 0
+    assert differing(nation, conform(padded, nation.schema, trim_right=False)[0]) == 25
 
 
 def test_conform_keeps_names_and_further_columns(spark):
     odd = spark.sql("select '1' as `a.b`, 2 as extra")
     like = spark.sql("select 1L as id").schema
-    assert conform(odd, like).dtypes == [("a.b", "bigint"), ("extra", "int")]
+    kept, changed = conform(odd, like)
+    assert kept.dtypes == [("a.b", "bigint"), ("extra", "int")] and changed.dtypes == odd.dtypes
+    twice = spark.sql("select '1' as x, '2' as x")
+    assert [tuple(r) for r in conform(twice, spark.sql("select 1 as x, 2 as x").schema)[0].collect()] == [(1, 2)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_cast_that_loses_something_is_a_difference(spark, ansi):
+    wanted = "id int, day date, price decimal(5,2), amount double, name string, at timestamp_ntz"
+    source = spark.sql(
+        """select 1 as id, date'2024-01-01' as day, 1.25bd as price, 0.1d as amount, 'x' as name, timestamp_ntz'2024-01-01 01:00:00' as at"""
+    ).select(*[F.col(c.split(" ")[0]).cast(c.split(" ")[1]) for c in wanted.split(", ")])
+    good = dict(id="1", day="2024-01-01", price="1.250", amount="0.1", name="x  ", at="2024-01-01T01:00:00.000")
+    bad = [{"id": "1.9"}, {"id": "abc"}, {"day": "2024-01-01 13:00:00"}, {"price": "1.2549"}, {"price": "12345"}, {"at": "noon"}, {"amount": "-"}]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for change, differs in [({}, 0), *[(b, 1) for b in bad]]:
+            text = spark.createDataFrame([tuple({**good, **change}.values())], ", ".join(f"{c} string" for c in good))
+            for mode in ("concat", "typed"):
+                found = content_check(source, text, mode=mode, conform=True).first()
+                assert (found.source_not_in_target, found.target_not_in_source, found.count_target) == (differs, differs, 1), change
+        typed = spark.sql("select 1.9d as id, timestamp_ntz'2024-01-01 13:00:00' as day, 1.2549bd as price, 0.1d as amount, 'x' as name, null as at")
+        for column in ("id", "day", "price"):
+            kept, changed = conform(typed.select(column), source.select(column).schema)
+            assert (kept.count(), changed.count()) == (0, 1)
+        assert conform(typed.select("at"), source.select("at").schema)[0].count() == 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_bounds_come_from_the_database(spark, small_dir):
+    split = {"partitionColumn": '"c_custkey"'}
+    source = JdbcSource({**derby(spark, small_dir, "customer"), "dbtable": "customer", **split})
+    found = read_source(spark, source)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert found.count() == 150 and row_count_check(source, source, 0).first().is_passed
+    none = {**derby(spark, small_dir, "customer"), "query": 'select * from customer where "c_custkey" < 0', **split}
+    assert read_source(spark, JdbcSource(none)).count() == 0
+    assert "count" in str(row_count_check(source, found.limit(0), 0)._jdf.queryExecution().optimizedPlan()).lower()
+
+
+def test_writer_options_of_csv_are_taken_without_effect():
+    assert FileSource("csv", "/x", {"quoteAll": "true", "escapeQuotes": "false", "sep": "|"}).options == {"sep": "|"}

@@ -1,29 +1,34 @@
+import os
+
 import pytest
 
 from twintally import storage
 
 
 class Session:
-    """A session with a setting and a master, as far as the storage module looks."""
+    """A session with settings and a master, as far as ``shared_folder`` looks."""
 
-    def __init__(self, folder, master):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+    def __init__(self, master, checkpoints=None, warehouse=None):
+        named = {"spark.checkpoint.dir": checkpoints, "spark.sql.warehouse.dir": warehouse}
+        self.conf = {name: folder for name, folder in named.items() if folder}
         self.sparkContext = type("Context", (), {"master": master})
 
 
 def test_the_cluster_names_the_folder():
-    session = Session("hdfs://nn/shared/", "spark://host:7077")
-    assert storage.shared_folder(session) == "hdfs://nn/shared"
-    first, second = (storage.fresh_folder(session, "log") for _ in range(2))
-    assert first.startswith("hdfs://nn/shared/log-") and first != second
+    assert storage.shared_folder(Session("spark://host:7077", "hdfs://nn/shared/", "hdfs://nn/w")) == "hdfs://nn/shared"
+    assert storage.shared_folder(Session("yarn", None, "hdfs://nn/warehouse")) == "hdfs://nn/warehouse"
 
 
-def test_without_a_setting_only_a_local_session_has_one():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        storage.shared_folder(Session(None, "yarn"))
-    local = Session(None, "local[2]")
-    assert storage.shared_folder(local) == storage.shared_folder(local)
+def test_a_folder_of_one_machine_is_for_local_sessions():
+    for master, folder in (("yarn", "file:/tmp/x"), ("spark://h:7077", "file:///tmp/x"), ("yarn", None)):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            storage.shared_folder(Session(master, folder))
+    assert storage.shared_folder(Session("local[2]", None, "file:/w/")) == "file:/w"
 
 
-def test_the_setting_is_read_from_a_real_session(spark):
-    assert storage.shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+def test_fresh_folders_of_a_real_session(spark):
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert storage.shared_folder(spark) == shared
+    first, second = (storage.fresh_folder(spark, "log") for _ in range(2))
+    assert first.startswith(f"{shared}/log-") and first != second
+    assert os.path.isdir(os.path.dirname(first)) and not os.path.exists(first)

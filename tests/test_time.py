@@ -2,6 +2,7 @@ from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from twintally.functions import parse_process_time, process_time, render, render_column, truncate
@@ -113,3 +114,18 @@ def test_unknown_directives_raise(spark, template):
         render(template, NOW)
     with pytest.raises(ValueError, match="unknown directive"):
         render_column(F.lit(None), template)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_an_explicit_time_that_cannot_be_read_is_an_error(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        now = F.lit("2024-01-02 03:04:05").cast("timestamp_ntz")
+        for text in ("not a time", "2024-13-01 00:00:00"):
+            with pytest.raises(PySparkException):
+                spark.range(1).select(process_time(F.lit(text), now, F.lit(0), "daily")).collect()
+        unset = spark.range(1).select(process_time(F.lit(None).cast("string"), now, F.lit(0), "daily"), process_time(F.lit(""), now, F.lit(0), None))
+        assert [t.hour for t in unset.first()] == [0, 3]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -8,6 +8,7 @@ from twintally.operators import (
     row_count_check,
     rows_extra,
     rows_missing,
+    schema_difference,
     windowed_row_count,
 )
 from twintally.plans import CheckSpec, check_outcome, run_checks, spec_from_mapping
@@ -31,6 +32,7 @@ __all__ = [
     "rows_extra",
     "rows_missing",
     "run_checks",
+    "schema_difference",
     "spec_from_mapping",
     "windowed_row_count",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from twintally.catalogue.registry import query
 from twintally.catalogue.source_queries import derby
@@ -20,7 +21,7 @@ from twintally.catalogue.tables import (
     table,
 )
 from twintally.operators import content_check, distinct_fingerprints, row_fingerprint, rows_extra, rows_missing
-from twintally.sources import FileSource, JdbcSource, conform, read_source
+from twintally.sources import FileSource, JdbcSource, read_source
 from twintally.storage import fresh_folder
 
 
@@ -227,11 +228,63 @@ def check_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     target.write.csv(path, header=True)
     # Without a schema every column of the file is text, and timestamps differ in layout.
     written = read_source(spark, FileSource("csv", path, {"header": True}))
-    return content_check(orders, conform(written, orders.schema))
+    return content_check(orders, written, conform=True)
+
+
+def _lossy(orders: DataFrame) -> DataFrame:
+    """Orders as another system might hold them: wider types, with values that the types of ``orders`` have no room for."""
+    key = F.col("o_orderkey")
+    changed = {
+        "o_orderkey": F.when(key % 97 == 0, key + 0.9).otherwise(key.cast("double")),
+        "o_custkey": F.when(key % 83 == 0, F.lit("unknown")).otherwise(F.col("o_custkey").cast("string")),
+        "o_totalprice": F.col("o_totalprice").cast("string"),
+        "o_orderstatus": F.rpad("o_orderstatus", 8, " "),
+    }
+    return orders.withColumns(changed)
+
+
+_LOSSY_SQL = """
+with tgt as (
+  select case when o_orderkey % 97 = 0 then o_orderkey + 0.9 else cast(o_orderkey as double) end as k,
+         case when o_orderkey % 83 = 0 then 'unknown' else cast(o_custkey as varchar) end as c, o_orderkey
+  from orders
+), changed as (
+  select * from tgt where try_cast(c as bigint) is null or cast(try_cast(k as bigint) as double) <> k
+)
+select true as schema_match, (select count(*) from orders) as count_source, (select count(*) from tgt) as count_target,
+       (select count(*) from changed) as source_not_in_target, (select count(*) from changed) as target_not_in_source,
+       (select count(*) from changed) = 0 as is_passed"""
+
+
+@query("content_check_conformed_lossy", _LOSSY_SQL)
+def check_conformed_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return content_check(orders, _lossy(orders), conform=True)
+
+
+@query("content_check_conformed_unparsable", _LOSSY_SQL)
+def check_conformed_unparsable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    # All text, as from a file without a schema.
+    texts = _lossy(orders).select(*[F.col(c).cast("string").alias(c) for c in orders.columns])
+    return content_check(orders, texts, mode="typed", conform=True)
+
+
+@query(
+    "content_check_columns_case",
+    """select false as schema_match, count(*) as count_source, count(*) as count_target,
+       cast(null as bigint) as source_not_in_target, cast(null as bigint) as target_not_in_source,
+       false as is_passed
+from orders""",
+)
+def check_columns_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return content_check(orders, orders.withColumnRenamed("o_orderkey", "O_ORDERKEY"), columns=["o_custkey", "O_ORDERKEY"])
 
 
 @query("content_check_jdbc", _check_sql("customer", "tgt as (select * from customer where c_mktsegment <> 'BUILDING')"))
 def check_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = """select * from customer where "c_mktsegment" <> 'BUILDING'"""
-    target = read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "query": wanted}))
+    split = {"partitionColumn": '"c_custkey"'}
+    target = read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "query": wanted, **split}))
     return content_check(table(spark, sf_dir, "customer"), target)

@@ -38,7 +38,9 @@ def derby(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
             "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
         }
         rows = table(spark, sf_dir, name)
-        texts = ", ".join(f"{c} varchar(200)" for c, kind in rows.dtypes if kind == "string")
+        longest = rows.agg(*[F.max(F.char_length(c)).alias(c) for c, kind in rows.dtypes if kind == "string"]).first()
+        kinds = {c: f"varchar({max(n or 1, 1)})" if (n or 1) <= 32_672 else "clob" for c, n in longest.asDict().items()}
+        texts = ", ".join(f"{c} {kind}" for c, kind in kinds.items())
         rows.write.format("jdbc").options(**options, dbtable=name, createTableColumnTypes=texts).save()
         _loaded[key] = options["url"]
     return {"url": _loaded[key], "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
@@ -83,19 +85,28 @@ def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_jdbc_table", "select * from supplier")
 def scan_jdbc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, JdbcSource({**derby(spark, sf_dir, "supplier"), "dbtable": "supplier"}))
+    split = {"partitionColumn": '"s_suppkey"'}
+    return read_source(spark, JdbcSource({**derby(spark, sf_dir, "supplier"), "dbtable": "supplier", **split}))
+
+
+@query("scan_jdbc_auto_bounds", "select * from orders where o_totalprice > 1000")
+def scan_jdbc_auto_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = 'select * from orders where "o_totalprice" > 1000'
+    split = {"partitionColumn": '"o_custkey"', "preferTimestampNTZ": True}
+    return read_source(spark, JdbcSource({**derby(spark, sf_dir, "orders"), "query": wanted, **split}))
 
 
 @query("scan_jdbc_query", "select c_custkey, c_acctbal from customer where c_mktsegment = 'BUILDING'")
 def scan_jdbc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = """select "c_custkey", "c_acctbal" from customer where "c_mktsegment" = 'BUILDING'"""
-    return read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "query": wanted}))
+    split = {"partitionColumn": '"c_custkey"'}
+    return read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "query": wanted, **split}))
 
 
 @query("scan_jdbc_partitioned", "select * from customer")
 def scan_jdbc_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high = table(spark, sf_dir, "customer").agg(F.min("c_custkey"), F.max("c_custkey")).first()
-    split = {"partitionColumn": '"c_custkey"', "lowerBound": low, "upperBound": high, "numPartitions": 4}
+    split = {"partitionColumn": '"c_custkey"', "lowerBound": low, "upperBound": high}
     return read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "dbtable": "customer", **split}))
 
 
@@ -106,7 +117,7 @@ def scan_jdbc_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_jdbc_partitioned_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high = table(spark, sf_dir, "customer").agg(F.min("c_custkey"), F.max("c_custkey")).first()
     wanted = """select "c_custkey", "c_mktsegment" from customer where "c_acctbal" > 0"""
-    split = {"partitionColumn": '"c_custkey"', "lowerBound": low, "upperBound": high, "numPartitions": "4"}
+    split = {"partitionColumn": '"c_custkey"', "lowerBound": low, "upperBound": high}
     return read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "query": wanted, **split}))
 
 
@@ -137,6 +148,7 @@ def scan_templated_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def scan_templated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = """select * from orders where date("o_orderdate") = '%Y-%m-%d'"""
-    options = {**derby(spark, sf_dir, "orders"), "query": wanted, "preferTimestampNTZ": True}
+    split = {"partitionColumn": '"o_orderkey"', "preferTimestampNTZ": True}
+    options = {**derby(spark, sf_dir, "orders"), "query": wanted, **split}
     when = resolve_process_time(_DAY, _UNUSED_CLOCK, 0, "daily")
     return read_source(spark, JdbcSource(options).at(when))

@@ -13,10 +13,6 @@ from pyspark.sql import types as T
 
 SEPARATOR = "||"
 
-# 160 bits: among ten trillion different rows, the odds that any two share a digest
-# are below 1 in 10^22.
-_DIGEST_BYTES = 20
-
 
 def row_text() -> Column:
     """The row as one string: columns joined by ``||``, NULLs skipped.
@@ -29,14 +25,18 @@ def row_text() -> Column:
 
 
 def row_digest(text: Column) -> Column:
-    """At most 20 bytes that stand for ``text`` (a string or binary column).
+    """The SHA-256 of ``text`` (a string or binary column), 32 bytes; NULL stays NULL.
 
-    Text under 20 bytes is kept as it is; longer text becomes the first 20 bytes
-    of its SHA-256, so the two never meet. Shuffling this in place of the text
-    bounds the key's width whatever the width of the table. NULL stays NULL.
+    Shuffling this in place of the text bounds the key's width whatever the width of
+    the table. It stands for the text's bytes, so not for text of a collation that
+    takes different bytes for equal.
     """
-    digest = F.unhex(F.substring(F.sha2(text, 256), 1, 2 * _DIGEST_BYTES))
-    return F.when(F.octet_length(text) < _DIGEST_BYTES, text.cast("binary")).otherwise(digest)
+    return F.unhex(F.sha2(text, 256))
+
+
+def is_collated(kind: T.DataType) -> bool:
+    """Whether equality of this type takes more than its bytes: text of a collation, however deep."""
+    return " collate " in kind.simpleString()
 
 
 def row_struct() -> Column:
@@ -48,11 +48,12 @@ def row_struct_digest(table: DataFrame) -> DataFrame:
     """One ``row`` struct for each row: :func:`row_struct` with long values cut down.
 
     String and binary columns become their :func:`row_digest`, so rows are equal
-    here when they are equal as structs; all other columns stay as they are.
+    here when they are equal as structs; text of another collation and all other
+    columns stay as they are.
     """
     numbered = table.toDF(*[f"c{i}" for i in range(len(table.columns))])
     values = [
-        row_digest(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else f.name
+        row_digest(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType)) and not is_collated(f.dataType) else f.name
         for f in numbered.schema.fields
     ]
     return numbered.select(F.struct(*values).alias("row"))

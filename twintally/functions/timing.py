@@ -40,7 +40,7 @@ def check_granularity(granularity: str | None) -> str:
 def parse_process_time(text: Column) -> Column:
     """``2024-01-02 03:04:05`` (unpadded fields allowed) as ``timestamp_ntz``.
 
-    Other text fails the query under ANSI mode; NULL stays NULL.
+    Other text fails the query under ANSI mode and is NULL without; NULL stays NULL.
     """
     return F.to_timestamp_ntz(text, F.lit(_PROCESS_TIME_PATTERN))
 
@@ -76,9 +76,13 @@ def truncate(when: Column, granularity: str | Column | None) -> Column:
 def process_time(
     explicit: Column, now: Column, delay_seconds: Column, granularity: str | Column | None
 ) -> Column:
-    """The explicit time if there is one, else ``now`` minus the delay; truncated."""
+    """The explicit time if there is one, else ``now`` minus the delay; truncated.
+
+    An explicit time that cannot be read fails the query, with and without ANSI mode.
+    """
     given = F.nullif(explicit, F.lit(""))
-    chosen = F.coalesce(parse_process_time(given), delayed(now, delay_seconds))
+    malformed = F.raise_error(F.concat(F.lit("not a process time: "), given)).cast("timestamp_ntz")
+    chosen = F.when(given.isNull(), delayed(now, delay_seconds)).otherwise(F.coalesce(parse_process_time(given), malformed))
     return truncate(chosen, granularity)
 
 

@@ -5,6 +5,7 @@ from twintally.operators.content import (
     row_fingerprint,
     rows_extra,
     rows_missing,
+    schema_difference,
     schemas_match,
 )
 from twintally.operators.counts import (
@@ -26,6 +27,7 @@ __all__ = [
     "row_fingerprint",
     "rows_extra",
     "rows_missing",
+    "schema_difference",
     "schemas_match",
     "windowed_row_count",
 ]

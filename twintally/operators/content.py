@@ -7,8 +7,8 @@ up in each task before the shuffle, so a row that makes up a third of a table
 still reaches the shuffle once per task.
 
 Keys of ``mode="concat"`` are the row's text (see
-:func:`twintally.functions.rowkey.row_text`); counting groups by its digest, at
-most 20 bytes, in place of the text. ``mode="typed"`` groups by the row itself,
+:func:`twintally.functions.rowkey.row_text`); counting groups by its SHA-256
+in place of the text. ``mode="typed"`` groups by the row itself,
 when counting with a digest for each long string: NULL and nesting matter, and
 both sides must have the same column types.
 """
@@ -16,18 +16,18 @@ both sides must have the same column types.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.functions.rowkey import row_digest, row_exact_text, row_struct, row_struct_digest, row_text
-from twintally.operators.counts import count_rows, tally
+from twintally.functions.rowkey import is_collated, row_digest, row_exact_text, row_struct, row_struct_digest, row_text
+from twintally.operators.counts import count_rows, tally, union_all
+from twintally.sources.read import conform as conformed
 
 MODES = ("concat", "typed")
 KEYS = ("digest", "full")
 
-# Bounds the broadcast list of differing buckets to a few megabytes.
-_MOST_BUCKETS = 1 << 20
 _BUCKET = "_twintally_bucket"
 
 
@@ -37,7 +37,7 @@ class SchemaMismatch(ValueError):
 
 def row_fingerprint(table: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One ``row`` string for each row of ``table``."""
-    return _only(table, columns).select(row_text().alias("row"))
+    return _only(table, table, columns)[0].select(row_text().alias("row"))
 
 
 def distinct_fingerprints(table: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -54,6 +54,22 @@ def schemas_match(source: DataFrame, target: DataFrame, mode: str = "concat") ->
     return source.columns == target.columns
 
 
+def schema_difference(
+    source: DataFrame, target: DataFrame, mode: str = "concat", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The columns for which the two sides do not match, one row for each position (from 0).
+
+    ``position, source_name, source_type, target_name, target_type``; a side without a
+    column at the position has NULL. In concat mode types do not count, but are told.
+    """
+    source, target = _only(source, target, columns)
+    pairs = enumerate(zip_longest(source.dtypes, target.dtypes, fillvalue=(None, None)))
+    kept = slice(0, 2) if mode == "typed" else slice(0, 1)
+    rows = [(position, *left, *right) for position, (left, right) in pairs if left[kept] != right[kept]]
+    names = "position int, source_name string, source_type string, target_name string, target_type string"
+    return source.sparkSession.createDataFrame(rows, names)
+
+
 def content_check(
     source: DataFrame,
     target: DataFrame,
@@ -63,6 +79,7 @@ def content_check(
     multiset: bool = False,
     key: str = "digest",
     buckets: int | None = None,
+    conform: bool = False,
 ) -> DataFrame:
     """Are the two sides the same set of rows?
 
@@ -70,27 +87,42 @@ def content_check(
     target_not_in_source, is_passed``. When the schemas do not match the two
     one-sided counts are NULL and the check fails; the row counts are still given.
 
-    ``columns`` compares a subset of the columns. ``multiset`` counts surplus
-    copies of a row as differences. ``key="full"`` groups by the whole row text or
-    row, not by digests. ``buckets``, a power of two, is for tables expected to be
-    nearly equal: it sets aside the hash buckets whose checksums agree before
-    rows are shuffled, at the price of a second scan; the answer is the same.
-    (Typed mode has no buckets for tables with nested columns.)
+    ``columns`` compares a subset of the columns; a name that only one side has, letter
+    by letter, is a schema that does not match. ``multiset`` counts surplus copies of a
+    row as differences. ``key="full"`` groups by the whole row text or row, not by
+    digests. ``buckets``, a power of two, is for tables expected to be nearly equal: it
+    sets aside the hash buckets whose checksums agree before rows are shuffled, at the
+    price of a second scan; the answer is the same. (Typed mode has no buckets for
+    tables with nested columns. Tables with text of a collation are compared as if
+    ``buckets`` and the digest had not been asked for.)
+
+    ``conform`` casts the target to the source's types first (see
+    :func:`twintally.sources.conform`). A target row that a cast would change is on the
+    target's side only, as it is.
     """
-    source, target = _only(source, columns), _only(target, columns)
+    source, target = _only(source, target, columns)
     if key not in KEYS:
         raise ValueError(f"key must be one of {', '.join(KEYS)}, not {key!r}")
-    if not schemas_match(source, target, mode):
+    if not schemas_match(source, target, "concat" if conform else mode):
         unknown = F.lit(None).cast("bigint")
         counts = count_rows(source, target)
         return _verdict(counts, F.lit(False), unknown, unknown)
-    numbers = _difference_numbers(_grouped(source, target, mode, key, buckets), multiset)
-    if buckets is not None:
-        # The rows left out count too; counting alone reads no column of a Parquet file.
+    apart = []
+    if conform:
+        schema = source.schema
+        source = conformed(source, schema)[0]
+        target, changed = conformed(target, schema)
+        # Rows that no cast can bring over are on one side only, so they need no comparing.
+        alone = _grouped(changed.limit(0), changed, "typed", key, None)
+        apart = [_difference_numbers(alone, multiset)]
+    grouped, equal = _grouped_apart(source, target, mode, key, buckets)
+    parts = [_difference_numbers(grouped, multiset), *apart]
+    if equal is not None:
         none = F.lit(0).cast("bigint")
-        counts = count_rows(source, target).select("*", none.alias("missing"), none.alias("extra"))
-        differences = numbers.withColumns({"count_source": none, "count_target": none})
-        numbers = counts.unionByName(differences).agg(*[F.sum(c).alias(c) for c in counts.columns])
+        parts.append(equal.select(F.col("s").alias("count_source"), F.col("t").alias("count_target"), none.alias("missing"), none.alias("extra")))
+    numbers = parts[0]
+    if len(parts) > 1:
+        numbers = union_all(parts).agg(*[F.sum(c).alias(c) for c in numbers.columns])
     return _verdict(numbers, F.lit(True), F.col("missing"), F.col("extra"))
 
 
@@ -110,7 +142,7 @@ def rows_missing(
     in a last column ``copies``. ``buckets`` is that of :func:`content_check`.
     Raises :class:`SchemaMismatch` on unlike schemas.
     """
-    source, target = _only(source, columns), _only(target, columns)
+    source, target = _only(source, target, columns)
     if not schemas_match(source, target, mode):
         raise SchemaMismatch(f"cannot compare {source.dtypes} with {target.dtypes}")
     grouped = _grouped(source, target, mode, "full", buckets)
@@ -125,81 +157,104 @@ def rows_extra(source: DataFrame, target: DataFrame, **how: object) -> DataFrame
     return rows_missing(target, source, **how)
 
 
-def _narrowed(source: DataFrame, target: DataFrame, text: Column, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides without the rows that are proven to be on both; equal rows have equal ``text``.
+def _narrowed(
+    source: DataFrame, target: DataFrame, text: Column, buckets: int
+) -> tuple[tuple[DataFrame, DataFrame], DataFrame]:
+    """Both sides without the buckets whose checksums agree, and the counts of those; equal rows have equal ``text``.
 
-    Rows fall into ``buckets`` by a hash. Each task adds up the SHA-256 of the rows
-    of each bucket, so at most ``buckets`` rows per task are shuffled, and a bucket
-    whose sums and counts agree on both sides holds the same rows on both. What
-    is left, every row of every other bucket, has exactly the differences of the
-    whole tables, for one more scan of each side but without shuffling the rows
-    that agree. The list of differing buckets is broadcast: it has at most
-    ``buckets`` rows, whatever the size of the tables.
+    Rows fall into ``buckets`` by a hash. Each task adds up the rows' SHA-256, as eight
+    numbers of 32 bits, by bucket, so at most ``buckets`` rows per task are shuffled.
+    A bucket whose eight sums and whose counts agree on both sides is taken to hold
+    the same rows on both. What is left, every row of every other bucket, has the
+    differences of the whole tables, for one more scan of each side but without
+    shuffling the rows that agree. The buckets that differ are joined as adaptive
+    execution sees fit: few are broadcast.
     """
-    if not 0 < buckets <= _MOST_BUCKETS or buckets & (buckets - 1):
-        raise ValueError(f"buckets must be a power of two up to {_MOST_BUCKETS}, not {buckets}")
+    if buckets < 1 or buckets & (buckets - 1):
+        raise ValueError(f"buckets must be a power of two, not {buckets}")
 
     def bucket(text: Column) -> Column:
         return F.xxhash64(text).bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
 
-    low = F.lit((1 << 32) - 1)
+    words = [f"word{n}" for n in range(8)]
 
     def marked(side: DataFrame, of_source: bool) -> DataFrame:
         texts = side.select(text.alias("text"))
-        digests = texts.select(bucket(F.col("text")), F.unhex(F.sha2("text", 256)).alias("digest"))
-        halves = digests.select(
-            _BUCKET,
-            F.xxhash64(F.substring("digest", 1, 16)).alias("first"),
-            F.xxhash64(F.substring("digest", 17, 16)).alias("second"),
-        )
-        parts = {f"{name}_high": F.shiftright(name, 32) for name in ("first", "second")}
-        parts |= {f"{name}_low": F.col(name).bitwiseAND(low) for name in ("first", "second")}
-        by = [F.col(_BUCKET), *[part.alias(name) for name, part in parts.items()]]
-        return tally(halves, of_source=of_source, by=by)
+        digests = texts.select(bucket(F.col("text")), F.sha2("text", 256).alias("digest"))
+        parts = [F.conv(F.substring("digest", 8 * n + 1, 8), 16, 10).cast("bigint").alias(w) for n, w in enumerate(words)]
+        return tally(digests, of_source=of_source, by=[F.col(_BUCKET), *parts])
 
     net = F.col("s") - F.col("t")
-    parts = ("first_high", "first_low", "second_high", "second_low")
     # A sum that overflows is NULL, which is not equal to 0: the bucket stays in.
     sums = (
         marked(source, True)
         .unionAll(marked(target, False))
         .groupBy(_BUCKET)
-        .agg(F.sum(net).alias("rows"), *[F.try_sum(F.col(part) * net).alias(part) for part in parts])
+        .agg(F.sum("s").alias("s"), F.sum("t").alias("t"), *[F.try_sum(F.col(w) * net).alias(w) for w in words])
     )
-    equal = F.col("rows") == 0
-    for part in parts:
-        equal = equal & F.col(part).eqNullSafe(0)
-    differing = F.broadcast(sums.filter(~equal).select(_BUCKET))
+    equal = F.col("s") == F.col("t")
+    for word in words:
+        equal = equal & F.col(word).eqNullSafe(0)
+    differing = sums.filter(~equal).select(_BUCKET)
+    zero = F.lit(0).cast("bigint")
+    agreeing = sums.filter(equal).agg(*[F.coalesce(F.sum(n), zero).alias(n) for n in ("s", "t")])
 
     def narrowed(side: DataFrame) -> DataFrame:
         return side.select("*", bucket(text)).join(differing, _BUCKET, "left_semi").drop(_BUCKET)
 
-    return narrowed(source), narrowed(target)
+    return (narrowed(source), narrowed(target)), agreeing
 
 
-def _only(table: DataFrame, columns: Sequence[str] | None) -> DataFrame:
-    return table if columns is None else table.select(*columns)
+def _only(
+    source: DataFrame, target: DataFrame, columns: Sequence[str] | None
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the chosen columns only; names are taken letter by letter.
+
+    A column that one side does not have is left out there, so that the schemas differ.
+    """
+    if columns is None:
+        return source, target
+    unknown = [c for c in columns if c not in source.columns and c not in target.columns]
+    if unknown:
+        raise ValueError(f"neither side has the column(s) {', '.join(unknown)}")
+
+    def chosen(side: DataFrame) -> DataFrame:
+        # By position, so that dots, quotes and names that differ in case only do no harm.
+        places = [side.columns.index(c) for c in columns if c in side.columns]
+        numbered = side.toDF(*[f"c{place}" for place in range(len(side.columns))])
+        return numbered.select(*[f"c{place}" for place in places]).toDF(*[side.columns[place] for place in places])
+
+    return chosen(source), chosen(target)
 
 
 def _grouped(source: DataFrame, target: DataFrame, mode: str, key: str, buckets: int | None) -> DataFrame:
+    return _grouped_apart(source, target, mode, key, buckets)[0]
+
+
+def _grouped_apart(
+    source: DataFrame, target: DataFrame, mode: str, key: str, buckets: int | None
+) -> tuple[DataFrame, DataFrame | None]:
     """One line per distinct row: ``row`` (its key) and its copies ``s`` and ``t``.
 
-    With ``buckets``, rows proven to be on both sides may be left out.
+    With ``buckets``, rows of buckets that agree are left out, and their counts ``s``
+    and ``t`` are given apart.
     """
-    sides = source, target
+    sides, agreeing = (source, target), None
+    if any(is_collated(side.schema) for side in sides):
+        key, buckets = "full", None
     if mode == "typed":
         if buckets is not None:
-            sides = _narrowed(*sides, row_exact_text(source), buckets)
+            sides, agreeing = _narrowed(*sides, row_exact_text(source), buckets)
         keyed = [row_struct_digest(s) if key == "digest" else s.select(row_struct().alias("row")) for s in sides]
     else:
         keyed = [s.select(row_text().alias("row")) for s in sides]
         if buckets is not None:
-            keyed = _narrowed(*keyed, F.col("row"), buckets)
+            keyed, agreeing = _narrowed(*keyed, F.col("row"), buckets)
         if key == "digest":
             keyed = [s.select(row_digest(F.col("row")).alias("row")) for s in keyed]
     by = [F.col("row")]
     both = tally(keyed[0], of_source=True, by=by).unionAll(tally(keyed[1], of_source=False, by=by))
-    return both.groupBy("row").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+    return both.groupBy("row").agg(F.sum("s").alias("s"), F.sum("t").alias("t")), agreeing
 
 
 def _difference_numbers(grouped: DataFrame, multiset: bool) -> DataFrame:

@@ -10,11 +10,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twintally.functions.measures import with_count_verdict
+from twintally.functions.measures import check_threshold, with_count_verdict
 from twintally.functions.timing import truncate
+from twintally.sources.read import read_count, read_source
+from twintally.sources.spec import JdbcSource, Source
+
+Side = DataFrame | Source
 
 
 def tally(table: DataFrame, *, of_source: bool, each: str = "1L", by: Sequence[Column] = ()) -> DataFrame:
@@ -23,6 +27,16 @@ def tally(table: DataFrame, *, of_source: bool, each: str = "1L", by: Sequence[C
     return table.select(*by, F.expr(f"{s} as s"), F.expr(f"{t} as t"))
 
 
+def side_tally(side: Side, *, of_source: bool, by: Sequence[Column] = ()) -> DataFrame:
+    """The tally of a table or of a source; a database counts its own rows."""
+    if isinstance(side, DataFrame):
+        return tally(side, of_source=of_source, by=by)
+    spark = SparkSession.active()
+    if isinstance(side, JdbcSource):
+        return tally(read_count(spark, side), of_source=of_source, each="n", by=by)
+    return tally(read_source(spark, side), of_source=of_source, by=by)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """The union of frames with the same columns.
 
@@ -48,14 +62,17 @@ def sum_tallies(tallies: DataFrame) -> DataFrame:
     return tallies.agg(*_totals())
 
 
-def count_rows(source: DataFrame, target: DataFrame) -> DataFrame:
+def count_rows(source: Side, target: Side) -> DataFrame:
     """One row: ``count_source``, ``count_target``."""
-    return sum_tallies(tally(source, of_source=True).unionAll(tally(target, of_source=False)))
+    return sum_tallies(side_tally(source, of_source=True).unionAll(side_tally(target, of_source=False)))
 
 
-def row_count_check(source: DataFrame, target: DataFrame, threshold: int) -> DataFrame:
+def row_count_check(source: Side, target: Side, threshold: int) -> DataFrame:
     """Do the row counts differ by at most ``threshold`` percent of the source?
 
+    Sides are tables or sources. A table read over JDBC fetches an empty row for each
+    row it counts; give the source instead and the database counts.
+
     One row: ``count_source, count_target, count_diff, percentage_diff, threshold,
     is_passed``. With an empty source the percentage is NULL and the check passes
     only if the target is empty too.
@@ -83,6 +100,7 @@ def windowed_row_count(
         when = F.col(time) if isinstance(time, str) else time
         return truncate(when, granularity).alias("window_start")
 
+    check_threshold(threshold)
     other_time = source_time if target_time is None else target_time
     both = tally(source, of_source=True, by=[window(source_time)]).unionAll(
         tally(target, of_source=False, by=[window(other_time)])
@@ -95,10 +113,13 @@ class CountCheck:
     """One pair of a batch."""
 
     name: str
-    source: DataFrame
-    target: DataFrame
+    source: Side
+    target: Side
     threshold: int
 
+    def __post_init__(self) -> None:
+        check_threshold(self.threshold)
+
 
 def batch_row_count(checks: Sequence[CountCheck]) -> DataFrame:
     """:func:`row_count_check` for many pairs in one job; one row per ``check_name``.
@@ -109,7 +130,7 @@ def batch_row_count(checks: Sequence[CountCheck]) -> DataFrame:
         raise ValueError("a batch needs at least one check")
     if len({check.name for check in checks}) < len(checks):
         raise ValueError("check names must be unique within a batch")
-    spark = checks[0].source.sparkSession
+    spark = SparkSession.active()
     # A zero row for each pair keeps pairs whose sides are both empty.
     thresholds = F.array(*[
         F.struct(F.lit(c.name).alias("check_name"), F.lit(c.threshold).alias("threshold")) for c in checks
@@ -118,7 +139,7 @@ def batch_row_count(checks: Sequence[CountCheck]) -> DataFrame:
     sides = [tally(spark.range(0, 1, 1, 1).select(F.inline(thresholds)), of_source=True, each="0L", by=by)]
     for check in checks:
         by = [F.lit(check.name).alias("check_name"), F.lit(check.threshold).alias("threshold")]
-        sides.append(tally(check.source, of_source=True, by=by))
-        sides.append(tally(check.target, of_source=False, by=by))
+        sides.append(side_tally(check.source, of_source=True, by=by))
+        sides.append(side_tally(check.target, of_source=False, by=by))
     counted = union_all(sides).groupBy("check_name", "threshold").agg(*_totals())
     return with_count_verdict(counted, F.col("threshold"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twintally.sources.spec import FileSource, JdbcSource, Source
 
+_WIDEST = T.DecimalType(38, 18)
 _PARALLEL_READ = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
 
@@ -19,7 +20,7 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
         case FileSource():
             return _read_file(spark, source)
         case JdbcSource():
-            return spark.read.format("jdbc").options(**_jdbc_options(source)).load()
+            return spark.read.format("jdbc").options(**_jdbc_options(spark, source)).load()
     raise TypeError(f"not a source: {source!r}")
 
 
@@ -36,42 +37,82 @@ def _read_file(spark: SparkSession, source: FileSource) -> DataFrame:
     return table
 
 
-def _jdbc_options(source: JdbcSource) -> dict[str, Any]:
+def _jdbc_options(spark: SparkSession, source: JdbcSource) -> dict[str, Any]:
     options = dict(source.options)
-    if "partitionColumn" in options and options.get("query"):
+    column = options.get("partitionColumn")
+    if not column:
+        return options
+    if options.get("query"):
         # Spark reads a query in parallel only when it is given as a derived table.
         options["dbtable"] = f"({options.pop('query')}) parallel_query"
+    if "lowerBound" not in options or "upperBound" not in options:
+        low, high = _ask(spark, source, f"min({column}) as low, max({column}) as high").first()
+        if low is None:  # no rows, or no values to split by
+            return {name: value for name, value in options.items() if name not in _PARALLEL_READ}
+        options = {"lowerBound": str(low), "upperBound": str(high), **options}
+    options.setdefault("numPartitions", spark.sparkContext.defaultParallelism)
     return options
 
 
+def _ask(spark: SparkSession, source: JdbcSource, totals: str) -> DataFrame:
+    """One row of totals over a JDBC source, worked out by the database."""
+    options = {k: v for k, v in source.options.items() if k not in (*_PARALLEL_READ, "dbtable", "query", "customSchema")}
+    inner = f"({source.options['query']}) asked" if source.options.get("query") else source.options["dbtable"]
+    return spark.read.format("jdbc").options(**options, query=f"select {totals} from {inner}").load()
+
+
 def read_count(spark: SparkSession, source: JdbcSource) -> DataFrame:
     """The number of rows behind a JDBC source, counted by the database.
 
     One row, one bigint column ``n``. Spark does not push a count into a JDBC
     scan by itself: it would fetch an empty row for each row of the table.
     """
-    options = {k: v for k, v in source.options.items() if k not in (*_PARALLEL_READ, "dbtable", "query", "customSchema")}
-    inner = f"({source.options['query']})" if source.options.get("query") else source.options["dbtable"]
-    alias = " counted" if source.options.get("query") else ""
-    options["query"] = f"select count(*) as n from {inner}{alias}"
-    return spark.read.format("jdbc").options(**options).load().toDF("n").select(F.col("n").cast("bigint"))
+    return _ask(spark, source, "count(*) as n").toDF("n").select(F.col("n").cast("bigint"))
 
 
-def conform(table: DataFrame, schema: T.StructType, *, trim_right: bool = True) -> DataFrame:
-    """``table`` cast column by column to the types of ``schema``, matched by position.
+def conform(table: DataFrame, schema: T.StructType, *, trim_right: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``table`` cast column by column to the types of ``schema``, and the rows a cast would change.
 
     For sides that come from different systems: text dates against real ones,
-    integers against doubles, ``CHAR`` columns padded with blanks. Names stay as
-    they are, so a check still sees a difference in them; so do columns beyond
-    the schema.
+    integers against doubles, ``CHAR`` columns padded with blanks. Columns are matched
+    by position. Names stay as they are, so a check still sees a difference in them;
+    so do columns beyond the schema.
+
+    The first frame holds the rows whose values all keep what they say, cast; the second
+    one the others, as they are: text that cannot be read, a fraction or a time
+    of day that the type has no room for, a number out of range. The session's
+    ANSI mode makes no difference. Only blanks on the right of text are given up.
     """
-    kinds = [f.dataType for f in schema.fields]
-    columns = []
-    for position, name in enumerate(table.columns):
-        column = F.col(f"`{name.replace('`', '``')}`")
-        if position < len(kinds):
-            column = column.cast(kinds[position])
-            if trim_right and isinstance(kinds[position], T.StringType):
-                column = F.rtrim(column)
-        columns.append(column.alias(name))
-    return table.select(*columns)
+    inside = table.toDF(*[f"c{place}" for place in range(len(table.columns))])
+    values, kept = [], F.lit(True)
+    for place, given in enumerate(inside.schema.fields):
+        value = F.col(given.name)
+        if place < len(schema.fields):
+            wanted = schema.fields[place].dataType
+            cast = value.try_cast(wanted)
+            if isinstance(given.dataType, T.StringType) and isinstance(wanted, T.IntegralType):
+                cast = F.coalesce(cast, value.try_cast(_WIDEST).try_cast(wanted))  # "1.0" is a whole number, too
+            kept = kept & _keeps(value, cast, given.dataType, wanted)
+            value = F.rtrim(cast) if trim_right and isinstance(wanted, T.StringType) else cast
+        values.append(value.alias(given.name))
+    return inside.filter(kept).select(*values).toDF(*table.columns), inside.filter(~kept).toDF(*table.columns)
+
+
+def _keeps(value: Column, cast: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """Whether a cast value still says what the value said; never NULL."""
+    if given == wanted:
+        return F.lit(True)
+    there = cast.isNotNull()
+    if not isinstance(wanted, T.StringType):
+        if not isinstance(given, T.StringType):
+            if not isinstance(given, T.NullType):
+                there = there & cast.try_cast(given).eqNullSafe(value)
+        elif isinstance(wanted, T.DecimalType):
+            # Text has no type to go back to: it is held against the widest type of its kind.
+            widest = T.DecimalType(38, 38 - (wanted.precision - wanted.scale))
+            there = there & cast.try_cast(widest).eqNullSafe(value.try_cast(widest))
+        elif isinstance(wanted, T.IntegralType):
+            there = there & cast.try_cast(_WIDEST).eqNullSafe(value.try_cast(_WIDEST))
+        elif isinstance(wanted, T.DateType):
+            there = there & cast.try_cast("timestamp_ntz").eqNullSafe(value.try_cast("timestamp_ntz"))
+    return value.isNull() | there

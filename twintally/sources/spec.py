@@ -12,6 +12,8 @@ from twintally.functions.template import render
 from twintally.sources.options import CSV_OPTIONS, JDBC_OPTIONS, PARQUET_OPTIONS, check_options
 
 _FILE_OPTIONS = {"csv": CSV_OPTIONS, "parquet": PARQUET_OPTIONS}
+# Names that CSV writers know and readers do not; taken without effect.
+_WRITER_ONLY = {"csv": ("quoteAll", "escapeQuotes")}
 _URL_SECRET = re.compile(r"(?i)(password|pwd)=[^;&]*")
 
 
@@ -34,7 +36,8 @@ class FileSource:
             raise ValueError(f"file format must be one of {', '.join(_FILE_OPTIONS)}, not {self.format!r}")
         if not self.path:
             raise ValueError("a file source needs a path")
-        object.__setattr__(self, "options", check_options(self.options, _FILE_OPTIONS[self.format]))
+        given = {k: v for k, v in (self.options or {}).items() if k not in _WRITER_ONLY.get(self.format, ())}
+        object.__setattr__(self, "options", check_options(given, _FILE_OPTIONS[self.format]))
 
     def at(self, when: datetime) -> FileSource:
         return replace(self, path=render(self.path, when))
@@ -44,8 +47,10 @@ class FileSource:
 class JdbcSource:
     """A database table (``dbtable``) or query (``query``) read over JDBC.
 
-    Only ``query`` may be a time template. Without ``partitionColumn`` and its
-    bounds one task reads everything, so set them for tables of any size.
+    Only ``query`` may be a time template. Without ``partitionColumn`` one task
+    reads everything, so set it for tables of any size; the database is asked for
+    its bounds if they are not given, and ``numPartitions`` is the session's
+    parallelism if it is not.
     """
 
     options: Mapping[str, Any]
@@ -86,7 +91,7 @@ def source_from_mapping(config: Mapping[str, Any]) -> Source:
     if isinstance(options, str) and not options.strip():
         options = {}
     if kind == "file":
-        return FileSource(body.get("format"), body.get("path"), options)
+        return FileSource(body.get("format"), body.get("path"), options, body.get("schema"))
     if body.get("format") != "jdbc":
         raise ValueError(f"database format must be jdbc, not {body.get('format')!r}")
     return JdbcSource(options)

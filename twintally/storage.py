@@ -2,34 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+_SETTINGS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, else the session's warehouse.
 
-    Where it is unset, a temporary folder serves a local session, whose tasks all
-    run on this machine; a cluster without the setting is an error.
+    A folder of one machine (``file:`` or no scheme at all) is refused unless the
+    master is local.
     """
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-    return _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="twintally-")
+    folder = next(filter(None, (spark.conf.get(setting, None) for setting in _SETTINGS)), None)
+    if not folder:
+        raise RuntimeError(f"set {_SETTINGS[0]} to a folder that all executors can reach")
+    if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{folder} is a folder of one machine; set {_SETTINGS[0]} to one that all executors can reach")
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing has used yet.
+
+    It lies in a folder of its own, which is deleted when the session's JVM ends.
+    """
+    folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/data"

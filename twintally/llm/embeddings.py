@@ -101,7 +101,7 @@ def _connected(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare(threshold: float):
-    """Compares two chunks of a cell; a unit of work whose chunks are the same compares within it.
+    """Compares two chunks of a cell, of which one at most is of guests; equal chunks are compared within.
 
     Pairs of two guests of the cell are left to the cells they come from. A pair that is met in both
     of its cells counts in the one with the smaller number.
@@ -247,11 +247,21 @@ def _compare_all(
     schema = "rep long, copies long, unit array<double>, home int, guest_of array<int>"
     placed = scratch.keep(numbered.select("rep", "copies", "vector").mapInArrow(place, schema), f"placed-{size}")
     met = placed.withColumn("cell", F.explode(F.concat(F.array("home"), "guest_of")))
-    # One row per cell, and cells are fewer than most_fitted.
-    chunks = met.groupBy("cell").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
-    met = met.join(F.broadcast(chunks), "cell").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    units = met.withColumn("other", other).select(
+    # One row per cell, and cells are fewer than most_fitted. Guests have chunks of their own, numbered from -1 down:
+    # they meet the chunks of those at home, who meet one another as well.
+    at_home = F.col("home") == F.col("cell")
+    chunks = met.groupBy("cell").agg(
+        F.ceil(F.count_if(at_home) / chunk).cast("int").alias("own_chunks"),
+        F.ceil(F.count_if(~at_home) / chunk).cast("int").alias("guest_chunks"),
+    )
+    met = met.join(F.broadcast(chunks.where("own_chunks > 0")), "cell")
+    of_all = F.when(at_home, F.col("own_chunks")).otherwise(F.col("guest_chunks"))
+    number = F.pmod(F.xxhash64("rep"), of_all).cast("int")
+    met = met.withColumn("chunk", F.when(at_home, number).otherwise(-1 - number))
+    own_chunks = F.sequence(F.lit(0), F.col("own_chunks") - 1)
+    every_chunk = F.sequence(-F.col("guest_chunks"), F.col("own_chunks") - 1)
+    met = met.withColumn("other", F.explode(F.when(at_home, every_chunk).otherwise(own_chunks)))
+    units = met.select(
         "cell", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
         "chunk", "rep", "copies", "unit", "home", "guest_of",
     )

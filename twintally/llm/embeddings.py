@@ -33,7 +33,7 @@ from twintally.llm.scratch import Scratch, components, quoted
 
 THRESHOLD = 0.9
 CHUNK = 2048
-MOST_FITTED = 16_384
+MOST_FITTED = 32_768
 
 _SPREADS = 4.0
 
@@ -209,6 +209,7 @@ def near_vectors(
     )
     smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = scratch.keep(joined.join(smallest, "root").select("vector", "n_links", "component_id"), "groups")
+    scratch.drop("distinct", *[f"compared-{size}" for size in sizes])
     linked = rows.join(groups, "vector", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -266,4 +267,6 @@ def _compare_all(
         "chunk", "rep", "copies", "unit", "home", "guest_of",
     )
     compared = units.groupBy("cell", "a", "b").applyInPandas(_compare(threshold), "a long, b long, n long")
-    return scratch.keep(compared, f"compared-{size}")
+    compared = scratch.keep(compared, f"compared-{size}")
+    scratch.drop(f"placed-{size}")
+    return compared

@@ -115,7 +115,7 @@ def _labelled_sample(rows: DataFrame, most: int) -> DataFrame:
     rows = rows.withColumn("pick", F.xxhash64(F.lit("sample"), "doc_id"))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), 1.2 * most / F.col("n") + 100 / F.col("n"))
-    # One row per language.
+    # One row per language: the classes of the model, which the driver holds as well.
     some = rows.join(F.broadcast(sizes), "lang").where(F.col("pick") / float(2**64) + 0.5 <= share)
     # What is left is a little more than ``most`` rows per language.
     place = F.row_number().over(Window.partitionBy("lang").orderBy("pick", "doc_id", F.xxhash64("text")))

@@ -213,11 +213,13 @@ def simhash_groups(
     distinct = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     links = scratch.keep(near_links(distinct, most_distance), "links")
     roots = components(links, scratch)
+    scratch.drop("links")
     groups = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = groups.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = scratch.keep(groups.join(smallest, "root").select("fp", "component_id"), "groups")
+    scratch.drop("distinct")
     return prints.join(groups, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

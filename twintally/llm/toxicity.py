@@ -200,6 +200,7 @@ def fit_toxicity(
     fitted = ToxicityModel(model(1), model(0), shared)
     held = _differences(sample.where("part = 1").select("toxic", "text"), fitted).toArrow()
     fitted.slope, fitted.offset = _logistic(held["difference"].to_numpy(), held["toxic"].to_numpy())
+    scratch.drop("sample", "contexts")
     return fitted
 
 

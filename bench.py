@@ -79,6 +79,9 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", CPUS)
+        # The files are small: without this a scan is cut into fewer tasks than there are cores.
+        .config("spark.sql.files.openCostInBytes", "64k")
+        .config("spark.sql.files.maxPartitionBytes", "2m")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

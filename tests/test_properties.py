@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from twintally import content_check, row_count_check, rows_extra, rows_missing
+from twintally.operators.counts import union_all
 
 TEXT = st.one_of(st.none(), st.text(alphabet="ab|", max_size=4))
 ROWS = st.lists(st.tuples(TEXT, st.one_of(st.none(), st.integers(-2, 2))), max_size=12)
@@ -23,15 +24,16 @@ def rendered(row):
 def test_equals_python_sets(spark, source, target):
     left, right = spark.createDataFrame(source, SCHEMA), spark.createDataFrame(target, SCHEMA)
     ways = [({}, rendered), ({"mode": "typed"}, tuple), ({"buckets": 4}, rendered)]
-    for how, key in [*ways, ({"mode": "typed", "buckets": 4}, tuple)]:
+    ways.append(({"mode": "typed", "buckets": 4}, tuple))
+    sets = union_all([content_check(left, right, **how) for how, _ in ways]).collect()
+    bags = union_all([content_check(left, right, multiset=True, **how) for how, _ in ways]).collect()
+    for (how, key), found, bag in zip(ways, sets, bags):
         s, t = Counter(map(key, source)), Counter(map(key, target))
-        found = content_check(left, right, **how).first()
         assert (found.count_source, found.count_target) == (len(source), len(target))
         assert found.source_not_in_target == len(s.keys() - t.keys())
         assert found.target_not_in_source == len(t.keys() - s.keys())
         assert found.is_passed == (s.keys() == t.keys())
-        found = content_check(left, right, multiset=True, **how).first()
-        assert (found.source_not_in_target, found.target_not_in_source) == ((s - t).total(), (t - s).total())
+        assert (bag.source_not_in_target, bag.target_not_in_source) == ((s - t).total(), (t - s).total())
     texts = {rendered(r) for r in source} - {rendered(r) for r in target}
     assert Counter(r.row for r in rows_missing(left, right).collect()) == Counter(texts)
     typed = set(source) - set(target)
@@ -42,7 +44,7 @@ def test_equals_python_sets(spark, source, target):
 @given(source=ROWS, target=ROWS)
 def test_swapping_the_sides_swaps_the_answers(spark, source, target):
     left, right = spark.createDataFrame(source, SCHEMA), spark.createDataFrame(target, SCHEMA)
-    there, back = content_check(left, right).first(), content_check(right, left).first()
+    there, back = union_all([content_check(left, right), content_check(right, left)]).collect()
     assert there.source_not_in_target == back.target_not_in_source
     assert there.is_passed == back.is_passed
     assert sorted(rows_extra(left, right).collect()) == sorted(rows_missing(right, left).collect())
@@ -53,8 +55,9 @@ def test_swapping_the_sides_swaps_the_answers(spark, source, target):
 def test_a_table_equals_itself_however_it_is_split(spark, source, parts):
     table = spark.createDataFrame(source, SCHEMA)
     doubled = table.union(table).repartition(parts)
-    for how in ({}, {"mode": "typed"}, {"buckets": 8}):
-        assert content_check(table, doubled, **how).first().is_passed
-        assert content_check(table, table.repartition(parts), multiset=True, **how).first().is_passed
+    split, ways = table.repartition(parts), ({}, {"mode": "typed"}, {"buckets": 8})
+    checks = [content_check(table, doubled, **how) for how in ways]
+    checks += [content_check(table, split, multiset=True, **how) for how in ways]
+    assert all(found.is_passed for found in union_all(checks).collect())
     found = row_count_check(table, doubled, 99).first()
     assert found.count_target == 2 * found.count_source and found.is_passed == (not source)

@@ -52,9 +52,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     before = _checksum(pairs)
     while before[0]:
         turn += 1
-        pairs = scratch.keep(_small_star(_large_star(pairs)), f"links-{turn}")
+        # The small-star step reads its input more than once.
+        stars = scratch.keep(_large_star(pairs), f"stars-{turn}")
+        pairs = scratch.keep(_small_star(stars), f"links-{turn}")
         after = _checksum(pairs)
-        scratch.drop(f"links-{turn - 1}")
+        scratch.drop(f"links-{turn - 1}", f"stars-{turn}")
         if after == before:
             break
         before = after

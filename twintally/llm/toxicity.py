@@ -217,12 +217,15 @@ def _differences(rows: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, both classes weighing the same; Newton's method with a small ridge."""
+    """Slope and offset of a logistic curve; Newton's method with a small ridge.
+
+    Every text weighs the same, so that where classes overlap the more common one, ordinary text, is kept.
+    """
     if not len(x) or y.min() == y.max():
         return 1.0, 0.0
     scale = x.std() or 1.0
     a = np.stack([x / scale, np.ones(len(x))], 1)
-    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    weight = np.full(len(x), 1 / len(x))
     b = np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -12,7 +13,15 @@ TEXT = st.one_of(st.none(), st.text(alphabet="ab|", max_size=4))
 ROWS = st.lists(st.tuples(TEXT, st.one_of(st.none(), st.integers(-2, 2))), max_size=12)
 SCHEMA = "x string, y int"
 
-few = settings(max_examples=50, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def rendered(row):

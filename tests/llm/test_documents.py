@@ -228,6 +228,24 @@ def test_toxic_words_are_learnt(spark):
     assert left == {r.doc_id for r in score_toxicity(docs, model).collect() if not r.predicted}
 
 
+def test_the_toxicity_scale_does_not_depend_on_how_many_are_sampled(spark):
+    rng = random.Random(7)
+    plain = [f"{a}{b}" for a in "bdfglm" for b in ("an", "el", "ir", "os", "ut")]
+    vile = [f"vile{i}" for i in range(70)]
+    rows = []
+    for n in range(3600):
+        words, toxic = rng.choices(plain, k=40), n % 9 == 0
+        for _ in range(rng.randint(1, 6) if toxic else rng.randint(1, 3) if rng.random() < 0.3 else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(vile[:40] if toxic else vile[:30] * 3 + vile[30:]))
+        rows.append((n, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    whole, capped = fit_toxicity(docs, docs), fit_toxicity(docs, docs, most_per_class=400)
+    assert capped.offset < -1.8 and whole.offset < -1.8
+    clean = docs.where("toxic = 0")
+    n_whole, n_capped = (score_toxicity(clean, m).where("predicted = 1").count() for m in (whole, capped))
+    assert abs(n_whole - n_capped) < 100
+
+
 def test_languages_odd_rows(odd_documents, no_documents):
     model = fit_language(odd_documents)
     found = identify_languages(odd_documents, model).collect()

@@ -135,11 +135,11 @@ def fold(id_column: Column, parts: int) -> Column:
 
 
 def labelled_sample(labels: DataFrame, label_column: str, most_per_class: int) -> DataFrame:
-    """``doc_id, toxic, part``: at most ``most_per_class`` labelled identifiers of each class.
+    """``doc_id, toxic, part, weight``: at most ``most_per_class`` labelled identifiers of each class.
 
     Chosen by hash, so the choice does not depend on the order of rows. ``part`` is 0 for three
-    quarters (to count) and 1 for one quarter (to set the scale). Of labels that disagree
-    on an identifier the larger counts.
+    quarters (to count) and 1 for one quarter (to set the scale). ``weight`` is how many labelled
+    identifiers of its class a row stands for. Of labels that disagree on an identifier the larger counts.
     """
     rows = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(label_column).cast("int").alias("toxic"))
     rows = rows.where("toxic in (0, 1)").withColumn("pick", F.xxhash64(F.lit("sample"), "doc_id"))
@@ -150,11 +150,12 @@ def labelled_sample(labels: DataFrame, label_column: str, most_per_class: int) -
         share = min(1.0, 1.2 * most_per_class / n + 200 / n)
         below = min(int((2 * share - 1) * 2**63), 2**63 - 1)
         some = rows.where((F.col("toxic") == toxic) & (F.col("pick") <= below))
-        some = some.orderBy("pick", "doc_id").limit(most_per_class)
+        some = some.orderBy("pick", "doc_id").limit(most_per_class).withColumn("weight", F.lit(n / min(n, most_per_class)))
         chosen = some if chosen is None else chosen.unionAll(some)
     if chosen is None:
-        chosen = rows
-    return chosen.select("doc_id", "toxic", (F.pmod(F.col("pick"), F.lit(4)) == 0).cast("int").alias("part"))
+        chosen = rows.withColumn("weight", F.lit(1.0))
+    part = (F.pmod(F.col("pick"), F.lit(4)) == 0).cast("int").alias("part")
+    return chosen.select("doc_id", "toxic", part, "weight")
 
 
 def fit_toxicity(
@@ -198,8 +199,8 @@ def fit_toxicity(
 
     shared = (counts + 1) / (counts.sum() + len(counts))
     fitted = ToxicityModel(model(1), model(0), shared)
-    held = _differences(sample.where("part = 1").select("toxic", "text"), fitted).toArrow()
-    fitted.slope, fitted.offset = _logistic(held["difference"].to_numpy(), held["toxic"].to_numpy())
+    held = _differences(sample.where("part = 1").select("toxic", "text", "weight"), fitted).toArrow()
+    fitted.slope, fitted.offset = _logistic(*(held[c].to_numpy() for c in ("difference", "toxic", "weight")))
     scratch.drop("sample", "contexts")
     return fitted
 
@@ -211,21 +212,23 @@ def _differences(rows: DataFrame, model: ToxicityModel) -> DataFrame:
         for batch in batches:
             for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
                 found = shared.value.difference(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["toxic", "difference"])
+                columns = [part.column(0), pa.array(found), part.column(2)]
+                yield pa.RecordBatch.from_arrays(columns, ["toxic", "difference", "weight"])
 
-    return rows.mapInArrow(compute, "toxic int, difference double")
+    return rows.mapInArrow(compute, "toxic int, difference double, weight double")
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve; Newton's method with a small ridge.
 
-    Every text weighs the same, so that where classes overlap the more common one, ordinary text, is kept.
+    A text weighs as many labelled texts as it stands for, so that where classes overlap the more common
+    one, ordinary text, is kept, however few of it are in the sample.
     """
     if not len(x) or y.min() == y.max():
         return 1.0, 0.0
-    scale = x.std() or 1.0
+    weight = weight / weight.sum()
+    scale = np.sqrt(weight @ (x - weight @ x) ** 2) or 1.0
     a = np.stack([x / scale, np.ones(len(x))], 1)
-    weight = np.full(len(x), 1 / len(x))
     b = np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))

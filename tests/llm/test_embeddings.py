@@ -46,6 +46,16 @@ def test_against_all_pairs(spark, slack, d):
     assert all(r.kept == (r.component_id == r.vec_id) for r in found)
 
 
+def test_vectors_with_a_falling_spectrum(spark):
+    rng = np.random.default_rng(3)
+    spread = 1 / np.arange(1, 257)
+    vectors = rng.normal(size=(1500, 256)) * spread
+    vectors = np.concatenate([vectors, vectors + rng.normal(size=vectors.shape) * spread * 0.4]).astype(np.float32)
+    found = sorted(near_vectors(frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)])).collect())
+    n_links, root = brute_force(vectors, 0.9)
+    assert [r.n_links for r in found] == n_links.tolist() and [r.component_id for r in found] == root.tolist()
+
+
 def test_many_copies_of_one_vector(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(500)] + [(500 + i, rng.normal(size=3).tolist()) for i in range(100)]

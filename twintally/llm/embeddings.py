@@ -6,12 +6,12 @@ cell is a guest there too, and meets that cell's own vectors. A pair is at most
 ``sqrt(2 - 2 * threshold)`` apart, so if a border parts it, one of the two is no
 further than half of that from the border:
 
-- ``slack="worst"`` makes guests of all vectors that near. It finds every pair, but in many
-  dimensions nearly every vector is that near to many borders.
-- ``slack="usual"`` (the default) takes into account that the difference of two vectors has
-  no reason to point straight at a border. In ``d`` dimensions its part across a border has a
-  spread of ``1 / sqrt(d - 1)`` of its length; guests are those within two spreads, so that a pair is
-  missed only if its difference lies across the border by more than four.
+- ``slack="worst"`` (the default) makes guests of all vectors that near. It finds every pair, but in
+  many dimensions nearly every vector is that near to many borders.
+- ``slack="usual"`` supposes that the difference of two vectors points evenly in all directions. In
+  ``d`` dimensions its part across a border then has a spread of ``1 / sqrt(d - 1)`` of its length;
+  guests are those within two spreads. Real vectors differ most along the directions that part cells,
+  so this misses pairs.
 
 Equal vectors are one row with a count before that. A cell is cut into chunks of about
 ``chunk`` rows and a task compares two chunks at a time, so a cell of any size is spread over
@@ -156,7 +156,7 @@ def near_vectors(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     threshold: float = THRESHOLD,
-    slack: str = "usual",
+    slack: str = "worst",
     chunk: int = CHUNK,
     most_fitted: int = MOST_FITTED,
 ) -> DataFrame:

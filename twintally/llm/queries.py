@@ -160,7 +160,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_embedding_dedup")
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(table(spark, sf_dir, "embeddings"))
+    return near_vectors(table(spark, sf_dir, "embeddings"), slack="worst")
 
 
 @query("op9_bpe")

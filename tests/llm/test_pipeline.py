@@ -3,8 +3,9 @@
 import numpy as np
 
 import corpus_pipeline
+from twintally.llm.exact_dedup import drop_exact_copies
 from twintally.llm.scratch import Scratch, components
-from twintally.llm.simhash import fingerprint
+from twintally.llm.simhash import drop_near_copies, fingerprint
 
 
 def test_stages(spark, sf_dir, documents):
@@ -42,6 +43,15 @@ def test_stages(spark, sf_dir, documents):
     assert {r.doc_id for r in frames[4].select("doc_id").distinct().collect()} == rows[4].keys()
 
 
+def test_one_row_of_each_group_stays(spark):
+    one, other, third = ("alpha beta gamma delta epsilon " * 9, "nu xi omicron pi rho sigma " * 9, "no one has numbered this text yet " * 9)
+    rows = [(1, one), (2, one), (2, other), (5, other), (None, one), (None, third), (None, third), (7, "just twice " * 9), (7, "just twice " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = sorted([(1, one), (2, other), (7, "just twice " * 9), (None, third)], key=str)
+    assert sorted((tuple(r) for r in drop_near_copies(docs).collect()), key=str) == wanted
+    assert sorted((tuple(r) for r in drop_exact_copies(docs).collect()), key=str) == wanted
+
+
 def test_run_gives_the_last_stage(spark, small_dir):
     found = corpus_pipeline.run(spark, small_dir)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(found.columns) and found.count() > 0

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.llm.scratch import quoted, without
+from twintally.llm.scratch import Scratch, numbered, one_of_each, quoted
 
 _ENTRY = ["digest", "n_bytes", "check"]
 
@@ -54,6 +54,12 @@ def merge_runs(entries: DataFrame, runs: int, fan_in: int, keep: str) -> DataFra
     return merged.drop("run")
 
 
+def _groups(rows: DataFrame, keep: str = "smallest", runs: int = 64, fan_in: int = 8) -> DataFrame:
+    """The groups of :func:`merge_runs`, of rows with ``id`` and the entry columns."""
+    entries = rows.withColumn("run", F.pmod(F.xxhash64("id"), F.lit(runs)).cast("int"))
+    return merge_runs(entries, runs, fan_in, keep)
+
+
 def exact_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -76,8 +82,7 @@ def exact_groups(
     - An empty table gives no rows.
     """
     rows = docs.select(quoted(id_column).cast("long").alias("id"), *text_entry(quoted(text_column)))
-    entries = rows.withColumn("run", F.pmod(F.xxhash64("id"), F.lit(runs)).cast("int"))
-    groups = merge_runs(entries, runs, fan_in, keep)
+    groups = _groups(rows, keep, runs, fan_in)
     return rows.join(groups, _ENTRY).select(
         F.col("id").alias("doc_id"),
         "keep_id",
@@ -90,9 +95,13 @@ def exact_groups(
 def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``.
 
-    Rows go by identifier and digest together, so a repeated identifier takes no
-    other text with it. Settings are those of :func:`exact_groups`.
+    Of each group one row stays: of those that carry ``keep_id``, the first in the written
+    table. So a repeated identifier takes no other text with it, and repeated rows and copies
+    without an identifier are one row after that. Settings are those of :func:`exact_groups`.
     """
-    groups = exact_groups(docs, id_column, text_column, **settings)
-    gone = groups.where("not kept").select("doc_id", F.unhex("text_sha256"))
-    return without(docs, gone, [quoted(id_column).cast("long"), text_entry(quoted(text_column))[0]])
+    rows = numbered(docs, Scratch(docs.sparkSession, "exact"))
+    id_name, text_name = (f"column_{docs.columns.index(c)}" for c in (id_column, text_column))
+    entries = rows.select("row", F.col(id_name).cast("long").alias("id"), *text_entry(F.col(text_name)))
+    groups = _groups(entries.drop("row"), **settings)
+    candidates = entries.join(groups, _ENTRY).where(F.col("id").eqNullSafe(F.col("keep_id")))
+    return one_of_each(rows, candidates, _ENTRY).toDF(*docs.columns)

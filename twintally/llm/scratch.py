@@ -91,17 +91,17 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def without(docs: DataFrame, gone: DataFrame, like: list[Column]) -> DataFrame:
-    """The rows of ``docs`` for which ``gone`` has no row whose columns equal ``like``, in order; nulls are equal."""
-    taken = {c.lower() for c in docs.columns}
-    names = []
-    for place in range(len(gone.columns)):
-        name = f"gone_{place}"
-        while name in taken:
-            name += "_"
-        names.append(name)
-    same = [column.eqNullSafe(F.col(name)) for column, name in zip(like, names)]
-    return docs.join(gone.toDF(*names).distinct(), same, "left_anti")
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs``, written, as columns ``column_0`` and so on, with a number ``row`` of its own for every row."""
+    inside = docs.toDF(*[f"column_{place}" for place in range(len(docs.columns))])
+    return scratch.keep(inside.withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def one_of_each(rows: DataFrame, candidates: DataFrame, group: list[str]) -> DataFrame:
+    """The rows of a table of :func:`numbered` that are the first of ``candidates`` in their ``group``."""
+    staying = candidates.groupBy(*group).agg(F.min("row").alias("row")).select("row")
+    gone = rows.select("row").join(staying, "row", "left_anti")
+    return rows.join(gone, "row", "left_anti").drop("row")
 
 
 def map_rows(docs: DataFrame, mapped: Callable[[Iterator], Iterator]) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twintally.llm import golay
-from twintally.llm.scratch import Scratch, components, quoted, without
+from twintally.llm.scratch import Scratch, components, numbered, one_of_each, quoted
 
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits of each segment
@@ -63,16 +63,21 @@ def fingerprint(text: str | None, shingle_words: int) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle_words: int) -> DataFrame:
-    """``doc_id, fp`` for every row; fp is the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, id_column: str, text_column: str, shingle_words: int, row_column: str | None = None
+) -> DataFrame:
+    """``doc_id, fp`` for every row, and its number ``row`` if it has one; fp is the fingerprint as a signed long."""
+    names = ["doc_id"] if row_column is None else ["doc_id", "row"]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle_words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            *keys, texts = batch.columns
+            found = np.array([fingerprint(t, shingle_words) for t in texts.to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(found.view(np.int64))], [*names, "fp"])
 
-    rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(compute, "doc_id long, fp long")
+    keys = [quoted(c).cast("long").alias(name) for c, name in zip([id_column, row_column], names)]
+    rows = docs.select(*keys, quoted(text_column).cast("string").alias("text"))
+    return rows.mapInArrow(compute, ", ".join(f"{name} long" for name in [*names, "fp"]))
 
 
 def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,6 +215,13 @@ def simhash_groups(
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.keep(fingerprints(docs, id_column, text_column, shingle_words), "fingerprints")
+    return prints.join(_groups(prints, scratch, most_distance), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _groups(prints: DataFrame, scratch: Scratch, most_distance: int) -> DataFrame:
+    """``fp, root, component_id`` of every fingerprint; root is a fingerprint that stands for the component."""
     distinct = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     links = scratch.keep(near_links(distinct, most_distance), "links")
     roots = components(links, scratch)
@@ -218,19 +230,28 @@ def simhash_groups(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = groups.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = scratch.keep(groups.join(smallest, "root").select("fp", "component_id"), "groups")
+    groups = scratch.keep(groups.join(smallest, "root").select("fp", "root", "component_id"), "groups")
     scratch.drop("distinct")
-    return prints.join(groups, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return groups
 
 
-def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
-    """``docs`` with one document of each component: the one whose identifier is the smallest.
+def drop_near_copies(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle_words: int = 4,
+    most_distance: int = MOST_DISTANCE,
+) -> DataFrame:
+    """``docs`` with one row of each component: the one whose identifier is the smallest.
 
-    Rows that repeat the identifier that stays all stay; a row without an identifier goes
-    if its component has another. Settings are those of :func:`simhash_groups`.
+    Of rows that repeat that identifier in the component, or of a component without
+    identifiers, the first in the written table stays. Rows go by their number there, so what
+    goes takes no row of another component with it. Settings are those of :func:`simhash_groups`.
     """
-    groups = simhash_groups(docs, id_column, text_column, **settings)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    return without(docs, gone, [quoted(id_column).cast("long")])
+    scratch = Scratch(docs.sparkSession, "simhash")
+    rows = numbered(docs, scratch)
+    id_name, text_name = (f"column_{docs.columns.index(c)}" for c in (id_column, text_column))
+    prints = scratch.keep(fingerprints(rows, id_name, text_name, shingle_words, "row"), "fingerprints")
+    groups = _groups(prints, scratch, most_distance)
+    candidates = prints.join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return one_of_each(rows, candidates, ["root"]).toDF(*docs.columns)

@@ -22,7 +22,7 @@ def ordered(rows):
 def test_all_are_registered():
     assert QUERIES.items() <= driver.queries().items()
     assert "pipeline" in driver.queries()
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 11)]
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))

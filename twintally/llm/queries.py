@@ -15,8 +15,11 @@ from twintally.llm.exact_dedup import exact_groups
 from twintally.llm.language import fit_language, identify_languages
 from twintally.llm.licenses import TEMPLATES, scan_licenses
 from twintally.llm.lines import line_report
+from twintally.llm.mixing import score_texts
 from twintally.llm.packing import pack_documents
+from twintally.llm.repair import repair_report
 from twintally.llm.simhash import simhash_groups
+from twintally.llm.spelling import spelling_variants
 from twintally.llm.toxicity import fit_toxicity, fold, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +177,36 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_language(docs.where(fold(F.col("doc_id"), 3) != 1))
     found = identify_languages(docs, model)
     return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_spelling_variants")
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants(table(spark, sf_dir, "documents"), misspell_one_in=199)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) != 2)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults made by a checksum of conversation and turn; what is null counts as one space."""
+    space = F.lit(" ")
+    conv, turn = (F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+    key = F.concat(conv, F.lit(":"), turn)
+    kind = F.crc32(key) % 20
+    rows = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), kind.alias("kind"))
+    return rows.where("kind <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+@query("op13_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(turns), every=turns)

@@ -8,10 +8,12 @@ from twintally import storage
 class Session:
     """A session with settings and a master, as far as ``shared_folder`` looks."""
 
-    def __init__(self, master, checkpoints=None, warehouse=None):
+    def __init__(self, master, checkpoints=None, warehouse=None, default="hdfs://nn"):
         named = {"spark.checkpoint.dir": checkpoints, "spark.sql.warehouse.dir": warehouse}
         self.conf = {name: folder for name, folder in named.items() if folder}
-        self.sparkContext = type("Context", (), {"master": master})
+        settings = type("Settings", (), {"get": lambda self, name, other: default if name == "fs.defaultFS" else other})
+        java = type("Java", (), {"hadoopConfiguration": lambda self: settings()})()
+        self.sparkContext = type("Context", (), {"master": master, "_jsc": java})
 
 
 def test_the_cluster_names_the_folder():
@@ -24,6 +26,11 @@ def test_a_folder_of_one_machine_is_for_local_sessions():
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             storage.shared_folder(Session(master, folder))
     assert storage.shared_folder(Session("local[2]", None, "file:/w/")) == "file:/w"
+    # Without a scheme it is the default file system that decides.
+    assert storage.shared_folder(Session("yarn", "/shared:a/x")) == "/shared:a/x"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session("yarn", "/tmp/here", default="file:///"))
+    assert storage.shared_folder(Session("local[2]", "/tmp/here", default="file:///")) == "/tmp/here"
 
 
 def test_fresh_folders_of_a_real_session(spark):

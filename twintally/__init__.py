@@ -5,7 +5,9 @@ from twintally.operators import (
     SchemaMismatch,
     batch_row_count,
     content_check,
+    rolled_up_row_count,
     row_count_check,
+    rows_apart,
     rows_extra,
     rows_missing,
     schema_difference,
@@ -28,7 +30,9 @@ __all__ = [
     "content_check",
     "read_source",
     "read_summary",
+    "rolled_up_row_count",
     "row_count_check",
+    "rows_apart",
     "rows_extra",
     "rows_missing",
     "run_checks",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from twintally.catalogue.registry import query
@@ -20,7 +20,7 @@ from twintally.catalogue.tables import (
     row_text_sql,
     table,
 )
-from twintally.operators import content_check, distinct_fingerprints, row_fingerprint, rows_extra, rows_missing
+from twintally.operators import content_check, distinct_fingerprints, row_fingerprint, rows_apart, rows_extra, rows_missing
 from twintally.sources import FileSource, JdbcSource, read_source
 from twintally.storage import fresh_folder
 
@@ -204,6 +204,37 @@ def check_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(embeddings, embeddings_target(embeddings), mode="typed")
 
 
+@query(
+    "content_check_nested_narrowed",
+    f"""with {EMBEDDINGS_TARGET_SQL},
+numbers as (
+  select (select count(*) from embeddings) as count_source, (select count(*) from tgt) as count_target,
+         (select count(*) from (select * from embeddings except select * from tgt)) as missing,
+         (select count(*) from (select * from tgt except select * from embeddings)) as extra
+)
+select true as schema_match, count_source, count_target, missing as source_not_in_target,
+       extra as target_not_in_source, missing = 0 and extra = 0 as is_passed
+from numbers""",
+)
+def check_nested_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return content_check(embeddings, embeddings_target(embeddings), mode="typed", buckets=1 << 16)
+
+
+@query(
+    "content_rows_with_counts",
+    f"""{_sides("orders", ORDERS_TARGET_SQL)},
+missing as (select "row" from s except select "row" from t), extra as (select "row" from t except select "row" from s)
+select side, "row", (select count(*) from s) as count_source, (select count(*) from t) as count_target,
+       (select count(*) from missing) as source_not_in_target, (select count(*) from extra) as target_not_in_source
+from (select 'source' as side, "row" from missing union all select 'target', "row" from extra)""",
+)
+def rows_with_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts, path = Observation(), fresh_folder(spark, "rows-apart")
+    rows_apart(*_pair(spark, sf_dir, "orders"), observation=counts).write.parquet(path)
+    return spark.read.parquet(path).select("*", *[F.lit(n).cast("bigint").alias(name) for name, n in counts.get.items()])
+
+
 @query("content_check_same_table", _check_sql("lineitem", "tgt as (select * from lineitem)"))
 def check_same_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "lineitem"))

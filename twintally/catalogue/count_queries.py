@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twintally.catalogue.registry import query
 from twintally.catalogue.tables import ORDERS_TARGET_SQL, TABLES, orders_target, table
-from twintally.operators import CountCheck, batch_row_count, row_count_check, windowed_row_count
+from twintally.operators import CountCheck, batch_row_count, rolled_up_row_count, row_count_check, windowed_row_count
 
 _VERDICT = """
   count_source, count_target, abs(count_source - count_target) as count_diff,
@@ -77,6 +77,26 @@ def windowed_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed_row_count(events, events.filter("event_type <> 'purchase'"), 1, "hourly", "ts")
 
 
+_ROLLUP = [("hourly", "hour"), ("daily", "day"), ("monthly", "month")]
+
+
+@query(
+    "windowed_row_count_rollup",
+    f"""
+with {ORDERS_TARGET_SQL},
+both_sides as (
+  select o_orderdate as d, 1 as s, 0 as t from orders union all select o_orderdate, 0, 1 from tgt
+), counts as (
+  {" union all ".join(f"select '{name}' as granularity, cast(date_trunc('{unit}', d) as timestamp) as window_start, sum(s) as count_source, sum(t) as count_target from both_sides group by 2" for name, unit in _ROLLUP)}
+  union all select 'all', null, sum(s), sum(t) from both_sides
+)
+select granularity, window_start, {_VERDICT.format(threshold=1)}
+from (select granularity, window_start, cast(count_source as bigint) as count_source, cast(count_target as bigint) as count_target from counts)""",
+)
+def windowed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolled_up_row_count(*_orders_pair(spark, sf_dir), 1, "o_orderdate")
+
+
 # The target of each pair holds the rows of its table that satisfy a condition.
 _BATCH = {
     "region": "r_name <> 'ASIA'",

@@ -45,37 +45,104 @@ def row_struct() -> Column:
 
 
 def row_struct_digest(table: DataFrame) -> DataFrame:
-    """One ``row`` struct for each row: :func:`row_struct` with long values cut down.
+    """One ``row`` struct for each row: :func:`row_struct` with wide values cut down.
 
-    String and binary columns become their :func:`row_digest`, so rows are equal
-    here when they are equal as structs; text of another collation and all other
-    columns stay as they are.
+    Strings, binary and nested columns go into one :func:`row_digest` of their exact text
+    together, so rows are equal here when they are equal as structs, maps included; text of a
+    collation and all other columns stay as they are.
     """
     numbered = table.toDF(*[f"c{i}" for i in range(len(table.columns))])
-    values = [
-        row_digest(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType)) and not is_collated(f.dataType) else f.name
-        for f in numbered.schema.fields
-    ]
+    wide = [f for f in numbered.schema.fields if _is_wide(f.dataType) and has_exact_text(f.dataType)]
+    values = [F.col(f.name) for f in numbered.schema.fields if f not in wide]
+    if wide:
+        texts = F.concat_ws(",", *[_exact(F.col(f.name), f.dataType) for f in wide])
+        values.append(row_digest(texts).alias("wide"))
     return numbered.select(F.struct(*values).alias("row"))
 
 
+def _is_wide(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.BinaryType)) or _is_nested(kind)
+
+
+def _is_nested(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+
+
+def row_hashes(table: DataFrame) -> list[Column]:
+    """Two 64-bit hashes that are the same for two rows that are equal as structs, and independent of one another.
+
+    Values are hashed as they are, without a text, but for nested ones: a hash passes over what is null inside.
+    """
+    values = []
+    for field in table.schema.fields:
+        value = F.col(_quoted(field.name))
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0).cast(field.dataType)  # -0.0 equals 0.0
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType, T.AtomicType)) and has_exact_text(field.dataType):
+            value = _exact(value, field.dataType)
+        values += [value, value.isNull()]
+    return [F.xxhash64(*values), F.xxhash64(F.lit("again"), *values)]
+
+
+def text_hashes(text: Column) -> list[Column]:
+    """The same of rows that are equal when their texts are."""
+    return [F.xxhash64(text), F.xxhash64(F.lit("again"), text)]
+
+
 def row_exact_text(table: DataFrame) -> Column:
     """A text that is the same for two rows exactly if they are equal as structs.
 
-    NULL is empty, strings carry their length, and everything else has a text
-    without a comma, so no two different rows run together.
+    NULL is empty. Strings and nested values carry their length, and everything else has a
+    text without a comma, so no two different rows run together. A map's entries are in order of
+    their keys' texts, so maps with the same entries have the same text.
     """
     return F.concat_ws(",", *[_exact(F.col(_quoted(f.name)), f.dataType) for f in table.schema.fields])
 
 
+def has_exact_text(kind: T.DataType) -> bool:
+    """Whether :func:`row_exact_text` takes columns of this type; text of a collation is not equal by its bytes."""
+    if is_collated(kind):
+        return False
+    match kind:
+        case T.StructType():
+            return all(has_exact_text(f.dataType) for f in kind.fields)
+        case T.ArrayType():
+            return has_exact_text(kind.elementType)
+        case T.MapType():
+            return has_exact_text(kind.keyType) and has_exact_text(kind.valueType)
+    flat = (
+        T.StringType, T.BinaryType, T.FloatType, T.DoubleType, T.TimestampType, T.IntegralType, T.DecimalType, T.BooleanType,
+        T.DateType, T.TimestampNTZType, T.NullType,
+    )
+    return isinstance(kind, flat)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _with_length(text: Column) -> Column:
+    return F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)
+
+
 def _exact(value: Column, kind: T.DataType) -> Column:
     match kind:
+        case T.StructType():
+            parts = [_exact(value.getField(f.name), f.dataType) for f in kind.fields]
+            text = F.when(value.isNotNull(), _with_length(F.concat_ws(",", F.lit("s"), *parts)))
+        case T.ArrayType():
+            parts = F.transform(value, lambda item: _exact(item, kind.elementType))
+            text = _with_length(F.concat_ws(",", F.size(value).cast("string"), F.array_join(parts, ",")))
+            text = F.when(value.isNotNull(), text)
+        case T.MapType():
+            entry = lambda e: F.concat(_exact(e.key, kind.keyType), F.lit("="), _exact(e.value, kind.valueType))
+            parts = F.array_sort(F.transform(F.map_entries(value), entry))
+            text = _with_length(F.concat_ws(",", F.size(value).cast("string"), F.array_join(parts, ",")))
+            text = F.when(value.isNotNull(), text)
+        case T.NullType():
+            text = F.lit(None).cast("string")
         case T.StringType() | T.BinaryType():
-            text = F.concat(F.octet_length(value).cast("string"), F.lit(":"), value.cast("string"))
+            text = _with_length(value.cast("string"))
         case T.FloatType() | T.DoubleType():
             text = (value + F.lit(0).cast(kind)).cast("string")  # -0.0 equals 0.0
         case T.TimestampType():

@@ -3,6 +3,7 @@ from twintally.operators.content import (
     content_check,
     distinct_fingerprints,
     row_fingerprint,
+    rows_apart,
     rows_extra,
     rows_missing,
     schema_difference,
@@ -12,6 +13,7 @@ from twintally.operators.counts import (
     CountCheck,
     batch_row_count,
     count_rows,
+    rolled_up_row_count,
     row_count_check,
     windowed_row_count,
 )
@@ -23,8 +25,10 @@ __all__ = [
     "content_check",
     "count_rows",
     "distinct_fingerprints",
+    "rolled_up_row_count",
     "row_count_check",
     "row_fingerprint",
+    "rows_apart",
     "rows_extra",
     "rows_missing",
     "schema_difference",

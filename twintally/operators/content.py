@@ -15,13 +15,13 @@ both sides must have the same column types.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import zip_longest
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from twintally.functions.rowkey import is_collated, row_digest, row_exact_text, row_struct, row_struct_digest, row_text
+from twintally.functions.rowkey import is_collated, row_digest, row_hashes, row_struct, row_struct_digest, row_text, text_hashes
 from twintally.operators.counts import count_rows, tally, union_all
 from twintally.sources.read import conform as conformed
 
@@ -92,9 +92,8 @@ def content_check(
     row as differences. ``key="full"`` groups by the whole row text or row, not by
     digests. ``buckets``, a power of two, is for tables expected to be nearly equal: it
     sets aside the hash buckets whose checksums agree before rows are shuffled, at the
-    price of a second scan; the answer is the same. (Typed mode has no buckets for
-    tables with nested columns. Tables with text of a collation are compared as if
-    ``buckets`` and the digest had not been asked for.)
+    price of a second scan; the answer is the same. (Tables with text of a collation are
+    compared as if ``buckets`` and the digest had not been asked for.)
 
     ``conform`` casts the target to the source's types first (see
     :func:`twintally.sources.conform`). A target row that a cast would change is on the
@@ -152,37 +151,70 @@ def rows_missing(
     return grouped.filter("s > 0 and t = 0").select(*rows)
 
 
+def rows_apart(
+    source: DataFrame,
+    target: DataFrame,
+    *,
+    mode: str = "concat",
+    columns: Sequence[str] | None = None,
+    multiset: bool = False,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """:func:`rows_missing` and :func:`rows_extra` in one pass: ``side`` (``source`` or ``target``) and then the rows.
+
+    An ``observation`` has the numbers of :func:`content_check` once the rows were written or otherwise gone
+    through as a whole: ``count_source, count_target, source_not_in_target, target_not_in_source``.
+    Raises :class:`SchemaMismatch` on unlike schemas.
+    """
+    source, target = _only(source, target, columns)
+    if not schemas_match(source, target, mode):
+        raise SchemaMismatch(f"cannot compare {source.dtypes} with {target.dtypes}")
+    grouped = _grouped(source, target, mode, "full", None)
+    if observation is not None:
+        numbers = zip(("count_source", "count_target", "source_not_in_target", "target_not_in_source"), _numbers(multiset).values())
+        zero = F.lit(0).cast("bigint")
+        grouped = grouped.observe(observation, *[F.coalesce(number, zero).alias(name) for name, number in numbers])
+    side = F.when(F.expr("s > t"), "source").otherwise("target").alias("side")
+    rows = ["row"] if mode == "concat" else ["row.*"]
+    if multiset:
+        return grouped.filter("s <> t").select(side, *rows, F.abs(F.col("s") - F.col("t")).alias("copies"))
+    return grouped.filter("(s > 0 and t = 0) or (t > 0 and s = 0)").select(side, *rows)
+
+
 def rows_extra(source: DataFrame, target: DataFrame, **how: object) -> DataFrame:
     """The distinct rows of ``target`` that ``source`` does not have; see :func:`rows_missing`."""
     return rows_missing(target, source, **how)
 
 
+def check_buckets(buckets: int | None) -> int | None:
+    """A power of two, or nothing."""
+    if buckets is not None and (buckets < 1 or buckets & (buckets - 1)):
+        raise ValueError(f"buckets must be a power of two, not {buckets}")
+    return buckets
+
+
 def _narrowed(
-    source: DataFrame, target: DataFrame, text: Column, buckets: int
+    source: DataFrame, target: DataFrame, hashes: Callable[[DataFrame], list[Column]], buckets: int
 ) -> tuple[tuple[DataFrame, DataFrame], DataFrame]:
-    """Both sides without the buckets whose checksums agree, and the counts of those; equal rows have equal ``text``.
+    """Both sides without the buckets whose checksums agree, and the counts of those; equal rows have equal ``hashes``.
 
-    Rows fall into ``buckets`` by a hash. Each task adds up the rows' SHA-256, as eight
+    Rows fall into ``buckets`` by the first of two 64-bit hashes. Each task adds up both, as four
     numbers of 32 bits, by bucket, so at most ``buckets`` rows per task are shuffled.
-    A bucket whose eight sums and whose counts agree on both sides is taken to hold
+    A bucket whose four sums and whose counts agree on both sides is taken to hold
     the same rows on both. What is left, every row of every other bucket, has the
     differences of the whole tables, for one more scan of each side but without
     shuffling the rows that agree. The buckets that differ are joined as adaptive
     execution sees fit: few are broadcast.
     """
-    if buckets < 1 or buckets & (buckets - 1):
-        raise ValueError(f"buckets must be a power of two, not {buckets}")
-
-    def bucket(text: Column) -> Column:
-        return F.xxhash64(text).bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
-
-    words = [f"word{n}" for n in range(8)]
+    check_buckets(buckets)
+    half = F.lit((1 << 32) - 1)
+    words = [f"word{n}" for n in range(4)]
 
     def marked(side: DataFrame, of_source: bool) -> DataFrame:
-        texts = side.select(text.alias("text"))
-        digests = texts.select(bucket(F.col("text")), F.sha2("text", 256).alias("digest"))
-        parts = [F.conv(F.substring("digest", 8 * n + 1, 8), 16, 10).cast("bigint").alias(w) for n, w in enumerate(words)]
-        return tally(digests, of_source=of_source, by=[F.col(_BUCKET), *parts])
+        hashed = side.select(*[h.alias(f"hash{n}") for n, h in enumerate(hashes(side))])
+        parts = [part for n in range(2) for part in (F.col(f"hash{n}").bitwiseAND(half), F.shiftrightunsigned(f"hash{n}", 32))]
+        bucket = F.col("hash0").bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
+        return tally(hashed, of_source=of_source, by=[bucket, *[p.alias(w) for p, w in zip(parts, words)]])
 
     net = F.col("s") - F.col("t")
     # A sum that overflows is NULL, which is not equal to 0: the bucket stays in.
@@ -200,7 +232,8 @@ def _narrowed(
     agreeing = sums.filter(equal).agg(*[F.coalesce(F.sum(n), zero).alias(n) for n in ("s", "t")])
 
     def narrowed(side: DataFrame) -> DataFrame:
-        return side.select("*", bucket(text)).join(differing, _BUCKET, "left_semi").drop(_BUCKET)
+        bucket = hashes(side)[0].bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
+        return side.select("*", bucket).join(differing, _BUCKET, "left_semi").drop(_BUCKET)
 
     return (narrowed(source), narrowed(target)), agreeing
 
@@ -244,12 +277,12 @@ def _grouped_apart(
         key, buckets = "full", None
     if mode == "typed":
         if buckets is not None:
-            sides, agreeing = _narrowed(*sides, row_exact_text(source), buckets)
+            sides, agreeing = _narrowed(*sides, row_hashes, buckets)
         keyed = [row_struct_digest(s) if key == "digest" else s.select(row_struct().alias("row")) for s in sides]
     else:
         keyed = [s.select(row_text().alias("row")) for s in sides]
         if buckets is not None:
-            keyed, agreeing = _narrowed(*keyed, F.col("row"), buckets)
+            keyed, agreeing = _narrowed(*keyed, lambda side: text_hashes(F.col("row")), buckets)
         if key == "digest":
             keyed = [s.select(row_digest(F.col("row")).alias("row")) for s in keyed]
     by = [F.col("row")]
@@ -257,16 +290,21 @@ def _grouped_apart(
     return both.groupBy("row").agg(F.sum("s").alias("s"), F.sum("t").alias("t")), agreeing
 
 
-def _difference_numbers(grouped: DataFrame, multiset: bool) -> DataFrame:
-    zero = F.lit(0).cast("bigint")
+def _numbers(multiset: bool) -> dict[str, Column]:
+    """Both row counts and both one-sided counts of grouped rows; NULL without rows."""
     if multiset:
+        zero = F.lit(0).cast("bigint")
         missing = F.sum(F.greatest(F.expr("s - t"), zero))
         extra = F.sum(F.greatest(F.expr("t - s"), zero))
     else:
         missing = F.count_if(F.expr("s > 0 and t = 0"))
         extra = F.count_if(F.expr("t > 0 and s = 0"))
-    named = {"count_source": F.sum("s"), "count_target": F.sum("t"), "missing": missing, "extra": extra}
-    return grouped.agg(*[F.coalesce(number, zero).alias(name) for name, number in named.items()])
+    return {"count_source": F.sum("s"), "count_target": F.sum("t"), "missing": missing, "extra": extra}
+
+
+def _difference_numbers(grouped: DataFrame, multiset: bool) -> DataFrame:
+    zero = F.lit(0).cast("bigint")
+    return grouped.agg(*[F.coalesce(number, zero).alias(name) for name, number in _numbers(multiset).items()])
 
 
 def _verdict(numbers: DataFrame, schema_match: Column, missing: Column, extra: Column) -> DataFrame:

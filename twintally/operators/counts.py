@@ -108,6 +108,39 @@ def windowed_row_count(
     return with_count_verdict(both.groupBy("window_start").agg(*_totals()), threshold)
 
 
+def rolled_up_row_count(
+    source: DataFrame,
+    target: DataFrame,
+    threshold: int,
+    source_time: str | Column,
+    target_time: str | Column | None = None,
+) -> DataFrame:
+    """:func:`windowed_row_count` at all granularities from one scan and one shuffle.
+
+    ``granularity`` is ``hourly``, ``daily``, ``monthly`` or ``all``, which has one row and no ``window_start``.
+    """
+    levels = ("monthly", "daily", "hourly")
+
+    def windows(time: str | Column) -> list[Column]:
+        when = F.col(time) if isinstance(time, str) else time
+        return [truncate(when, level).alias(level) for level in levels]
+
+    check_threshold(threshold)
+    other_time = source_time if target_time is None else target_time
+    both = tally(source, of_source=True, by=windows(source_time)).unionAll(
+        tally(target, of_source=False, by=windows(other_time))
+    )
+    counted = both.rollup(*levels).agg(F.grouping_id().alias("rolled"), *_totals())
+    # A bit is set for each level that was rolled up; a window may be NULL by itself.
+    names = {0: "hourly", 1: "daily", 3: "monthly"}
+    level, start = F.lit("all"), F.lit(None).cast(both.schema["hourly"].dataType)
+    for bits, name in names.items():
+        level = F.when(F.col("rolled") == bits, name).otherwise(level)
+        start = F.when(F.col("rolled") == bits, F.col(name)).otherwise(start)
+    told = counted.select(level.alias("granularity"), start.alias("window_start"), "count_source", "count_target")
+    return with_count_verdict(told, threshold)
+
+
 @dataclass(frozen=True)
 class CountCheck:
     """One pair of a batch."""

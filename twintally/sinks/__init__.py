@@ -1,3 +1,3 @@
-from twintally.sinks.summary import SUMMARY_SCHEMA, append_summary, read_summary
+from twintally.sinks.summary import SUMMARY_SCHEMA, append_by_folder, append_summary, read_summary
 
-__all__ = ["SUMMARY_SCHEMA", "append_summary", "read_summary"]
+__all__ = ["SUMMARY_SCHEMA", "append_by_folder", "append_summary", "read_summary"]

@@ -46,7 +46,8 @@ def _jdbc_options(spark: SparkSession, source: JdbcSource) -> dict[str, Any]:
         # Spark reads a query in parallel only when it is given as a derived table.
         options["dbtable"] = f"({options.pop('query')}) parallel_query"
     if "lowerBound" not in options or "upperBound" not in options:
-        low, high = _ask(spark, source, f"min({column}) as low, max({column}) as high").first()
+        named = _quoted_column(spark, source, column)
+        low, high = _ask(spark, source, f"min({named}) as low, max({named}) as high").first()
         if low is None:  # no rows, or no values to split by
             return {name: value for name, value in options.items() if name not in _PARALLEL_READ}
         options = {"lowerBound": str(low), "upperBound": str(high), **options}
@@ -54,6 +55,16 @@ def _jdbc_options(spark: SparkSession, source: JdbcSource) -> dict[str, Any]:
     return options
 
 
+def _quoted_column(spark: SparkSession, source: JdbcSource, column: str) -> str:
+    """The column as the database's own quotes name it, found as Spark finds it: letter by letter first, then in any case."""
+    dialect = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(source.options["url"])
+    options = {k: v for k, v in source.options.items() if k not in _PARALLEL_READ}
+    names = spark.read.format("jdbc").options(**options).load().columns
+    plain = column if column in names else column.strip('"`[]')
+    found = [n for n in names if n == plain] or [n for n in names if n.lower() == plain.lower()]
+    return dialect.quoteIdentifier(found[0]) if found else column
+
+
 def _ask(spark: SparkSession, source: JdbcSource, totals: str) -> DataFrame:
     """One row of totals over a JDBC source, worked out by the database."""
     options = {k: v for k, v in source.options.items() if k not in (*_PARALLEL_READ, "dbtable", "query", "customSchema")}

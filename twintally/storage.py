@@ -12,13 +12,17 @@ _SETTINGS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``, else the session's warehouse.
 
-    A folder of one machine (``file:`` or no scheme at all) is refused unless the
-    master is local.
+    A folder of one machine is refused unless the master is local. Which one that is, the cluster's
+    file system settings decide: a path without a scheme lies in the default file system.
     """
     folder = next(filter(None, (spark.conf.get(setting, None) for setting in _SETTINGS)), None)
     if not folder:
         raise RuntimeError(f"set {_SETTINGS[0]} to a folder that all executors can reach")
-    if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    scheme, found, _ = folder.partition(":")
+    if not found or "/" in scheme:
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        scheme = default.partition(":")[0]
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{folder} is a folder of one machine; set {_SETTINGS[0]} to one that all executors can reach")
     return folder.rstrip("/")
 

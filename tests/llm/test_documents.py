@@ -257,3 +257,87 @@ def test_languages_odd_rows(odd_documents, no_documents):
     empty = fit_language(no_documents)
     assert isinstance(empty, LanguageModel) and identify_languages(no_documents, empty).collect() == []
     assert {r.lang_pred for r in identify_languages(odd_documents, empty).collect()} == {"und"}
+
+
+def test_scripts_of_many_characters_are_told_apart(spark):
+    rng = random.Random(1)
+    alphabets = {"one": [chr(0x4E00 + n) for n in range(600)], "two": [chr(0x20000 + n) for n in range(600)]}
+    rows = [(n, "".join(rng.choices(alphabets[lang], k=300)), lang) for n in range(160) for lang in alphabets]
+    model = fit_language(spark.createDataFrame([(n, *row[1:]) for n, row in enumerate(rows)], "doc_id long, text string, lang string"))
+    short = [("".join(rng.choices(alphabets[lang], k=4)), lang) for lang in alphabets for _ in range(100)]
+    names, _ = model.predict([text for text, _ in short])
+    assert sum(name == lang for name, (_, lang) in zip(names, short)) >= 195
+
+
+def test_kernel_values_against_sets_of_ngrams(spark):
+    from twintally.llm.language import _landmark_tables
+
+    texts = ["Abcab", "bca", "\U00020001\U00020002b", "", "zz top éè"]
+    known, present = _landmark_tables(texts)
+    model = LanguageModel([], known, present, np.empty(0))
+    grams = lambda t: {t.lower()[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    every = set().union(*map(grams, texts))
+    asked = ["abca", "bcb\U00020001", "unknown", "", "éè zz"]
+    found = model.kernel(asked)
+    for row, text in zip(found, asked):
+        own = grams(text) & every
+        wanted = [len(own & grams(mark)) / max(len(own), 1) ** 0.5 / max(len(grams(mark)), 1) ** 0.5 for mark in texts]
+        assert np.allclose(row, wanted, atol=1e-5)
+
+
+def test_toxicity_scores_against_plain_python(spark):
+    import math
+    from statistics import median
+
+    import xxhash
+
+    rng = random.Random(2)
+    mild, bad = [f"mild{n}" for n in range(60)], [f"bad{n}" for n in range(6)]
+    rows = [(n, " ".join(rng.choices(mild + bad * (3 if n % 4 == 0 else 0), k=30)), int(n % 4 == 0)) for n in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, toxic) for n, _, toxic in rows], "doc_id long, toxic int")
+    model = fit_toxicity(docs, labels)
+    # The same counts one by one: which half a label is for is taken from the operator.
+    from twintally.llm.toxicity import DEAD_ZONE, DISCOUNT, LEAST_CONTEXTS, labelled_sample
+
+    part = {r.doc_id: r.part for r in labelled_sample(labels, "toxic", 4000).collect()}
+    contexts = {0: {}, 1: {}}
+    for n, text, toxic in rows:
+        words = text.split()
+        if part[n] == 0:
+            for before, word in zip([None, *words], words):
+                contexts[toxic].setdefault(word, set()).add(before)
+    documents = Counter(w for _, text, _ in rows for w in set(text.split()))
+    all_words = sum(documents.values())
+    total = {toxic: sum(map(len, c.values())) for toxic, c in contexts.items()}
+    own = {t: {w: (len(c) - DISCOUNT) / total[t] for w, c in contexts[t].items() if len(c) >= LEAST_CONTEXTS} for t in (0, 1)}
+    rest = {t: 1 - sum(own[t].values()) for t in (0, 1)}
+
+    def ratio(word):
+        if word not in own[0] and word not in own[1]:
+            return math.log(rest[1] / rest[0])
+        likelihood = [math.log(own[t].get(word, 0) + rest[t] * documents[word] / all_words) for t in (0, 1)]
+        return likelihood[1] - likelihood[0]
+
+    assert len(model.words) == len(own[0].keys() | own[1].keys())
+    for _, text, _ in rows[:20] + [(0, "nothing known here bad1 bad1", 0)]:
+        each = [ratio(w) for w in text.split()]
+        each = [x - median(each) for x in each]
+        mean = sum(math.copysign(max(abs(x) - DEAD_ZONE, 0), x) for x in each) / len(each)
+        assert model.difference([text])[0] == pytest.approx(math.copysign(abs(mean) ** 0.5, mean), abs=1e-9)
+    assert xxhash.xxh64_intdigest(b"bad1") in model.words.tolist()
+
+
+def test_exact_runs_are_merged_in_order(spark):
+    """Sorted once a round and merged by neighbours; no hash table, and hot texts are spread over the runs."""
+    docs = spark.createDataFrame([(n, "hot" if n % 3 == 0 else f"text {n % 50}") for n in range(300)], "doc_id long, text string")
+    groups = exact_groups(docs, runs=8, fan_in=2)
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("SortAggregate") == 2 * 4  # a partial and a final one in each of four steps
+    for runs, fan_in in ((1, 2), (5, 2), (64, 8), (27, 3)):
+        for keep, best in (("smallest", min), ("largest", max)):
+            found = {r.doc_id: (r.keep_id, r.group_size) for r in exact_groups(docs, keep=keep, runs=runs, fan_in=fan_in).collect()}
+            ids = {}
+            for n, text in (tuple(r) for r in docs.collect()):
+                ids.setdefault(text, []).append(n)
+            assert found == {n: (best(group), len(group)) for group in ids.values() for n in group}

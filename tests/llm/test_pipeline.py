@@ -74,3 +74,32 @@ def test_components(spark):
             parent[max(a, b)] = min(a, b)
     assert found == {x: root(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test")).collect() == []
+
+
+def test_stages_that_learnt_nothing_drop_nothing(spark, documents, tmp_path):
+    texts = [(n, f"Some words of text number {n}." if n % 5 else None, None, "s", 9) for n in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    for labels in ([], [(n, 0, 0) for n in range(20)], [(n, 0, 1) for n in range(20)], [(n, 0, None) for n in range(9)]):
+        folder = str(tmp_path / f"labels-{len(labels)}-{labels[0][2] if labels else None}")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        assert corpus_pipeline.toxicity(spark, docs, folder).count() == 40
+    kept = corpus_pipeline.language(spark, docs, folder).collect()
+    assert {r.doc_id for r in kept} == {n for n, text, *_ in texts if text}
+
+
+def test_all_stages_over_odd_rows(spark, odd_documents, no_documents, tmp_path):
+    spark.createDataFrame([(1, 0, 0), (6, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for given in (odd_documents, no_documents):
+        docs = given.select("doc_id", "text", "lang", "digest", "run")
+        scratch = Scratch(spark, "test")
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            before = docs
+            docs = scratch.keep(stage(spark, docs, str(tmp_path)), f"stage-{number}")
+            if number < 4:
+                assert docs.dtypes == before.dtypes and docs.exceptAll(before).isEmpty()
+        assert docs.isEmpty() == before.isEmpty()
+    letters = {r.text for r in odd_documents.collect() if any(c.isalpha() for c in r.text or "")}
+    kept = odd_documents
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        kept = stage(spark, kept, str(tmp_path))
+    assert sorted(r.text for r in kept.collect()) == sorted(letters)

@@ -1,11 +1,12 @@
 """Exact dedup by a tree of merges over sorted digest runs.
 
 Every row is cut down to a digest and an identifier and dealt to one of ``runs``
-runs by its identifier. A run holds one entry for each digest. In each round the
-runs meet in groups of ``fan_in`` and are merged, and of equal digests the chosen
-identifier stays, until one run is left: ``log(runs) / log(fan_in)`` rounds
-whatever the number of rows. A text that makes up a third of all rows is so many
-entries only in its own run; after the first round it is one entry per run.
+runs by its identifier. A run holds its entries in order of their digests, one for each digest, cut
+into ``RANGES`` ranges of digests. In each round ``fan_in`` runs, those whose numbers are the same
+modulo the number of runs that are left, send each range of theirs to one task. The task merges them in order,
+and of equal digests the chosen identifier stays, until one run is left: ``log(runs) / log(fan_in)``
+rounds whatever the number of rows, each with as many tasks as there are runs and ranges. A text that makes up a third of
+all rows is dealt to all runs; after the first step it is one entry per run.
 
 An entry is the SHA-256 of the text together with two checks that are independent
 of it, the text's length in bytes and its XXH64. Entries are merged only if all
@@ -24,6 +25,9 @@ from twintally.llm.scratch import Scratch, numbered, one_of_each, quoted
 
 _ENTRY = ["digest", "n_bytes", "check"]
 
+# Of digests, by their first byte; a power of two up to 256.
+RANGES = 256
+
 
 def text_entry(text: Column) -> list[Column]:
     """What stands for a text in the runs; null counts as the empty text."""
@@ -35,23 +39,33 @@ def text_entry(text: Column) -> list[Column]:
     ]
 
 
+def _in_order(entries: DataFrame) -> DataFrame:
+    """Each range of each run in one task, in order of the entries."""
+    key = ["run", "range", *_ENTRY]
+    return entries.repartition("run", "range").sortWithinPartitions(*key)
+
+
+def _merged(entries: DataFrame, chosen, number) -> DataFrame:
+    """Neighbours that are equal as one. The identifier is held in a struct, which Spark adds up in the order of the rows, without a hash table."""
+    kept = chosen(F.struct("id")).alias("kept")
+    merged = _in_order(entries).groupBy("run", "range", *_ENTRY).agg(kept, number.alias("n"))
+    return merged.select("run", "range", *_ENTRY, F.col("kept.id").alias("id"), "n")
+
+
 def merge_runs(entries: DataFrame, runs: int, fan_in: int, keep: str) -> DataFrame:
     """One row per distinct entry: ``keep_id`` and ``group_size``, merged run by run.
 
     ``entries`` has the entry columns, ``id`` and ``run`` (0 to ``runs`` - 1).
     """
-    chosen = {"smallest": F.min, "largest": F.max}[keep]
-    merged = entries.groupBy("run", *_ENTRY).agg(
-        chosen("id").alias("keep_id"), F.count("*").alias("group_size")
-    )
+    # Nulls are the smallest of all in a struct, and are not to be preferred.
+    least = lambda s: F.min(F.struct(s["id"].isNull().alias("none"), s["id"].alias("id")))
+    chosen = {"smallest": least, "largest": F.max}[keep]
+    ranged = entries.withColumn("range", F.conv(F.hex(F.substring("digest", 1, 1)), 16, 10).cast("int") % F.lit(RANGES))
+    merged = _merged(ranged.withColumn("n", F.lit(1).cast("bigint")), chosen, F.sum("n"))
     while runs > 1:
         runs = -(-runs // fan_in)
-        merged = (
-            merged.withColumn("run", F.expr(f"run div {fan_in}").cast("int"))
-            .groupBy("run", *_ENTRY)
-            .agg(chosen("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        )
-    return merged.drop("run")
+        merged = _merged(merged.withColumn("run", F.col("run") % runs), chosen, F.sum("n"))
+    return merged.select(*_ENTRY, F.col("id").alias("keep_id"), F.col("n").alias("group_size"))
 
 
 def _groups(rows: DataFrame, keep: str = "smallest", runs: int = 64, fan_in: int = 8) -> DataFrame:

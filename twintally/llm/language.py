@@ -16,7 +16,6 @@ chosen by a hash of the identifier. Every text is described and scored whole.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,12 +27,12 @@ from pyspark.sql import functions as F
 from twintally.llm.scratch import Scratch, map_rows, quoted
 
 MOST_N = 3
-LETTERS = 128  # characters that n-grams are made of: the most common of the landmarks
 LANDMARKS = 128
 MOST_PER_LANGUAGE = 300
 RIDGE = 1e-3
 UNKNOWN = "und"
 
+_MOST_DIRECT = 1 << 22  # codes below are looked up in a table
 _LETTER = re.compile(r"[^\W\d_]")  # and a few numerals
 
 
@@ -41,24 +40,69 @@ def _has_letter(text: str | None) -> bool:
     return any(found.group().isalpha() for found in _LETTER.finditer(text or ""))
 
 
+@dataclass
+class Numbers:
+    """Sorted codes, numbered from 1; 0 stands for all others."""
+
+    codes: np.ndarray
+    table: np.ndarray | None = None  # by code, if the codes are small
+
+    @classmethod
+    def of(cls, codes: np.ndarray) -> Numbers:
+        if not len(codes) or codes[-1] >= _MOST_DIRECT:
+            return cls(codes)
+        table = np.zeros(codes[-1] + 1, np.int32)
+        table[codes] = np.arange(1, len(codes) + 1)
+        return cls(codes, table)
+
+    def look_up(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.zeros(len(codes), np.int64)
+        if self.table is not None:
+            return np.where(codes < len(self.table), self.table[np.minimum(codes, len(self.table) - 1)], 0).astype(np.int64)
+        place = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[place] == codes, place + 1, 0)
+
+
+def ngram_codes(text: str, known: list[Numbers]) -> Iterator[np.ndarray]:
+    """A text's n-grams of one character, of two and so on, one code each: where each character begins one, or -1.
+
+    The code of an n-gram is the number of the n-gram without its last character, and the last one's number. Those that ``known``
+    lacks are not gone on with. ``known`` may grow between the steps.
+    """
+    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    yield points
+    letters = number = known[0].look_up(points)
+    size = len(known[0].codes) + 1
+    for n in range(2, MOST_N + 1):
+        number, last = number[: max(len(points) - n + 1, 0)], letters[n - 1 :]
+        codes = np.where((number > 0) & (last > 0), number * size + last, -1)
+        yield codes
+        if n < MOST_N:
+            number = np.where(codes >= 0, known[n - 1].look_up(np.maximum(codes, 0)), 0)
+
+
+def ngrams(text: str, known: list[Numbers]) -> Iterator[np.ndarray]:
+    """Numbers of a text's n-grams of one character, of two and so on; 0 for those that are not ``known``."""
+    for codes, numbers in zip(ngram_codes(text, known), known):
+        yield np.where(codes >= 0, numbers.look_up(np.maximum(codes, 0)), 0)
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
-    letter: np.ndarray  # number of each code point below 65536, 0 if it is not used
-    slot: np.ndarray  # place of each n-gram's code among the landmarks' n-grams, or -1
+    grams: list[Numbers]  # of one character, of two and so on: those that occur in landmarks
     landmarks: np.ndarray  # presence of each n-gram in each landmark, divided by the root of its count
     weights: np.ndarray  # regression weights by landmark (and one offset) and language
 
-    def _codes(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-        return ngram_codes(self.letter[np.where(points < len(self.letter), points, 0)])
-
     def kernel(self, texts: list[str]) -> np.ndarray:
         """Kernel values of each text with each landmark."""
         present = np.zeros((len(texts), self.landmarks.shape[1]), np.float32)
         for row, text in enumerate(texts):
-            slots = self.slot[self._codes(text)]
-            present[row, slots[slots >= 0]] = 1
+            start = 0
+            for numbers, grams in zip(ngrams(text, self.grams), self.grams):
+                present[row, start + numbers[numbers > 0] - 1] = 1
+                start += len(grams.codes)
         own = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
         return (present @ self.landmarks.T) / own
 
@@ -77,37 +121,22 @@ class LanguageModel:
         return names, scores
 
 
-def ngram_codes(letters: np.ndarray) -> np.ndarray:
-    """One number for each n-gram of one to ``MOST_N`` letters' numbers; -1 (the last code) if a letter is not used."""
-    codes, code = [], np.zeros(len(letters), np.int64)
-    valid = np.ones(len(letters), bool)
-    start = 0
-    for n in range(1, MOST_N + 1):
-        if n > len(letters):
-            break
-        last = letters[n - 1 :]
-        code = code[: len(last)] * LETTERS + last
-        valid = valid[: len(last)] & (last > 0)
-        codes.append(np.where(valid, start + code, -1))
-        start += LETTERS**n
-    return np.concatenate(codes) if codes else np.empty(0, np.int64)
-
-
-def _landmark_tables(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The letters, the n-gram slots and the presence matrix of the landmarks."""
-    common = Counter(c for t in texts for c in t.lower() if ord(c) < 65536)
-    letter = np.zeros(65536, np.int64)
-    chosen = sorted(common, key=lambda c: (-common[c], c))[: LETTERS - 1]
-    letter[[ord(c) for c in chosen]] = np.arange(1, len(chosen) + 1)
-    probe = LanguageModel([], letter, np.empty(0), np.empty((0, 0)), np.empty(0))
-    codes = [np.unique(c[c >= 0]) for c in map(probe._codes, texts)]
-    grams = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.int64)
-    slot = np.full(sum(LETTERS**n for n in range(1, MOST_N + 1)) + 1, -1, np.int32)
-    slot[grams] = np.arange(len(grams))
-    present = np.zeros((len(texts), len(grams)), np.float32)
-    for row, c in enumerate(codes):
-        present[row, slot[c]] = 1 / np.sqrt(max(len(c), 1))
-    return letter, slot, present
+def _landmark_tables(texts: list[str]) -> tuple[list[Numbers], np.ndarray]:
+    """All n-grams of the landmarks, and the presence matrix of the landmarks."""
+    known: list[Numbers] = []
+    steps = [ngram_codes(text, known) for text in texts]
+    for _ in range(MOST_N):
+        codes = [next(step) for step in steps]
+        found = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.int64)
+        known.append(Numbers.of(found[found >= 0]))
+    present = np.zeros((len(texts), sum(len(n.codes) for n in known)), np.float32)
+    for row, text in enumerate(texts):
+        start = 0
+        for numbers, grams in zip(ngrams(text, known), known):
+            present[row, start + numbers[numbers > 0] - 1] = 1
+            start += len(grams.codes)
+        present[row] /= np.sqrt(max(present[row].sum(), 1))
+    return known, present
 
 
 def _labelled_sample(rows: DataFrame, most: int) -> DataFrame:
@@ -144,8 +173,8 @@ def fit_language(
     languages = sorted(row[0] for row in sample.select("lang").distinct().collect())
     each = max(1, landmarks // max(1, len(languages)))
     marks = [row[0] for row in sample.where(F.col("place") <= each).orderBy("lang", "place").select("text").collect()]
-    letter, slot, present = _landmark_tables(marks)
-    bare = LanguageModel([], letter, slot, present, np.empty(0))
+    known, present = _landmark_tables(marks)
+    bare = LanguageModel([], known, present, np.empty(0))
     if not languages:
         return bare
     found = _kernel_values(sample, bare).toArrow()
@@ -153,7 +182,7 @@ def fit_language(
     place = {language: n for n, language in enumerate(languages)}
     wanted = np.full((len(values), len(languages)), -1.0)
     wanted[np.arange(len(values)), [place[x] for x in found["lang"].to_pylist()]] = 1
-    return LanguageModel(languages, letter, slot, present, _ridge(values, present.astype(float), wanted))
+    return LanguageModel(languages, known, present, _ridge(values, present.astype(float), wanted))
 
 
 def _ridge(values: np.ndarray, present: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -213,14 +242,20 @@ def identify_languages(
 
 
 def drop_unknown(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language, as they are; no row is shuffled."""
+    """The rows of ``docs`` whose text has a letter, and so a language, as they are; no row is shuffled.
+
+    Null and empty texts go, also when no language could be learnt; repeated rows go or stay together. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_column)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(at, 64) for at in range(0, batch.num_rows, 64)):
-                names, _ = shared.value.predict(part.column(place).to_pylist())
+                texts = part.column(place).to_pylist()
+                names, _ = shared.value.predict(texts)
+                if not shared.value.languages:
+                    names = ["any" if _has_letter(text) else UNKNOWN for text in texts]
                 yield part.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
 
     return map_rows(docs, known)

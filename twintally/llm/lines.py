@@ -1,17 +1,18 @@
 """Fuzzy line dedup: SimHash of lines, a join on pigeonhole blocks, and edit similarity.
 
-A line is the text between newlines, normalised by lower-casing and trimming. Lines of fewer than
-``LEAST_WORDS`` different words repeat for good reasons and are left alone. The other lines are linked if
+A line is the text between newlines, normalised by lower-casing, trimming and one kind of blank; lines without
+anything else take no part. Equal lines are one, however short. Lines are also linked if
 their SimHashes differ in at most ``MOST_DISTANCE`` bits and their edit similarity (one minus the
 edit distance over the longer length) is at least ``SIMILARITY``; of the occurrences of a
 connected group of lines only the first stays, by document and then by place.
 
-- *SimHash.* Features are a line's different words, so that a mark which stands between any two cells
-  of a table does not make all its lines alike. Words are counted by bit in long integers that hold
+- *SimHash.* Features are a line's different words without punctuation, so that a mark which stands between
+  any two cells of a table does not make all its lines alike. A line of fewer than ``LEAST_WORDS`` words, as of a script
+  without spaces, has its character trigrams in their place; if it has fewer than ``LEAST_CHARACTERS``, it has no
+  SimHash. Features are counted by bit in long integers that hold
   several counters side by side, inside the tasks that read them; a line is one row after that.
-- *Blocks.* The 64 bits are cut into four blocks of 16; lines at 2 bits or fewer agree in two of them, so
-  the six pairs of blocks are the keys of the join. Keys of 32 bits stay selective with billions of
-  lines. Equal lines are one row before that.
+- *Blocks.* The 64 bits are cut into five blocks; lines at 3 bits or fewer agree in two of them, so
+  the ten pairs of blocks, of 25 or 26 bits, are the keys of the join. Equal lines are one row before that.
 - *Links.* Within a key every line is compared with the key's first line. Lines that are not linked
   with it are compared with all of the key. So what is connected stays connected, and as
   many pairs arise as there are lines, times one more for each line that is unlike the first.
@@ -29,26 +30,32 @@ from pyspark.sql import functions as F
 from twintally.llm.scratch import Scratch, components, quoted
 
 LEAST_WORDS = 5
-MOST_DISTANCE = 2
+LEAST_CHARACTERS = 16
+MOST_DISTANCE = 3
 SIMILARITY = 0.8
 
-# First bit and number of bits of each block; any two of four are a key.
-BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 16))
+# First bit and number of bits of each block; any two of five are a key.
+BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+
+# What counts as a space, and what is no part of a word.
+BLANKS = "\t\r\x0b\x0c\u00a0\u3000"
+PUNCTUATION = ".,;:!?\"'()[]{}"
 
 # What ids of lines a task may be sent whole; more are joined by a shuffle.
 MOST_BROADCAST = 500_000
 
 _LAST_DOC = (1 << 63) - 1
-_LONG = 1 << 15
+_LONG = 1 << 14
 
 
 def split_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id, line, h1, h2, norm``: every line, with two independent hashes of what it is normalised to."""
+    """``doc_id, line, h1, h2, norm``: every line that is not blank, with two independent hashes of what it is normalised to."""
     rows = docs.select(
         quoted(id_column).cast("long").alias("doc_id"),
         F.posexplode(F.split(F.coalesce(quoted(text_column).cast("string"), F.lit("")), "\n")).alias("line", "raw"),
     )
-    rows = rows.select("doc_id", "line", F.trim(F.lower("raw")).alias("norm"))
+    norm = F.trim(F.translate(F.lower("raw"), BLANKS, " " * len(BLANKS)))
+    rows = rows.select("doc_id", "line", norm.alias("norm")).where("norm <> ''")
     return rows.select("doc_id", "line", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("again"), "norm").alias("h2"), "norm")
 
 
@@ -58,9 +65,16 @@ def line_place() -> Column:
     return document * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line").cast("decimal(11,0)")
 
 
-def _words(norm: Column) -> Column:
-    """Hashes of a line's different words."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(norm, " "), ""), lambda word: F.xxhash64(word)))
+def _features(norm: Column) -> Column:
+    """Hashes of a line's different words, or character trigrams; none for a line with few of either."""
+    plain = F.translate(norm, PUNCTUATION, "")
+    words = F.array_distinct(F.transform(F.array_remove(F.split(plain, " "), ""), lambda word: F.xxhash64(word)))
+    letters = F.split(norm, "")
+    pairs = F.zip_with(letters, F.slice(letters, 2, F.char_length(norm)), lambda a, b: F.concat(a, b))
+    trigrams = F.zip_with(pairs, F.slice(letters, 3, F.char_length(norm)), lambda a, b: F.xxhash64(F.concat(a, b)))
+    trigrams = F.array_distinct(F.filter(F.slice(trigrams, 1, F.char_length(norm) - 2), lambda x: x.isNotNull()))
+    enough = F.char_length(norm) >= LEAST_CHARACTERS
+    return F.when(F.size(words) >= LEAST_WORDS, words).when(enough, trigrams)
 
 
 def _counters(word_hash: Column, bits: int) -> list[Column]:
@@ -86,16 +100,15 @@ def _majority(bits: int, n_words: Column) -> tuple[Column, Column]:
 
 
 def line_hashes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id, line, h1, h2, simhash`` of the lines that have enough words.
+    """``doc_id, line, h1, h2, simhash`` of all lines; the last is null for lines without features.
 
-    The counters of 16 bits hold lines below 32,768 characters, which cannot have more than 16,383
-    words; longer lines are counted with 32 bits.
+    The counters of 16 bits hold lines below 16,384 characters, which cannot have more features; longer lines are counted with 32 bits.
     """
 
     def hashed(some: DataFrame, bits: int) -> DataFrame:
-        words = some.select("doc_id", "line", "h1", "h2", _words(F.col("norm")).alias("words"))
-        each = words.where(F.size("words") >= LEAST_WORDS).select("doc_id", "line", "h1", "h2", F.explode("words").alias("w"))
-        counted = each.groupBy("doc_id", "line", "h1", "h2").agg(F.count("*").alias("n"), *_counters(F.col("w"), bits))
+        found = some.select("doc_id", "line", "h1", "h2", _features(F.col("norm")).alias("features"))
+        each = found.select("doc_id", "line", "h1", "h2", F.explode_outer("features").alias("w"))
+        counted = each.groupBy("doc_id", "line", "h1", "h2").agg(F.count("w").alias("n"), *_counters(F.col("w"), bits))
         lift, simhash = _majority(bits, F.col("n"))
         return counted.withColumn("lift", lift).select("doc_id", "line", "h1", "h2", simhash.alias("simhash"))
 
@@ -106,7 +119,7 @@ def line_hashes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def block_keys(simhash: Column) -> Column:
-    """The six keys of a line: two blocks as they are, and which two."""
+    """The ten keys of a line: two blocks as they are, and which two."""
     keys = []
     for kind, pair in enumerate(combinations(BLOCKS, 2)):
         blocks = [F.shiftrightunsigned(simhash, at).bitwiseAND(F.lit((1 << n) - 1)) for at, n in pair]
@@ -154,7 +167,7 @@ def with_similarity(pairs: DataFrame) -> DataFrame:
 
 def _members(distinct: DataFrame) -> DataFrame:
     """The lines of each key that has two or more, with the key's first line."""
-    keyed = distinct.select(F.explode(block_keys(F.col("simhash"))).alias("key"), "id", "simhash").repartition("key")
+    keyed = distinct.where("simhash is not null").select(F.explode(block_keys(F.col("simhash"))).alias("key"), "id", "simhash").repartition("key")
     groups = keyed.groupBy("key").agg(
         F.count("*").alias("n"), F.min("id").alias("first"), F.min_by("simhash", "id").alias("first_hash")
     )
@@ -205,11 +218,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def line_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_distance: int = MOST_DISTANCE) -> DataFrame:
-    """``doc_id, line, keep_doc, keep_line, kept`` for every line that has enough words.
+    """``doc_id, line, keep_doc, keep_line, kept`` for every line that is not blank.
 
     ``keep_doc`` and ``keep_line`` (from 0) are the first occurrence of the line's connected group.
 
-    - A null text is an empty text, which is one line without words.
+    - A null text is an empty text, which is one blank line.
     - A null identifier comes after all others; rows that repeat an identifier count as one document, so
       that equal lines at the same place of both stay or go together.
     - An empty table gives no rows. Other columns are not read.
@@ -256,7 +269,7 @@ def line_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def line_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per identifier: ``doc_id, n_lines`` (with enough words), ``n_kept``, ``dropped`` (line numbers in order)."""
+    """One row per identifier: ``doc_id, n_lines`` (that are not blank), ``n_kept``, ``dropped`` (line numbers in order)."""
     groups = line_groups(docs, id_column, text_column)
     told = groups.groupBy("doc_id").agg(
         F.count("*").alias("n_lines"),
@@ -274,7 +287,11 @@ def line_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def drop_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the text of every row without the lines that do not stay; a null text stays null."""
+    """``docs`` with the text of every row without the lines that do not stay.
+
+    A null text stays null and blank lines stay; an empty table gives no rows. What :func:`line_groups` says of
+    rows without an identifier, or that repeat one, holds here too.
+    """
     dropped = line_report(docs, id_column, text_column).where(F.size("dropped") > 0)
     names = {c: f"column_{n}" for n, c in enumerate(docs.columns)}
     inside = docs.toDF(*names.values())

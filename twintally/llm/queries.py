@@ -67,7 +67,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     chats = format_chats(turns, text_parts(F.col("text")))
     turn = F.transform(read_turns(F.col("blocks")), lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
-    read = chats.select("conv_id", "n_turns", F.array_join(turn, "").alias("turns"), read_learnt(F.col("blocks")).alias("learnt"), formatted(F.col("blocks")).alias("formatted"))
+    read = chats.select("conv_id", F.size(turn).cast("long").alias("n_turns"), F.array_join(turn, "").alias("turns"), read_learnt(F.col("blocks")).alias("learnt"), formatted(F.col("blocks")).alias("formatted"))
     return read.select(
         "conv_id",
         "n_turns",

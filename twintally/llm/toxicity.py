@@ -13,10 +13,10 @@ counts with what it has beyond ``DEAD_ZONE``. The mean over all words of the tex
 on a scale from 0 to 1 by a logistic curve that is fitted on labelled texts which the
 models have not seen.
 
-Shared counts cover all documents and are kept by hash in ``2 ** SHARED_BITS`` buckets, so they
-stay one size. The class models are fitted on at most ``most_per_class`` labelled
-documents of each class, chosen by a hash of their identifier. That bounds what
-every task holds.
+Shared counts are exact. A word that neither class's model knows counts the same for both whatever its
+number, so only the known words' numbers of documents are gathered, over all documents. The class models
+are fitted on at most ``most_per_class`` labelled documents of each class, chosen by a hash of their
+identifier. That bounds the known words, and with them what every task holds.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ from twintally.llm.scratch import Scratch, map_rows, quoted
 from twintally.llm.words import word_hashes
 
 MOST_PER_CLASS = 4000
-SHARED_BITS = 18
 DISCOUNT = 0.9
 LEAST_CONTEXTS = 2  # words with fewer are left to the shared counts
 DEAD_ZONE = 3.0  # natural logarithm: a word that is 20 times as likely
@@ -49,62 +48,64 @@ def _hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found) if found else np.empty(0, np.uint64), lengths
 
 
-def shared_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
-    """In how many documents each bucket of words occurs, over all documents.
+def shared_counts(docs: DataFrame, known: np.ndarray, text_column: str = "text") -> tuple[np.ndarray, int]:
+    """In how many documents each of the ``known`` words (sorted hashes) occurs, and how many words all documents have, each counted once.
 
-    Tasks count first and send a row per bucket at most.
+    Tasks count first and send a row per known word at most.
     """
-    buckets = 1 << SHARED_BITS
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, np.int64)
+        places = len(shared.value) + 1  # the last one counts all words
+        total = np.zeros(places, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 words, lengths = _hashed(batch.column(0).slice(at, 256).to_pylist())
+                if not len(words):
+                    continue
+                different, number = np.unique(words, return_inverse=True)
                 owner = np.repeat(np.arange(len(lengths)), lengths)
-                seen = np.unique(owner << SHARED_BITS | (words & np.uint64(buckets - 1)).astype(np.int64))
-                total += np.bincount(seen & (buckets - 1), minlength=buckets)
+                seen = np.unique(owner * len(different) + number) % len(different)
+                times = np.bincount(seen, minlength=len(different))
+                place, there = _places(shared.value, different)
+                total[place[there]] += times[there]
+                total[-1] += len(seen)
         held = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["place", "n"])
 
-    counted = docs.select(quoted(text_column).cast("string").alias("text")).mapInArrow(count, "bucket int, n long")
-    rows = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(buckets, np.int64)
-    counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return counts
+    counted = docs.select(quoted(text_column).cast("string").alias("text")).mapInArrow(count, "place long, n long")
+    rows = counted.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(known) + 1, np.int64)
+    counts[rows["place"].to_numpy()] = rows["n"].to_numpy()
+    return counts[:-1], int(counts[-1])
 
 
-@dataclass
-class ClassModel:
-    """A class's discounted continuation probabilities, and the weight of the shared counts."""
+def _places(known: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words stand among sorted ones, and whether they do."""
+    if not len(known):
+        return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+    place = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    return place, known[place] == words
 
-    words: np.ndarray  # sorted word hashes
-    share: np.ndarray  # discounted probability of each
-    rest: float  # what is left to the shared counts
 
-    @classmethod
-    def fit(cls, words: np.ndarray, contexts: np.ndarray, total: int) -> ClassModel:
-        """From the words' numbers of contexts, and the number of all (word, context) pairs of the class."""
-        order = np.argsort(words)
-        share = (contexts[order] - DISCOUNT) / max(total, 1)
-        return cls(words[order], share, float(1 - share.sum()))
+def _discounted(known: np.ndarray, words: np.ndarray, contexts: np.ndarray, total: int) -> tuple[np.ndarray, float]:
+    """A class's discounted continuation probabilities of the known words, and what is left to the shared counts.
 
-    def log_likelihoods(self, words: np.ndarray, shared: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.log(self.rest * shared)
-        at = np.searchsorted(self.words, words)
-        at[at == len(self.words)] = 0
-        own = np.where(self.words[at] == words, self.share[at], 0.0)
-        return np.log(own + self.rest * shared)
+    From its own words' numbers of contexts, and the number of all its (word, context) pairs.
+    """
+    share = np.zeros(len(known))
+    share[np.searchsorted(known, words)] = (contexts - DISCOUNT) / max(total, 1)
+    return share, float(1 - share.sum())
 
 
 @dataclass
 class ToxicityModel:
-    toxic: ClassModel
-    ordinary: ClassModel
-    shared: np.ndarray  # probability of a word by bucket
+    words: np.ndarray  # sorted hashes of the words that a class's model knows
+    ratio: np.ndarray  # how much likelier in toxic text each is, as a natural logarithm
+    other: float  # the same of all other words
     slope: float = 1.0
     offset: float = 0.0
+    trained: bool = True  # on texts of both classes
 
     def difference(self, texts: list[str | None]) -> np.ndarray:
         """How much likelier toxic per word, on a root scale with its sign; 0 for a text without words."""
@@ -112,8 +113,8 @@ class ToxicityModel:
         found = np.zeros(len(lengths))
         if not len(words):
             return found
-        shared = self.shared[(words & np.uint64(len(self.shared) - 1)).astype(np.int64)]
-        ratio = self.toxic.log_likelihoods(words, shared) - self.ordinary.log_likelihoods(words, shared)
+        place, there = _places(self.words, words)
+        ratio = np.where(there, self.ratio[place], self.other) if len(self.words) else np.full(len(words), self.other)
         end = 0
         for row, length in enumerate(lengths):
             if length:
@@ -124,7 +125,9 @@ class ToxicityModel:
         return np.sign(found) * np.sqrt(np.abs(found))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        """From 0 to 1; the larger, the likelier toxic."""
+        """From 0 to 1; the larger, the likelier toxic. Without training on both classes all are below 0.5."""
+        if not self.trained:
+            return np.full(len(texts), 0.25)
         raw = np.clip(self.slope * self.difference(texts) + self.offset, -500, 500)
         return 1 / (1 + np.exp(-raw))
 
@@ -191,14 +194,18 @@ def fit_toxicity(
     contexts = scratch.keep(seen.distinct().groupBy("toxic", "w").agg(F.count("*").alias("n")), "contexts")
     totals = {toxic: n for toxic, n in contexts.groupBy("toxic").agg(F.sum("n")).collect()}
     known_words = contexts.where(F.col("n") >= LEAST_CONTEXTS).toArrow()
-    counts = shared_counts(docs, text_column)
+    known = np.unique(known_words["w"].to_numpy().view(np.uint64))
+    counts, words = shared_counts(docs, known, text_column)
+    shared = counts / max(words, 1)  # a known word occurs in a document of the sample
 
-    def model(toxic: int) -> ClassModel:
+    def likelihood(toxic: int) -> tuple[np.ndarray, float]:
         one = known_words.filter(pc.equal(known_words["toxic"], toxic))
-        return ClassModel.fit(one["w"].to_numpy().view(np.uint64), one["n"].to_numpy(), totals.get(toxic, 0))
+        share, rest = _discounted(known, one["w"].to_numpy().view(np.uint64), one["n"].to_numpy(), totals.get(toxic, 0))
+        return np.log(np.maximum(share + rest * shared, 1e-300)), rest
 
-    shared = (counts + 1) / (counts.sum() + len(counts))
-    fitted = ToxicityModel(model(1), model(0), shared)
+    (toxic, toxic_rest), (ordinary, ordinary_rest) = likelihood(1), likelihood(0)
+    fitted = ToxicityModel(known, toxic - ordinary, float(np.log(max(toxic_rest, 1e-9) / max(ordinary_rest, 1e-9))))
+    fitted.trained = len(totals) == 2
     held = _differences(sample.where("part = 1").select("toxic", "text", "weight"), fitted).toArrow()
     fitted.slope, fitted.offset = _logistic(*(held[c].to_numpy() for c in ("difference", "toxic", "weight")))
     scratch.drop("sample", "contexts")
@@ -248,7 +255,7 @@ def score_toxicity(
 
     - A null text is empty; a text without words has a difference of 0 and the score that goes with it.
     - Repeated rows and null identifiers are kept as they are; an empty table gives no rows.
-    - Without labels of both classes, all scores are those of models without counts (0.5).
+    - Without labelled texts of both classes nothing is predicted toxic: all scores are 0.25.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -264,7 +271,11 @@ def score_toxicity(
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose score is below 0.5, as they are; no row is shuffled."""
+    """The rows of ``docs`` whose score is below 0.5, as they are; no row is shuffled.
+
+    Null and empty texts have the score of a text without words, repeated rows go or stay together. A model that
+    has not learnt both classes drops nothing. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_column)
 

@@ -50,12 +50,10 @@ _LONG = 1 << 14
 
 def split_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``doc_id, line, h1, h2, norm``: every line that is not blank, with two independent hashes of what it is normalised to."""
-    rows = docs.select(
-        quoted(id_column).cast("long").alias("doc_id"),
-        F.posexplode(F.split(F.coalesce(quoted(text_column).cast("string"), F.lit("")), "\n")).alias("line", "raw"),
-    )
-    norm = F.trim(F.translate(F.lower("raw"), BLANKS, " " * len(BLANKS)))
-    rows = rows.select("doc_id", "line", norm.alias("norm")).where("norm <> ''")
+    # Once for the whole text: what is made of a line is made anew for each use of it.
+    text = F.lower(F.translate(F.coalesce(quoted(text_column).cast("string"), F.lit("")), BLANKS, " " * len(BLANKS)))
+    rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
+    rows = rows.select("doc_id", "line", F.trim("raw").alias("norm")).where("norm <> ''")
     return rows.select("doc_id", "line", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("again"), "norm").alias("h2"), "norm")
 
 
@@ -65,16 +63,18 @@ def line_place() -> Column:
     return document * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line").cast("decimal(11,0)")
 
 
-def _features(norm: Column) -> Column:
-    """Hashes of a line's different words, or character trigrams; none for a line with few of either."""
+def _words(norm: Column) -> Column:
+    """Hashes of a line's different words without punctuation."""
     plain = F.translate(norm, PUNCTUATION, "")
-    words = F.array_distinct(F.transform(F.array_remove(F.split(plain, " "), ""), lambda word: F.xxhash64(word)))
+    return F.array_distinct(F.transform(F.array_remove(F.split(plain, " "), ""), lambda word: F.xxhash64(word)))
+
+
+def _trigrams(norm: Column) -> Column:
+    """Hashes of a line's different character trigrams."""
     letters = F.split(norm, "")
     pairs = F.zip_with(letters, F.slice(letters, 2, F.char_length(norm)), lambda a, b: F.concat(a, b))
     trigrams = F.zip_with(pairs, F.slice(letters, 3, F.char_length(norm)), lambda a, b: F.xxhash64(F.concat(a, b)))
-    trigrams = F.array_distinct(F.filter(F.slice(trigrams, 1, F.char_length(norm) - 2), lambda x: x.isNotNull()))
-    enough = F.char_length(norm) >= LEAST_CHARACTERS
-    return F.when(F.size(words) >= LEAST_WORDS, words).when(enough, trigrams)
+    return F.array_distinct(F.filter(F.slice(trigrams, 1, F.char_length(norm) - 2), lambda x: x.isNotNull()))
 
 
 def _counters(word_hash: Column, bits: int) -> list[Column]:
@@ -106,7 +106,11 @@ def line_hashes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """
 
     def hashed(some: DataFrame, bits: int) -> DataFrame:
-        found = some.select("doc_id", "line", "h1", "h2", _features(F.col("norm")).alias("features"))
+        # In steps of their own, so that the words are taken once.
+        worded = some.select("doc_id", "line", "h1", "h2", "norm", _words(F.col("norm")).alias("words"))
+        enough = F.char_length("norm") >= LEAST_CHARACTERS
+        features = F.when(F.size("words") >= LEAST_WORDS, F.col("words")).when(enough, _trigrams(F.col("norm")))
+        found = worded.select("doc_id", "line", "h1", "h2", features.alias("features"))
         each = found.select("doc_id", "line", "h1", "h2", F.explode_outer("features").alias("w"))
         counted = each.groupBy("doc_id", "line", "h1", "h2").agg(F.count("w").alias("n"), *_counters(F.col("w"), bits))
         lift, simhash = _majority(bits, F.col("n"))

@@ -99,3 +99,21 @@ def test_thresholds_are_whole_percent(spark, threshold):
     ):
         with pytest.raises(ValueError, match="threshold"):
             check()
+
+
+def test_all_granularities_share_a_shuffle(spark):
+    from twintally import rolled_up_row_count
+
+    rows = [("2024-01-31 23:10:00", 2), ("2024-02-01 00:10:00", 1), ("2024-02-01 00:50:00", 1), (None, 1)]
+    source = spark.createDataFrame([(t,) for t, n in rows for _ in range(n)], "t string").selectExpr("cast(t as timestamp) t")
+    target = source.where("t < '2024-02-01' or t is null")
+    found = rolled_up_row_count(source, target, 0, "t")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    told = {(r.granularity, str(r.window_start)): (r.count_source, r.count_target, r.is_passed) for r in found.collect()}
+    assert told == {
+        ("hourly", "2024-01-31 23:00:00"): (2, 2, True), ("hourly", "2024-02-01 00:00:00"): (2, 0, False),
+        ("daily", "2024-01-31 00:00:00"): (2, 2, True), ("daily", "2024-02-01 00:00:00"): (2, 0, False),
+        ("monthly", "2024-01-01 00:00:00"): (2, 2, True), ("monthly", "2024-02-01 00:00:00"): (2, 0, False),
+        ("hourly", "None"): (1, 1, True), ("daily", "None"): (1, 1, True), ("monthly", "None"): (1, 1, True), ("all", "None"): (5, 3, False),
+    }

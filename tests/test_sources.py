@@ -249,3 +249,10 @@ def test_bounds_come_from_the_database(spark, small_dir):
 
 def test_writer_options_of_csv_are_taken_without_effect():
     assert FileSource("csv", "/x", {"quoteAll": "true", "escapeQuotes": "false", "sep": "|"}).options == {"sep": "|"}
+
+
+@pytest.mark.parametrize("column", ["s_suppkey", '"s_suppkey"', "S_SUPPKEY"])
+def test_bounds_are_asked_for_whatever_way_the_column_is_named(spark, small_dir, column):
+    options = {**derby(spark, small_dir, "supplier"), "dbtable": "supplier", "partitionColumn": column, "numPartitions": 3}
+    table = read_source(spark, JdbcSource(options))
+    assert table.count() == 10 and table.rdd.getNumPartitions() == 3

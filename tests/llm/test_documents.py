@@ -50,6 +50,13 @@ def test_encoders_agree_with_the_library(library, text):
 ENCODERS = ChunkEncoder(WORDS), TrieEncoder(BYTES)
 
 
+def test_other_tokenizers_are_packed_with_their_own_ids(library):
+    encoder = ChunkEncoder(BYTES)
+    assert ENCODERS[0].known and not encoder.known
+    for text in ("hello world", " Two  spaces\n", "", "\u00e9\u65e5<|endoftext|>"):
+        assert encoder.encode([text])[0] == np.array(library[BYTES].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_decoding_of_broken_characters(library):
     for ids in ([447], [50256, 447, 220], [], [12520, 247]):
         assert ENCODERS[1].decode(ids) == library[BYTES].decode(ids, skip_special_tokens=False)

@@ -13,6 +13,7 @@ packed by cutting, so that a task leaves at most one window that is not full.
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -40,13 +41,23 @@ _LETTERS = dict(enumerate(byte_letters()))
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+# The normaliser and the cutting into words for which chunks may be encoded by themselves.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPLIT = {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True}
+
+
 class ChunkEncoder:
     """Token ids of whole texts, as the tokenizer gives them, with repeated words looked up.
 
     The tokenizer makes white space alike, drops it and never joins what it separates, so
     a text's ids are those of its chunks between white space one after another. Chunks
     that were met before are taken from a table of bounded size. Texts that may hold a
-    special token or white space on which the two sides disagree are encoded whole.
+    special token or white space on which the two sides disagree are encoded whole, and so
+    are all texts if the tokenizer normalises or cuts words in another way than the one known here.
     """
 
     def __init__(self, path: str):
@@ -55,9 +66,14 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks = Memo(_CACHED_CHUNKS)
+        given = json.loads(self.tokenizer.to_str())
+        cuts = (given["pre_tokenizer"] or {}).get("pretokenizers") or [None]
+        self.known = given["normalizer"] == _NORMALIZER and cuts[0] == _SPLIT and given["model"].get("dropout") is None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if not self.known:
+            return self._library(texts)
         odd = [*self.specials, *_ODD_SPACE]
         split = [None if any(s in text for s in odd) else text.split() for text in texts]
         ids = self.chunks.look_up(set().union(*(words for words in split if words)), self._learn).__getitem__

@@ -14,7 +14,7 @@ from twintally.llm import golay
 from twintally.llm.bpe import TrieEncoder, decode_documents, encode_documents
 from twintally.llm.exact_dedup import drop_exact_copies, exact_groups
 from twintally.llm.language import LanguageModel, drop_unknown, fit_language, identify_languages
-from twintally.llm.licenses import TEMPLATES, TemplateJoin, scan_licenses
+from twintally.llm.licenses import TEMPLATES, TemplateJoin, needed, scan_licenses
 from twintally.llm.packing import ChunkEncoder, SumOfSquares, pack_documents
 from twintally.llm.simhash import drop_near_copies, fuzzy_keys, near_links, simhash_groups
 from twintally.llm.toxicity import drop_toxic, fit_toxicity, score_toxicity
@@ -106,16 +106,52 @@ def test_packing_odd_rows(odd_documents, no_documents, most_open):
 
 def test_template_join_finds_every_block():
     rng = random.Random(2)
-    words = sorted({w for _, t in TEMPLATES for w in ascii_words(t.encode())}) + [b"other", b"words"]
-    sets = [set(ascii_words(t.encode())) for _, t in TEMPLATES]
+    texts = [ascii_words(t.encode()) for _, t in TEMPLATES]
+    words = sorted(set().union(*texts)) + [b"other", b"words"]
     for threshold in (0.5, 0.8, 1.0):
         frequency = {w: rng.randint(0, 50) for w in words}
         join = TemplateJoin(TEMPLATES, threshold, frequency)
-        for _ in range(3000):
-            base = list(rng.choice(sets))
-            block = rng.sample(base, rng.randint(0, len(base))) + rng.choices(words, k=rng.randint(0, 12))
-            wanted = [(t, len(s & set(block)) / len(s)) for t, s in enumerate(sets) if len(s & set(block)) >= threshold * len(s) - 1e-9]
-            assert join.matches(block) == wanted
+        for _ in range(400):
+            text = rng.choices(words, k=rng.randint(0, 30))
+            for _ in range(rng.randint(1, 3)):
+                notice = list(rng.choice(texts))
+                for _ in range(rng.randint(0, len(notice) // 3)):
+                    notice[rng.randrange(len(notice))] = rng.choice(words)
+                text += notice + rng.choices(words, k=rng.randint(0, 40))
+            wanted: dict[int, dict[int, float]] = {}
+            for t, template in enumerate(texts):
+                least, size = needed(template, threshold)
+                for start in range(len(text)):
+                    n = len(set(template) & set(text[start : start + size]))
+                    if text[start] in template and n >= least:
+                        wanted.setdefault(t, {})[start] = n / len(set(template))
+            found = join.matches(text)
+            assert {t for _, _, t, _ in found} == set(wanted)
+            for t, windows in wanted.items():
+                blocks = [(first, first + n) for first, n, other, _ in found if other == t]
+                assert max(share for _, _, other, share in found if other == t) == max(windows.values())
+                assert all(any(first <= start < end for first, end in blocks) for start in windows)
+                assert {first for first, _ in blocks} <= set(windows)
+
+
+def test_license_scan_finds_wrapped_notices(spark):
+    notices = {
+        "bsd": ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the",
+                "following conditions are met:"],
+        "mpl": [" * This Source Code Form is subject to the terms of the Mozilla Public", " * License, v. 2.0."],
+        "mit": ["# Permission is hereby granted, free of charge, to any person", "# obtaining a copy of this software and associated",
+                "# documentation files (the \"Software\"), to deal in the Software", "# without restriction"],
+        "apache": ["you may not use this file except in compliance", "with the License. You may obtain a copy of the License at"],
+        "": ["This package was released under the BSD license.", "Released by the team under the same license"],
+    }
+    prose = " ".join(["the quick brown fox is subject to the terms of a copy and source or form"] * 500)
+    rows = [(n, "\n".join([prose, *lines, prose])) for n, lines in enumerate(notices.values())]
+    rows += [(10 + n, " ".join([prose, *lines, prose])) for n, lines in enumerate(notices.values())]
+    found = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n, label in enumerate(notices):
+        assert found[n].labels == found[10 + n].labels == label
+        assert found[n].score == found[10 + n].score and (found[n].score >= 0.8) == bool(label)
+        assert found[n].blocks == found[10 + n].blocks and bool(found[n].blocks) == bool(label)
 
 
 def test_license_scan_odd_rows(spark, odd_documents, no_documents):
@@ -124,7 +160,7 @@ def test_license_scan_odd_rows(spark, odd_documents, no_documents):
     rows = [(1, "the mit LICENSE, mit license. MIT\nlicense"), (2, "Licensed under CC BY-NC 4.0."), (3, "general public public license")]
     found = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert tuple(found[1])[1:8] == (7, 3, 1, 5, "mit", "mit", 1.0)
-    assert tuple(found[2])[1:8] == (7, 0, None, None, "", "cc", 1.0) and found[2].blocks[0].line == 0
+    assert tuple(found[2])[1:8] == (7, 0, None, None, "", "cc", 1.0) and tuple(found[2].blocks[0])[:2] == (0, 7)
     assert tuple(found[3])[1:8] == (4, 0, None, None, "", "", 0.0)
     assert scan_licenses(no_documents).collect() == []
 

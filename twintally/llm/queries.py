@@ -13,7 +13,7 @@ from twintally.llm.chat import format_chats, formatted, read_learnt, read_turns,
 from twintally.llm.embeddings import near_vectors
 from twintally.llm.exact_dedup import exact_groups
 from twintally.llm.language import fit_language, identify_languages
-from twintally.llm.licenses import TEMPLATES, scan_licenses
+from twintally.llm.licenses import TEMPLATES, THRESHOLD, needed, scan_licenses
 from twintally.llm.lines import line_report
 from twintally.llm.mixing import score_texts
 from twintally.llm.packing import pack_documents
@@ -84,7 +84,10 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    rows = ", ".join(f"({n}, '{label}', '{text}')" for n, (label, text) in enumerate(TEMPLATES))
+    rows = ", ".join(
+        "({}, '{}', '{}', {}, {})".format(n, label, text, *needed(text.encode().split(), THRESHOLD))
+        for n, (label, text) in enumerate(TEMPLATES)
+    )
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return rf"""
 with lowered as (
@@ -102,14 +105,18 @@ with lowered as (
 ), base as (
   select doc_id, count(*) as n_base, min(start) as first_word, max(start) as last_word,
          list(distinct label) as labels from places group by doc_id
-), templates(t, label, words) as (
-  select t, label, list_distinct(string_split(words, ' ')) from (values {rows}) as v(t, label, words)
-), blocks as (
-  select doc_id, list_distinct(regexp_extract_all(line, '{word}')) as w
-  from (select doc_id, unnest(string_split(text, chr(10))) as line from lowered)
+), templates(t, label, words, least, size) as (
+  select t, label, list_distinct(string_split(words, ' ')), least, size from (values {rows}) as v(t, label, words, least, size)
+), hits as (
+  select doc_id, t, label, least, size, len(words) as n_words, i, word
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from worded)
+  join (select *, unnest(words) as word from templates) using (word)
+), windows as (
+  select doc_id, label, least, n_words,
+         count(distinct word) over (partition by doc_id, t order by i range between current row and size - 1 following) as n
+  from hits
 ), matched as (
-  select doc_id, label, len(list_intersect(b.w, words)) / len(words) as share
-  from blocks b, templates where len(list_intersect(b.w, words)) * 100 >= 80 * len(words)
+  select doc_id, label, n / n_words as share from windows where n >= least
 ), added as (
   select doc_id, list(distinct label) as labels, max(share) as share from matched group by doc_id
 )

@@ -1,7 +1,9 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
-from twintally import FileSource, JdbcSource, conform, content_check, read_source, row_count_check
+from twintally import FileSource, JdbcSource, conform, content_check, malformed_rows, read_range, read_source, row_count_check
 from twintally.catalogue.source_queries import derby
 from twintally.catalogue.tables import table
 from twintally.sources import read_count, source_from_mapping
@@ -256,3 +258,38 @@ def test_bounds_are_asked_for_whatever_way_the_column_is_named(spark, small_dir,
     options = {**derby(spark, small_dir, "supplier"), "dbtable": "supplier", "partitionColumn": column, "numPartitions": 3}
     table = read_source(spark, JdbcSource(options))
     assert table.count() == 10 and table.rdd.getNumPartitions() == 3
+
+
+def test_malformed_rows_are_counted_in_every_mode(spark, tmp_path):
+    path = write(tmp_path / "in", MALFORMED)
+    for mode, n_read in (("PERMISSIVE", 4), ("DROPMALFORMED", 1), ("FAILFAST", None)):
+        source = FileSource("csv", path, {"header": True, "mode": mode}, "a int, b int")
+        assert tuple(malformed_rows(spark, source).first()) == (mode, 4, 3, n_read)
+        if n_read is not None:
+            assert read_source(spark, source).count() == n_read
+    named = {"header": True, "columnNameOfCorruptRecord": "bad"}
+    assert malformed_rows(spark, FileSource("csv", path, named, "a int, b int, bad string")).first().n_malformed == 3
+    assert malformed_rows(spark, FileSource("csv", path, {"header": True})).first().n_malformed == 2  # all text: "q" is fine
+    with pytest.raises(ValueError, match="parquet"):
+        malformed_rows(spark, FileSource("parquet", path))
+
+
+def test_a_range_reads_the_folders_of_its_windows_only(spark, tmp_path):
+    hours = spark.sql("select explode(sequence(timestamp_ntz'2024-01-30 00:00:00', timestamp_ntz'2024-03-02 23:00:00', interval 1 hour)) t")
+    dated = hours.selectExpr("t", "date_format(t, 'yyyyMMdd') day", "date_format(t, 'HH') hour")
+    path = str(tmp_path / "dated")
+    dated.write.partitionBy("day", "hour").parquet(path)
+    for schema in (None, "t timestamp_ntz"):
+        source = FileSource("parquet", f"{path}/day=%Y%m%d/hour=%H", schema=schema)
+        found = read_range(spark, source, datetime(2024, 2, 28, 22, 59), datetime(2024, 3, 1, 1, 1), "hourly")
+        assert found.columns == ["t"] and found.count() == 28
+        assert found.agg(F.min("t"), F.max("t")).first()[:] == (datetime(2024, 2, 28, 22), datetime(2024, 3, 1, 1))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [concat_ws(/, day" in plan
+        assert read_range(spark, source, datetime(2025, 1, 1), datetime(2025, 1, 2), "daily").count() == 0
+        assert read_range(spark, source, datetime(2025, 1, 1), datetime(2024, 1, 1)).count() == 0
+    one = FileSource("parquet", f"{path}/day=%Y%m%d", schema="t timestamp_ntz, hour string")
+    assert read_range(spark, one, datetime(2024, 2, 29, 5), datetime(2024, 2, 29, 6), "daily").count() == 24
+    for wrong in ("/data/orders", "/data/%Y/%m", "/data/day=%Y/orders"):
+        with pytest.raises(ValueError, match="data"):
+            read_range(spark, FileSource("parquet", wrong), datetime(2024, 1, 1), datetime(2024, 1, 2))

@@ -3,6 +3,7 @@
 from twintally.operators import (
     CountCheck,
     SchemaMismatch,
+    SourceChanged,
     batch_row_count,
     content_check,
     rolled_up_row_count,
@@ -11,11 +12,12 @@ from twintally.operators import (
     rows_extra,
     rows_missing,
     schema_difference,
+    stored_content_check,
     windowed_row_count,
 )
 from twintally.plans import CheckSpec, check_outcome, run_checks, spec_from_mapping
 from twintally.sinks import append_summary, read_summary
-from twintally.sources import FileSource, JdbcSource, conform, read_source
+from twintally.sources import FileSource, JdbcSource, conform, malformed_rows, read_range, read_source
 
 __all__ = [
     "CheckSpec",
@@ -23,11 +25,14 @@ __all__ = [
     "FileSource",
     "JdbcSource",
     "SchemaMismatch",
+    "SourceChanged",
     "append_summary",
     "batch_row_count",
     "check_outcome",
     "conform",
     "content_check",
+    "malformed_rows",
+    "read_range",
     "read_source",
     "read_summary",
     "rolled_up_row_count",
@@ -38,5 +43,6 @@ __all__ = [
     "run_checks",
     "schema_difference",
     "spec_from_mapping",
+    "stored_content_check",
     "windowed_row_count",
 ]

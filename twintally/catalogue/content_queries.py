@@ -12,15 +12,25 @@ from twintally.catalogue.tables import (
     EMBEDDINGS_TARGET_SQL,
     LINEITEM_TARGET_SQL,
     ORDERS_TARGET_SQL,
+    SCHEMAS,
     columns_of,
     documents_target,
     embeddings_target,
     lineitem_target,
     orders_target,
+    parquet,
     row_text_sql,
     table,
 )
-from twintally.operators import content_check, distinct_fingerprints, row_fingerprint, rows_apart, rows_extra, rows_missing
+from twintally.operators import (
+    content_check,
+    distinct_fingerprints,
+    row_fingerprint,
+    rows_apart,
+    rows_extra,
+    rows_missing,
+    stored_content_check,
+)
 from twintally.sources import FileSource, JdbcSource, read_source
 from twintally.storage import fresh_folder
 
@@ -319,3 +329,28 @@ def check_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = {"partitionColumn": '"c_custkey"'}
     target = read_source(spark, JdbcSource({**derby(spark, sf_dir, "customer"), "query": wanted, **split}))
     return content_check(table(spark, sf_dir, "customer"), target)
+
+
+def _stored_target(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, FileSource, str]:
+    """A target whose checksums were kept when it lacked the orders of one priority."""
+    folder = fresh_folder(spark, label)
+    target, late = orders_target(table(spark, sf_dir, "orders")), F.coalesce(F.col("o_orderpriority") == "1-URGENT", F.lit(False))
+    written = FileSource("parquet", f"{folder}/target", schema=SCHEMAS["orders"])
+    target.filter(~late).write.parquet(written.path)
+    return target.filter(late), written, f"{folder}/checksums"
+
+
+@query("content_check_stored", _check_sql("orders", ORDERS_TARGET_SQL))
+def check_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    late, target, store = _stored_target(spark, sf_dir, "stored")
+    stored_content_check(parquet(sf_dir, "orders"), target, store)
+    late.write.mode("append").parquet(target.path)
+    return stored_content_check(parquet(sf_dir, "orders"), target, store)
+
+
+@query("content_check_stored_typed", _check_sql("orders", ORDERS_TARGET_SQL, except_all=True))
+def check_stored_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    late, target, store = _stored_target(spark, sf_dir, "stored-typed")
+    stored_content_check(parquet(sf_dir, "orders"), target, store, mode="typed", multiset=True)
+    late.write.mode("append").parquet(target.path)
+    return stored_content_check(parquet(sf_dir, "orders"), target, store, mode="typed", multiset=True, buckets=1 << 10)

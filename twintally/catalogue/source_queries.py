@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from twintally.catalogue.registry import query
 from twintally.catalogue.tables import SCHEMAS, parquet, table
 from twintally.functions.timing import resolve_process_time
-from twintally.sources import FileSource, JdbcSource, read_count, read_source
+from twintally.sources import FileSource, JdbcSource, malformed_rows, read_count, read_range, read_source
+from twintally.operators.counts import union_all
 from twintally.storage import fresh_folder
 
 _MONTH = "1995-06-17 13:45:10"
@@ -141,6 +142,39 @@ def scan_templated_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, FileSource("parquet", f"{path}/month=%Y%m").at(when))
 
 
+@query(
+    "scan_templated_range",
+    """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    from orders where o_orderdate >= timestamp '1994-11-01' and o_orderdate < timestamp '1996-03-01'""",
+)
+def scan_templated_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, path = table(spark, sf_dir, "orders"), fresh_folder(spark, "scan-range")
+    dated = orders.withColumns({"year": F.date_format("o_orderdate", "yyyy"), "month": F.date_format("o_orderdate", "MM")})
+    dated.hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(path)
+    source = FileSource("parquet", f"{path}/year=%Y/month=%m", schema=SCHEMAS["orders"])
+    return read_range(spark, source, datetime(1994, 11, 30), datetime(1996, 2, 1), "monthly")
+
+
+@query(
+    "scan_csv_malformed",
+    """with numbers as (
+  select count(*) as n_rows, count(*) filter (where o_orderkey % 97 = 0 or o_orderkey % 89 = 0) as n_malformed from orders
+)
+select 'PERMISSIVE' as mode, n_rows, n_malformed, n_rows as n_read from numbers
+union all select 'DROPMALFORMED', n_rows, n_malformed, n_rows - n_malformed from numbers
+union all select 'FAILFAST', n_rows, n_malformed, case when n_malformed = 0 then n_rows end from numbers""",
+)
+def scan_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, path = table(spark, sf_dir, "orders"), fresh_folder(spark, "scan-malformed")
+    key, price = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 97 == 0, "unknown").otherwise(F.col("o_totalprice").cast("string"))
+    short = F.concat_ws(",", key, price)
+    line = F.when(key % 89 == 0, short).otherwise(F.concat_ws(",", short, "o_orderpriority"))
+    orders.select(line).write.text(path)
+    schema = "o_orderkey bigint, o_totalprice double, o_orderpriority string"
+    modes = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
+    return union_all([malformed_rows(spark, FileSource("csv", path, {"mode": mode}, schema)) for mode in modes])
+
+
 @query(
     "scan_templated_query",
     """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority

@@ -103,6 +103,11 @@ def _pieces(template: str) -> Iterator[tuple[str, str | None]]:
     yield template[start:], None
 
 
+def is_dated(template: str) -> bool:
+    """Whether any directive of the template depends on the time."""
+    return any(letter not in (None, "%") for _, letter in _pieces(template))
+
+
 def render(template: str, when: datetime) -> str:
     """The template filled from one process time."""
     filled = (text + (when.strftime("%" + letter) if letter else "") for text, letter in _pieces(template))

@@ -108,3 +108,14 @@ def resolve_process_time(
     else:
         chosen = now - timedelta(seconds=delay_seconds)
     return truncate_time(chosen, granularity)
+
+
+def windows_between(first: datetime, last: datetime, granularity: str | None) -> list[datetime]:
+    """The starts of all windows from that of ``first`` to that of ``last``."""
+    when, last = truncate_time(first, granularity), truncate_time(last, granularity)
+    found = []
+    while when <= last:
+        found.append(when)
+        step = {MONTHLY: timedelta(days=32), DAILY: timedelta(days=1), HOURLY: timedelta(hours=1)}[check_granularity(granularity)]
+        when = truncate_time(when + step, granularity)
+    return found

@@ -17,10 +17,12 @@ from twintally.operators.counts import (
     row_count_check,
     windowed_row_count,
 )
+from twintally.operators.stored import SourceChanged, stored_content_check
 
 __all__ = [
     "CountCheck",
     "SchemaMismatch",
+    "SourceChanged",
     "batch_row_count",
     "content_check",
     "count_rows",
@@ -33,5 +35,6 @@ __all__ = [
     "rows_missing",
     "schema_difference",
     "schemas_match",
+    "stored_content_check",
     "windowed_row_count",
 ]

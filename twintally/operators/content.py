@@ -28,7 +28,7 @@ from twintally.sources.read import conform as conformed
 MODES = ("concat", "typed")
 KEYS = ("digest", "full")
 
-_BUCKET = "_twintally_bucket"
+BUCKET = "_twintally_bucket"
 
 
 class SchemaMismatch(ValueError):
@@ -114,8 +114,19 @@ def content_check(
         # Rows that no cast can bring over are on one side only, so they need no comparing.
         alone = _grouped(changed.limit(0), changed, "typed", key, None)
         apart = [_difference_numbers(alone, multiset)]
-    grouped, equal = _grouped_apart(source, target, mode, key, buckets)
-    parts = [_difference_numbers(grouped, multiset), *apart]
+    return _compared(*_grouped_apart(source, target, mode, key, buckets), multiset, apart)
+
+
+def check_with_sums(
+    source: DataFrame, target: DataFrame, sums: DataFrame, *, mode: str, multiset: bool, key: str, buckets: int
+) -> DataFrame:
+    """:func:`content_check` with ``buckets`` whose checksums are known: columns of :func:`net_sums`."""
+    return _compared(*_grouped_apart(source, target, mode, key, buckets, sums), multiset)
+
+
+def _compared(grouped: DataFrame, equal: DataFrame | None, multiset: bool, more: Sequence[DataFrame] = ()) -> DataFrame:
+    """The verdict on grouped rows, counts of rows that are known to agree, and further numbers."""
+    parts = [_difference_numbers(grouped, multiset), *more]
     if equal is not None:
         none = F.lit(0).cast("bigint")
         parts.append(equal.select(F.col("s").alias("count_source"), F.col("t").alias("count_target"), none.alias("missing"), none.alias("extra")))
@@ -193,8 +204,40 @@ def check_buckets(buckets: int | None) -> int | None:
     return buckets
 
 
+WORDS = tuple(f"word{n}" for n in range(4))
+
+
+def bucket_words(hashes: Sequence[Column], buckets: int) -> list[Column]:
+    """The bucket of a row with these two 64-bit hashes, and both cut into four numbers of 32 bits."""
+    half = F.lit((1 << 32) - 1)
+    parts = [part for h in hashes for part in (h.bitwiseAND(half), F.shiftrightunsigned(h, 32))]
+    return [hashes[0].bitwiseAND(F.lit(buckets - 1)).alias(BUCKET), *[p.alias(w) for p, w in zip(parts, WORDS)]]
+
+
+def net_sums(marked: DataFrame) -> DataFrame:
+    """For each bucket the counts ``s`` and ``t`` of both sides, and the words' sums on the source less those on the target.
+
+    A sum that overflows is NULL, which is not equal to 0: such a bucket counts as differing.
+    """
+    net = F.col("s") - F.col("t")
+    words = [F.try_sum(F.col(w) * net).alias(w) for w in WORDS]
+    return marked.groupBy(BUCKET).agg(F.sum("s").alias("s"), F.sum("t").alias("t"), *words)
+
+
+def agree() -> Column:
+    """Whether a row of :func:`net_sums` is of a bucket with the same rows on both sides."""
+    equal = F.col("s") == F.col("t")
+    for word in WORDS:
+        equal = equal & F.col(word).eqNullSafe(0)
+    return equal
+
+
 def _narrowed(
-    source: DataFrame, target: DataFrame, hashes: Callable[[DataFrame], list[Column]], buckets: int
+    source: DataFrame,
+    target: DataFrame,
+    hashes: Callable[[DataFrame], list[Column]],
+    buckets: int,
+    sums: DataFrame | None = None,
 ) -> tuple[tuple[DataFrame, DataFrame], DataFrame]:
     """Both sides without the buckets whose checksums agree, and the counts of those; equal rows have equal ``hashes``.
 
@@ -204,36 +247,23 @@ def _narrowed(
     the same rows on both. What is left, every row of every other bucket, has the
     differences of the whole tables, for one more scan of each side but without
     shuffling the rows that agree. The buckets that differ are joined as adaptive
-    execution sees fit: few are broadcast.
+    execution sees fit: few are broadcast. ``sums`` that are known already spare the first pass.
     """
     check_buckets(buckets)
-    half = F.lit((1 << 32) - 1)
-    words = [f"word{n}" for n in range(4)]
 
     def marked(side: DataFrame, of_source: bool) -> DataFrame:
         hashed = side.select(*[h.alias(f"hash{n}") for n, h in enumerate(hashes(side))])
-        parts = [part for n in range(2) for part in (F.col(f"hash{n}").bitwiseAND(half), F.shiftrightunsigned(f"hash{n}", 32))]
-        bucket = F.col("hash0").bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
-        return tally(hashed, of_source=of_source, by=[bucket, *[p.alias(w) for p, w in zip(parts, words)]])
+        return tally(hashed, of_source=of_source, by=bucket_words([F.col("hash0"), F.col("hash1")], buckets))
 
-    net = F.col("s") - F.col("t")
-    # A sum that overflows is NULL, which is not equal to 0: the bucket stays in.
-    sums = (
-        marked(source, True)
-        .unionAll(marked(target, False))
-        .groupBy(_BUCKET)
-        .agg(F.sum("s").alias("s"), F.sum("t").alias("t"), *[F.try_sum(F.col(w) * net).alias(w) for w in words])
-    )
-    equal = F.col("s") == F.col("t")
-    for word in words:
-        equal = equal & F.col(word).eqNullSafe(0)
-    differing = sums.filter(~equal).select(_BUCKET)
+    if sums is None:
+        sums = net_sums(marked(source, True).unionAll(marked(target, False)))
+    differing = sums.filter(~agree()).select(BUCKET)
     zero = F.lit(0).cast("bigint")
-    agreeing = sums.filter(equal).agg(*[F.coalesce(F.sum(n), zero).alias(n) for n in ("s", "t")])
+    agreeing = sums.filter(agree()).agg(*[F.coalesce(F.sum(n), zero).alias(n) for n in ("s", "t")])
 
     def narrowed(side: DataFrame) -> DataFrame:
-        bucket = hashes(side)[0].bitwiseAND(F.lit(buckets - 1)).alias(_BUCKET)
-        return side.select("*", bucket).join(differing, _BUCKET, "left_semi").drop(_BUCKET)
+        bucket = hashes(side)[0].bitwiseAND(F.lit(buckets - 1)).alias(BUCKET)
+        return side.select("*", bucket).join(differing, BUCKET, "left_semi").drop(BUCKET)
 
     return (narrowed(source), narrowed(target)), agreeing
 
@@ -265,7 +295,7 @@ def _grouped(source: DataFrame, target: DataFrame, mode: str, key: str, buckets:
 
 
 def _grouped_apart(
-    source: DataFrame, target: DataFrame, mode: str, key: str, buckets: int | None
+    source: DataFrame, target: DataFrame, mode: str, key: str, buckets: int | None, sums: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """One line per distinct row: ``row`` (its key) and its copies ``s`` and ``t``.
 
@@ -277,12 +307,12 @@ def _grouped_apart(
         key, buckets = "full", None
     if mode == "typed":
         if buckets is not None:
-            sides, agreeing = _narrowed(*sides, row_hashes, buckets)
+            sides, agreeing = _narrowed(*sides, row_hashes, buckets, sums)
         keyed = [row_struct_digest(s) if key == "digest" else s.select(row_struct().alias("row")) for s in sides]
     else:
         keyed = [s.select(row_text().alias("row")) for s in sides]
         if buckets is not None:
-            keyed, agreeing = _narrowed(*keyed, lambda side: text_hashes(F.col("row")), buckets)
+            keyed, agreeing = _narrowed(*keyed, lambda side: text_hashes(F.col("row")), buckets, sums)
         if key == "digest":
             keyed = [s.select(row_digest(F.col("row")).alias("row")) for s in keyed]
     by = [F.col("row")]

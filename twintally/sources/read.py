@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twintally.functions.template import is_dated, render
+from twintally.functions.timing import windows_between
 from twintally.sources.spec import FileSource, JdbcSource, Source
 
 _WIDEST = T.DecimalType(38, 18)
+_PARTITION = re.compile(r"(?P<key>[A-Za-z_]\w*)=(?P<value>.+)")
+_CORRUPT = "_twintally_corrupt"
 _PARALLEL_READ = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
 
@@ -28,7 +34,11 @@ def _read_file(spark: SparkSession, source: FileSource) -> DataFrame:
     reader = spark.read.format(source.format).options(**source.options)
     if source.schema:
         reader = reader.schema(source.schema)
-    table = reader.load(source.path)
+    return whole_rows(reader.load(source.path), source)
+
+
+def whole_rows(table: DataFrame, source: FileSource) -> DataFrame:
+    """The rows of a file source as a full read has them, whichever columns a query asks for."""
     if source.options.get("mode") in ("DROPMALFORMED", "FAILFAST"):
         # Spark parses only the columns a query asks for, so a plain count would
         # keep rows that a full read drops or fails on. The condition always holds
@@ -37,6 +47,68 @@ def _read_file(spark: SparkSession, source: FileSource) -> DataFrame:
     return table
 
 
+def read_range(
+    spark: SparkSession, source: FileSource, first: datetime, last: datetime, granularity: str | None = None
+) -> DataFrame:
+    """What a dated path holds for all windows from that of ``first`` to that of ``last``, as one table.
+
+    The dated end of the path must be folders named ``key=value``. It is read from the folder
+    above them, as one scan that a filter on the folders' names cuts down to those
+    of the windows before any file is opened. Windows without a folder have no rows. The columns are
+    those of the files, as in a read of one folder; a ``schema`` must not have a folder's key among them.
+    """
+    parts = source.path.rstrip("/").split("/")
+    dated = [place for place, part in enumerate(parts) if is_dated(part)]
+    if not dated:
+        raise ValueError(f"{source.path!r} does not depend on the time")
+    folders = [_PARTITION.fullmatch(part) for part in parts[dated[0] :]]
+    if not all(folders):
+        raise ValueError(f"the dated folders of {source.path!r} must be named key=value")
+    root = render("/".join(parts[: dated[0]]), first)
+    keys = [folder["key"] for folder in folders]
+    reader = spark.read.format(source.format).options(**source.options)
+    given = reader.schema(source.schema).load(root) if source.schema else reader.load(root)
+    # Names of folders are text: 07 is not 7.
+    columns = [f for f in given.schema.fields if f.name not in keys]
+    names = [T.StructField(key, T.StringType()) for key in keys]
+    table = spark.read.format(source.format).options(**source.options).schema(T.StructType([*columns, *names])).load(root)
+    windows = windows_between(first, last, granularity)
+    wanted = sorted({"/".join(render(folder["value"], when) for folder in folders) for when in windows})
+    named = F.concat_ws("/", *[F.col(_quoted(key)) for key in keys])
+    return whole_rows(table.filter(named.isin(wanted)).drop(*keys), source)
+
+
+def malformed_rows(spark: SparkSession, source: FileSource) -> DataFrame:
+    """How many rows of a CSV source cannot be read as its schema says, whatever its mode.
+
+    One row: ``mode, n_rows`` in the files, ``n_malformed`` among them, ``n_read`` that the source's mode lets through
+    (malformed ones with NULLs in ``PERMISSIVE``, without them in ``DROPMALFORMED``; NULL where ``FAILFAST`` fails).
+    """
+    if source.format != "csv":
+        raise ValueError(f"a {source.format} source has no malformed rows")
+    mode = source.options.get("mode", "PERMISSIVE")
+    schema = spark.read.schema(source.schema).csv(source.path).schema if source.schema else read_source(spark, source).schema
+    name = source.options.get("columnNameOfCorruptRecord", _CORRUPT)
+    if name not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+    options = {**source.options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": name}
+    table = spark.read.format("csv").options(**options).schema(schema).load(source.path)
+    # Spark parses only the columns a query asks for; asking for all finds all faults.
+    others = F.length(F.concat_ws("", *[F.col(_quoted(f.name)) for f in schema.fields if f.name != name]))
+    counted = table.select(others.alias("length"), F.col(_quoted(name)).isNotNull().alias("malformed"))
+    numbers = counted.filter("length >= 0").agg(F.count("*").alias("n_rows"), F.count_if("malformed").alias("n_malformed"))
+    read = {
+        "PERMISSIVE": F.col("n_rows"),
+        "DROPMALFORMED": F.col("n_rows") - F.col("n_malformed"),
+        "FAILFAST": F.when(F.col("n_malformed") == 0, F.col("n_rows")),
+    }[mode.upper()]
+    return numbers.select(F.lit(mode).alias("mode"), "n_rows", "n_malformed", read.alias("n_read"))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _jdbc_options(spark: SparkSession, source: JdbcSource) -> dict[str, Any]:
     options = dict(source.options)
     column = options.get("partitionColumn")

@@ -28,7 +28,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(name, spark, sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     found, wanted = QUERIES[name](spark, sf_dir), con.sql(ORACLE_SQL[name])
     columns = sorted(found.columns)

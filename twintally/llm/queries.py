@@ -168,7 +168,26 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("dropped", F.array_join("dropped", ","))
 
 
-@query("op8_embedding_dedup")
+@query(
+    "op8_embedding_dedup",
+    """
+with recursive bad as (
+  select distinct vec_id from (select vec_id, unnest(embedding) as x from embeddings) where x is null or not isfinite(x)
+), usable as (
+  select vec_id, cast(embedding as double[]) as v from embeddings
+  where len(embedding) > 0 and list_aggregate(embedding, 'max') is not null and vec_id not in (select vec_id from bad)
+    and (list_aggregate(embedding, 'max') <> 0 or list_aggregate(embedding, 'min') <> 0)
+), links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b on len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.9
+), reached(vec_id, other) as (
+  select vec_id, vec_id from embeddings union select vec_id, b from reached join links on other = a
+), counted as (select a, count(*) as n from links group by a),
+roots as (select vec_id, min(other) as component_id from reached group by vec_id)
+select e.vec_id, coalesce(n, 0) as n_links, component_id, e.vec_id = component_id as kept
+from embeddings e join roots using (vec_id) left join counted on a = e.vec_id
+""",
+)
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), slack="worst")
 

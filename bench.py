@@ -33,6 +33,7 @@ HEADLINE = (
     "content_check_lineitem",
     "content_check_lineitem_typed",
     "content_check_narrowed",
+    "content_check_tree",
     "content_check_multiset",
     "content_check_documents",
     "content_check_same_table",

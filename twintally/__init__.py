@@ -6,6 +6,7 @@ from twintally.operators import (
     SourceChanged,
     batch_row_count,
     content_check,
+    content_check_tree,
     rolled_up_row_count,
     row_count_check,
     rows_apart,
@@ -31,6 +32,7 @@ __all__ = [
     "check_outcome",
     "conform",
     "content_check",
+    "content_check_tree",
     "malformed_rows",
     "read_range",
     "read_source",

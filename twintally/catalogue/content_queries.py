@@ -24,11 +24,13 @@ from twintally.catalogue.tables import (
 )
 from twintally.operators import (
     content_check,
+    content_check_tree,
     distinct_fingerprints,
     row_fingerprint,
     rows_apart,
     rows_extra,
     rows_missing,
+    schema_difference,
     stored_content_check,
 )
 from twintally.sources import FileSource, JdbcSource, read_source
@@ -187,6 +189,32 @@ def check_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(*_pair(spark, sf_dir, "lineitem"), buckets=1 << 16)
 
 
+@query("content_check_tree", _check_sql("lineitem", LINEITEM_TARGET_SQL))
+def check_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_check_tree(*_pair(spark, sf_dir, "lineitem"))
+
+
+@query("content_check_tree_typed", _check_sql("lineitem", LINEITEM_TARGET_SQL, except_all=True))
+def check_tree_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_check_tree(*_pair(spark, sf_dir, "lineitem"), mode="typed", multiset=True)
+
+
+@query("content_check_tree_documents", _check_sql("documents", DOCUMENTS_TARGET_SQL))
+def check_tree_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_check_tree(*_pair(spark, sf_dir, "documents"))
+
+
+@query(
+    "schema_difference",
+    """select * from (values (1, 'o_custkey', 'bigint', 'o_custkey', 'string'), (5, 'o_orderpriority', 'string', null, null))
+       as d(position, source_name, source_type, target_name, target_type)""",
+)
+def schemas_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    other = orders.withColumn("o_custkey", F.col("o_custkey").cast("string")).drop("o_orderpriority")
+    return schema_difference(orders, other, mode="typed")
+
+
 @query("content_check_documents", _check_sql("documents", DOCUMENTS_TARGET_SQL))
 def check_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_check(*_pair(spark, sf_dir, "documents"))

@@ -61,6 +61,17 @@ def process_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", when.alias("process_time"))
 
 
+# No event carries a time: the default alone, hourly where no granularity is named.
+@query(
+    "process_time_default_only",
+    "select event_id, cast(date_trunc('hour', ts - to_seconds(3600)) as timestamp) as process_time from events",
+)
+def default_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    when = process_time(F.lit(None).cast("string"), F.col("ts"), F.lit(3600), None)
+    return events.select("event_id", when.alias("process_time"))
+
+
 _TEMPLATE = "/log/%Y/%m-%d/%H%M%S.%f y=%y j=%j %I%p %b %B %a %A w=%w u=%u U=%U W=%W V=%V G=%G 100%%"
 
 

@@ -18,6 +18,7 @@ from twintally.operators.counts import (
     windowed_row_count,
 )
 from twintally.operators.stored import SourceChanged, stored_content_check
+from twintally.operators.tree import content_check_tree
 
 __all__ = [
     "CountCheck",
@@ -25,6 +26,7 @@ __all__ = [
     "SourceChanged",
     "batch_row_count",
     "content_check",
+    "content_check_tree",
     "count_rows",
     "distinct_fingerprints",
     "rolled_up_row_count",

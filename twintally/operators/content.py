@@ -113,7 +113,7 @@ def content_check(
         target, changed = conformed(target, schema)
         # Rows that no cast can bring over are on one side only, so they need no comparing.
         alone = _grouped(changed.limit(0), changed, "typed", key, None)
-        apart = [_difference_numbers(alone, multiset)]
+        apart = [difference_numbers(alone, multiset)]
     return _compared(*_grouped_apart(source, target, mode, key, buckets), multiset, apart)
 
 
@@ -126,7 +126,7 @@ def check_with_sums(
 
 def _compared(grouped: DataFrame, equal: DataFrame | None, multiset: bool, more: Sequence[DataFrame] = ()) -> DataFrame:
     """The verdict on grouped rows, counts of rows that are known to agree, and further numbers."""
-    parts = [_difference_numbers(grouped, multiset), *more]
+    parts = [difference_numbers(grouped, multiset), *more]
     if equal is not None:
         none = F.lit(0).cast("bigint")
         parts.append(equal.select(F.col("s").alias("count_source"), F.col("t").alias("count_target"), none.alias("missing"), none.alias("extra")))
@@ -332,7 +332,7 @@ def _numbers(multiset: bool) -> dict[str, Column]:
     return {"count_source": F.sum("s"), "count_target": F.sum("t"), "missing": missing, "extra": extra}
 
 
-def _difference_numbers(grouped: DataFrame, multiset: bool) -> DataFrame:
+def difference_numbers(grouped: DataFrame, multiset: bool) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return grouped.agg(*[F.coalesce(number, zero).alias(name) for name, number in _numbers(multiset).items()])
 

@@ -38,3 +38,9 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     files.mkdirs(path)
     files.deleteOnExit(path)
     return f"{folder}/data"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of :func:`fresh_folder` that no frame reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,7 @@ import numpy as np
 
 import corpus_pipeline
 from twintally.llm.exact_dedup import drop_exact_copies
-from twintally.llm.scratch import Scratch, components
+from twintally.llm.scratch import SHARES, Scratch, components, with_least
 from twintally.llm.simhash import drop_near_copies, fingerprint
 
 
@@ -103,3 +103,14 @@ def test_all_stages_over_odd_rows(spark, odd_documents, no_documents, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:3]:
         kept = stage(spark, kept, str(tmp_path))
     assert sorted(r.text for r in kept.collect()) == sorted(letters)
+
+
+def test_members_of_a_large_component_are_dealt_to_all_shares(spark):
+    hot = [(n, 1000 + n if n % 3 else None, 0) for n in range(500)]
+    rows = [*hot, (600, 7, 600), (601, None, 600), (700, None, 700), (701, None, 700), (800, 3, None), (801, None, None)]
+    members = spark.createDataFrame(rows, "node long, value long, root long")
+    found = with_least(members, "node", "value", "least")
+    told = {r.node: (r.root, r.least) for r in found.collect()}
+    assert told == {**{n: (0, 1001) for n, *_ in hot}, 600: (600, 7), 601: (600, 7), 700: (700, None), 701: (700, None), 800: (800, 3), 801: (801, None)}
+    assert len(rows) == found.count() and SHARES > 1
+    assert with_least(members.limit(0), "node", "value", "least").collect() == []

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twintally.llm.scratch import Scratch, components, quoted
+from twintally.llm.scratch import Scratch, components, quoted, with_least
 
 THRESHOLD = 0.9
 CHUNK = 2048
@@ -115,14 +115,13 @@ def _compare(threshold: float):
         weight = rows["copies"].to_numpy()
         own = home == cell
         # Two rows of different cells meet twice if the one that is at home here is also a guest of the other's cell.
-        order = {c: k for k, c in enumerate(np.unique(home))}
-        column = np.array([order[h] for h in home])
-        visits = np.zeros((len(rows), len(order)), bool)
-        for row, cells in enumerate(rows["guest_of"]):
-            if own[row]:
-                for c in cells:
-                    if c in order and c < cell:
-                        visits[row, order[c]] = True
+        homes, column = np.unique(home, return_inverse=True)
+        visits = np.zeros((len(rows), len(homes)), bool)
+        visited = rows["guest_of"].where(own).dropna()
+        which = np.repeat(visited.index.to_numpy(), visited.map(len).to_numpy(np.int64))
+        cells = np.concatenate([np.zeros(0, np.int64), *visited])
+        told = np.isin(cells, homes) & (cells < cell)
+        visits[which[told], np.searchsorted(homes, cells[told])] = True
         split = int((rows["chunk"] == a).sum()) if a != b else len(rows)
         x = slice(0, split)
         y = slice(split, len(rows)) if a != b else x
@@ -205,10 +204,10 @@ def near_vectors(
     joined = (
         numbered.join(counts, numbered["rep"] == counts["a"], "left")
         .join(roots, numbered["rep"] == roots["node"], "left")
-        .select("vector", "first", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root"))
+        .select("vector", "first", "rep", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "root")
     )
-    smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = scratch.keep(joined.join(smallest, "root").select("vector", "n_links", "component_id"), "groups")
+    groups = with_least(joined, "rep", "first", "component_id").select("vector", "n_links", "component_id")
+    groups = scratch.keep(groups, "groups")
     scratch.drop("distinct", *[f"compared-{size}" for size in sizes])
     linked = rows.join(groups, "vector", "left").select(
         "vec_id",

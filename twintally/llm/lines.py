@@ -27,7 +27,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.llm.scratch import Scratch, components, quoted
+from twintally.llm.scratch import Scratch, components, quoted, with_least
 
 LEAST_WORDS = 5
 LEAST_CHARACTERS = 16
@@ -256,9 +256,8 @@ def line_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     roots = components(links, scratch)
     scratch.drop("members", "pairs", "texts", "verified")
-    grouped = distinct.join(roots, distinct["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id"))
-    firsts = grouped.groupBy("root").agg(F.min("place").alias("keep"))
-    kept = scratch.keep(grouped.join(firsts, "root").select("h1", "h2", "keep"), "kept")
+    members = distinct.join(roots, distinct["id"] == roots["node"], "left").select("h1", "h2", "id", "place", "root")
+    kept = scratch.keep(with_least(members, "id", "place", "keep").select("h1", "h2", "keep"), "kept")
     scratch.drop("distinct")
     found = hashed.withColumn("place", place).join(kept, ["h1", "h2"])
     keep_line = F.pmod("keep", F.lit(1 << 32).cast("decimal(11,0)"))

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from twintally.storage import fresh_folder
 
 
+# Places that a component's members are dealt to.
+SHARES = 16
+
+
 class Scratch:
     """Tables of one run, written below the folder named in ``spark.checkpoint.dir``.
 
@@ -64,6 +68,21 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return members.unionAll(members.select(F.col("root").alias("node"), "root").distinct())
 
 
+def with_least(members: DataFrame, node: str, value: str, least: str) -> DataFrame:
+    """``members`` with the smallest ``value`` of each one's component as ``least``; nulls are never the smallest.
+
+    ``root`` is what :func:`components` found for a ``node``, or null, which makes it a component of its own; it is the
+    node itself after that. Members of a component are dealt to ``SHARES`` places by a hash of the node, and what
+    the component has in common is sent to each, so that a large one does not meet in one task.
+    """
+    share = F.when(F.col("root").isNull(), 0).otherwise(F.pmod(F.xxhash64(node), F.lit(SHARES))).cast("int")
+    last = F.when(F.col("root").isNull(), 0).otherwise(SHARES - 1)
+    dealt = members.withColumn("share", share).withColumn("last", last).withColumn("root", F.coalesce("root", node))
+    found = dealt.groupBy("root").agg(F.min(value).alias(least), F.max("last").alias("last"))
+    places = found.select("root", least, F.explode(F.sequence(F.lit(0), "last")).alias("share"))
+    return dealt.drop("last").join(places, ["root", "share"]).drop("share")
+
+
 def _checksum(pairs: DataFrame) -> tuple:
     mixed = F.xxhash64("lo", "hi").cast("decimal(38,0)")
     return tuple(pairs.agg(F.count("*"), F.sum(mixed)).first())

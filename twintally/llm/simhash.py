@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twintally.llm import golay
-from twintally.llm.scratch import Scratch, components, numbered, one_of_each, quoted
+from twintally.llm.scratch import Scratch, components, numbered, one_of_each, quoted, with_least
 
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits of each segment
@@ -226,11 +226,9 @@ def _groups(prints: DataFrame, scratch: Scratch, most_distance: int) -> DataFram
     links = scratch.keep(near_links(distinct, most_distance), "links")
     roots = components(links, scratch)
     scratch.drop("links")
-    groups = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = groups.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = scratch.keep(groups.join(smallest, "root").select("fp", "root", "component_id"), "groups")
+    members = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", "root")
+    groups = with_least(members, "fp", "first", "component_id").select("fp", "root", "component_id")
+    groups = scratch.keep(groups, "groups")
     scratch.drop("distinct")
     return groups
 

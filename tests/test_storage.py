@@ -39,3 +39,28 @@ def test_fresh_folders_of_a_real_session(spark):
     first, second = (storage.fresh_folder(spark, "log") for _ in range(2))
     assert first.startswith(f"{shared}/log-") and first != second
     assert os.path.isdir(os.path.dirname(first)) and not os.path.exists(first)
+
+
+def test_a_folder_that_all_machines_have_serves_a_cluster(spark, monkeypatch):
+    mount = Session("spark://h:7077", "file:///mnt/shared")
+    assert storage.shared_folder(mount, lambda session, folder: folder == "file:///mnt/shared") == "file:///mnt/shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(mount, lambda session, folder: False)
+    # The session's folder is one that all of its executors see, whatever its master is called.
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:7077")
+    monkeypatch.setattr(storage, "_seen", set())
+    folder = storage.fresh_folder(spark, "cluster")
+    spark.range(9).write.parquet(folder)
+    assert spark.read.parquet(folder).count() == 9
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert not [name for name in os.listdir(shared) if name.startswith("trial-")]
+
+
+def test_a_trial_that_loses_files_shows_a_folder_of_one_machine(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "_seen", set())
+    assert storage.seen_by_all(spark, str(tmp_path))
+    read = spark.read.schema("id long")
+    monkeypatch.setattr(type(read), "parquet", lambda reader, path: spark.range(3))
+    assert storage.seen_by_all(spark, str(tmp_path))  # once per session
+    monkeypatch.setattr(storage, "_seen", set())
+    assert not storage.seen_by_all(spark, str(tmp_path))

@@ -57,6 +57,19 @@ def test_other_tokenizers_are_packed_with_their_own_ids(library):
         assert encoder.encode([text])[0] == np.array(library[BYTES].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_words_are_encoded_once_whatever_their_case_marks_and_text(library):
+    encoder = ChunkEncoder(WORDS)
+    texts = ["Straße, straße. STRAßE", "(word) Word word!", "word: straße;"]
+    wanted = [np.array(library[WORDS].encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text in texts]
+    assert [encoder.encode([text])[0] for text in texts] == wanted
+    assert sorted(encoder.words) == ["straße", "word"]
+    for table in (encoder.chunks, encoder.words, encoder.marks):
+        table.clear()
+        table.older, table.most = {}, 2
+    assert encoder.encode(texts * 2) == wanted * 2
+    assert max(map(len, (encoder.chunks, encoder.words, encoder.marks))) <= 2
+
+
 def test_decoding_of_broken_characters(library):
     for ids in ([447], [50256, 447, 220], [], [12520, 247]):
         assert ENCODERS[1].decode(ids) == library[BYTES].decode(ids, skip_special_tokens=False)

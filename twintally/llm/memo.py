@@ -1,4 +1,4 @@
-"""A bounded table of what was worked out before."""
+"""Bounded tables of what was worked out before."""
 
 from __future__ import annotations
 
@@ -39,3 +39,23 @@ class Memo(dict):
             self.update(learnt)
             found |= learnt
         return found
+
+
+class Learnt(dict):
+    """Values by key, worked out one by one when they are first asked for; as bounded as a :class:`Memo`."""
+
+    def __init__(self, most: int, learn: Callable):
+        super().__init__()
+        self.most = most
+        self.learn = learn
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.learn(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value

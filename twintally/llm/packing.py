@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from twintally.llm.bpe import byte_letters
-from twintally.llm.memo import Memo
+from twintally.llm.memo import Learnt
 from twintally.llm.scratch import quoted
 
 WINDOW, EOS, MOST_OPEN = 2048, 1, 2048
 
-_CACHED_CHUNKS = 600_000
+_CACHED_CHUNKS, _CACHED_WORDS, _CACHED_MARKS = 600_000, 300_000, 10_000
 # Neither letters nor digits, nor the start of a contraction.
 _MARKS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
 _LETTERS = dict(enumerate(byte_letters()))
@@ -65,7 +65,9 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.chunks = Memo(_CACHED_CHUNKS)
+        self.chunks = Learnt(_CACHED_CHUNKS, self._chunk)
+        self.words = Learnt(_CACHED_WORDS, self._word)
+        self.marks = Learnt(_CACHED_MARKS, lambda mark: self._library([mark])[0])
         given = json.loads(self.tokenizer.to_str())
         cuts = (given["pre_tokenizer"] or {}).get("pretokenizers") or [None]
         self.known = given["normalizer"] == _NORMALIZER and cuts[0] == _SPLIT and given["model"].get("dropout") is None
@@ -74,41 +76,28 @@ class ChunkEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.known:
             return self._library(texts)
-        odd = [*self.specials, *_ODD_SPACE]
-        split = [None if any(s in text for s in odd) else text.split() for text in texts]
-        ids = self.chunks.look_up(set().union(*(words for words in split if words)), self._learn).__getitem__
+        odd, ids = [*self.specials, *_ODD_SPACE], self.chunks.__getitem__
         return [
-            self._library([text])[0] if words is None else b"".join(map(ids, words)) for text, words in zip(texts, split)
+            self._library([text])[0] if any(s in text for s in odd) else b"".join(map(ids, text.split())) for text in texts
         ]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of new chunks; marks after a word of letters are cut from it by the tokenizer as well."""
-        split = self.tokenizer.model.tokenize
-        marks: dict[str, bytes] = {"": b""}
-        found: dict[str, bytes] = {}
-        known: dict[str, bytes] = {}
-        others: list[str] = []
-        for chunk in chunks:
-            word = chunk.rstrip(_MARKS)
-            mark = chunk[len(word) :]
-            if mark not in marks:
-                marks[mark] = self._library([mark])[0]
-            ids = known.get(word)
-            if ids is None:
-                # A word of plain letters passes the normaliser and the cutting into words as it is, but for its case.
-                if not word.isalpha() or max(word) >= "\u0250" or "\u0130" in word:
-                    others.append(chunk)
-                    continue
-                letters = word.lower()
-                if not letters.isascii():
-                    letters = letters.encode("utf-8").decode("latin-1").translate(_LETTERS)
-                ids = known[word] = array("I", [token.id for token in split(letters)]).tobytes()
-            found[chunk] = ids + marks[mark]
-        found.update(zip(others, self._library(others)))
-        return found
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk; marks after a word of letters are cut from it by the tokenizer as well."""
+        word = chunk.rstrip(_MARKS)
+        # A word of plain letters passes the normaliser and the cutting into words as it is, but for its case.
+        if not word.isalpha() or max(word) >= "\u0250" or "\u0130" in word:
+            return self._library([chunk])[0]
+        ids, mark = self.words[word.lower()], chunk[len(word) :]
+        return ids + self.marks[mark] if mark else ids
+
+    def _word(self, letters: str) -> bytes:
+        """Ids of a word of lower-case letters."""
+        if not letters.isascii():
+            letters = letters.encode("utf-8").decode("latin-1").translate(_LETTERS)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(letters)]).tobytes()
 
 
 @cache

@@ -3,6 +3,7 @@ import os
 import pytest
 
 from twintally import storage
+from twintally.catalogue import QUERIES
 
 
 class Session:
@@ -56,6 +57,18 @@ def test_a_folder_that_all_machines_have_serves_a_cluster(spark, monkeypatch):
     assert not [name for name in os.listdir(shared) if name.startswith("trial-")]
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "content_check_stored_typed", "content_check_tree", "content_check_tree_documents", "content_check_tree_typed",
+        "content_rows_with_counts", "scan_csv", "scan_csv_malformed", "scan_csv_multiline",
+    ],
+)
+def test_queries_that_write_run_on_a_cluster(name, spark, small_dir, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:7077")
+    assert QUERIES[name](spark, small_dir).collect()
+
+
 def test_a_trial_that_loses_files_shows_a_folder_of_one_machine(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "_seen", set())
     assert storage.seen_by_all(spark, str(tmp_path))

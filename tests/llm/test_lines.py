@@ -151,6 +151,12 @@ def test_edit_similarity(spark):
         assert r.similar == (edit_distance(r.a_norm, r.b_norm) * 5 <= longest), r
 
 
+def test_words_of_a_pair_are_compared_once(spark):
+    found = with_similarity(spark.createDataFrame([("one two", "one two three")], "a_norm string, b_norm string"))
+    plan = found.select("similar")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 3  # word by word, from the start and from the end
+
+
 def test_lines_of_any_kind_take_part(spark):
     chinese = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed\u6563\u6b65\u5427\u7136\u540e\u56de\u5bb6"
     texts = ["All rights reserved.", chinese, "a\tb\tc\td\te", "x", "the same words, in this line; again"]

@@ -143,8 +143,9 @@ def _core(words: Column, start: Column, end: Column) -> Column:
 
 def _alike(a: Column, b: Column) -> Column:
     """How many words two lists begin with in common."""
-    first_other = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False).cast("int")
-    return F.when(first_other == 0, F.least(F.size(a), F.size(b))).otherwise(first_other - 1)
+    # Where one list ends the other's word is no null.
+    same = F.array_append(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    return F.array_position(same, False).cast("int") - 1
 
 
 def with_similarity(pairs: DataFrame) -> DataFrame:
@@ -161,12 +162,14 @@ def with_similarity(pairs: DataFrame) -> DataFrame:
     a, b = F.col("a_words"), F.col("b_words")
     each = F.zip_with(a, b, lambda x, y: F.when(x == y, 0).otherwise(F.levenshtein(x, y)))
     words = words.withColumn("by_word", F.when(F.size(a) == F.size(b), F.aggregate(each, F.lit(0), lambda n, x: n + x)))
-    start = _alike(a, b)
-    end = _alike(F.reverse(F.slice(a, start + 1, F.size(a))), F.reverse(F.slice(b, start + 1, F.size(b))))
-    core = F.array(_core(a, start, end), _core(b, start, end))
-    between = F.call_function("levenshtein", core[0], core[1], F.col("most")) >= 0
-    settled = F.coalesce(F.col("by_word") <= F.col("most"), F.lit(False))
-    return words.withColumn("similar", F.when(settled, True).otherwise(between))
+    words = words.withColumn("settled", F.coalesce(F.col("by_word") <= F.col("most"), F.lit(False)))
+    # Columns of their own: each is used more than once.
+    start, end = F.col("start"), F.col("end")
+    words = words.withColumn("start", F.when(~F.col("settled"), _alike(a, b)))
+    rest = [F.reverse(F.slice(some, start + 1, F.size(some))) for some in (a, b)]
+    words = words.withColumn("end", F.when(~F.col("settled"), _alike(*rest)))
+    between = F.call_function("levenshtein", _core(a, start, end), _core(b, start, end), F.col("most")) >= 0
+    return words.withColumn("similar", F.when(F.col("settled"), True).otherwise(between))
 
 
 def _members(distinct: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from twintally.llm.lines import BLANKS, BLOCKS, PUNCTUATION, drop_repeated_lines, line_groups, line_report, with_similarity
+from twintally.llm import lines as lines_module
+from twintally.llm.lines import BLANKS, BLOCKS, PUNCTUATION, drop_repeated_lines, line_groups, line_report, split_lines, with_similarity
 
 BASE = "the quick brown fox jumps over the lazy dog near the quiet river bank while nobody is watching at all today".split()
 
@@ -157,6 +158,37 @@ def test_words_of_a_pair_are_compared_once(spark):
     assert plan.count("zip_with(") == 3  # word by word, from the start and from the end
 
 
+def test_half_of_the_edits_are_tried_first(spark):
+    found = with_similarity(spark.createDataFrame([("one two", "one two three")], "a_norm string, b_norm string"))
+    plan = found.select("similar")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("levenshtein(") == 3  # of words, of half of the edits, of all
+
+
+def test_blanks_and_marks_are_replaced_without_a_lookup_of_each_character(spark):
+    marks = BLANKS + PUNCTUATION + "\\^-$|*+/"
+    text = "A" + "b".join(marks) + "\u4eca\U0001f642C"
+    found = split_lines(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text")
+    plain = found.select("norm", lines_module._replaced(found["norm"], PUNCTUATION, "").alias("plain"))
+    norm = normalised(text)
+    assert [tuple(r) for r in plain.collect()] == [(norm, "".join(c for c in norm if c not in PUNCTUATION))]
+    assert "translate(" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_without_lines_in_pairs_are_not_cut_again(spark, monkeypatch):
+    cut, read = lines_module.split_lines, []
+
+    def counted(docs, *columns):
+        read.append(docs.count())
+        return cut(docs, *columns)
+
+    monkeypatch.setattr(lines_module, "split_lines", counted)
+    line = "the same words, in this line; again"
+    documents = [(None, f"first\n{line}!"), (-5, line), (7, line), (1, "nothing of the kind stands here, not at all"), (2, None)]
+    report = line_report(spark.createDataFrame(documents, "doc_id long, text string"))
+    assert {r.doc_id: r.dropped for r in report.collect()} == {None: [1], -5: [], 7: [0], 1: [], 2: []}
+    assert read == [5, 0, 2]  # of usual lines, of long ones, and those of a pair: the first occurrence of each line
+
+
 def test_lines_of_any_kind_take_part(spark):
     chinese = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed\u6563\u6b65\u5427\u7136\u540e\u56de\u5bb6"
     texts = ["All rights reserved.", chinese, "a\tb\tc\td\te", "x", "the same words, in this line; again"]

@@ -164,6 +164,52 @@ def test_half_of_the_edits_are_tried_first(spark):
     assert plan.count("levenshtein(") == 3  # of words, of half of the edits, of all
 
 
+def test_whole_words_are_compared_before_characters(spark, monkeypatch):
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(150):
+        words = ["".join(rng.choices("abcdeé\u4eca", k=rng.choice([1, 2, 4, 7, 15]))) for _ in range(rng.randint(5, 40))]
+        other = list(words)
+        for _ in range(rng.randint(1, 5)):
+            place = rng.randrange(len(other))
+            other[place : place + rng.randint(0, 2)] = rng.choices(["", "e", "abcde", "\u4ecaabcdeabcdeabcde", *words], k=rng.randint(0, 2))
+            other = other or ["e"]
+        pairs.append((" ".join(words), " ".join(other)))
+    found = with_similarity(spark.createDataFrame(pairs, "a_norm string, b_norm string"))
+    rows = found.select("a_norm", "b_norm", "settled", "by_place", "similar").collect()
+    for r in rows:
+        longest = max(len(r.a_norm), len(r.b_norm))
+        assert r.similar == (edit_distance(r.a_norm, r.b_norm) * 5 <= longest), r
+    assert sum(r.by_place for r in rows) > 30 and sum(r.similar and not r.settled and not r.by_place for r in rows) > 5
+    assert sum(not r.similar for r in rows) > 10
+    monkeypatch.setattr(lines_module, "_MARKS", 2)  # more words than marks
+    found = with_similarity(spark.createDataFrame(pairs, "a_norm string, b_norm string"))
+    again = found.select("a_norm", "b_norm", "by_place", "similar").collect()
+    assert {(r.a_norm, r.b_norm, r.similar) for r in again} == {(r.a_norm, r.b_norm, r.similar) for r in rows}
+    assert sum(r.by_place for r in again) < sum(r.by_place for r in rows)
+
+
+def test_lines_that_only_meet_in_a_key_do_not_stay(spark):
+    def members(most, *hashes):
+        distinct = spark.createDataFrame(list(enumerate(hashes)), "id long, simhash long")
+        return {(r.id, r.first) for r in lines_module._members(distinct, most).collect()}
+
+    assert members(3, 0, 0b1111 << 26) == set()
+    assert members(3, 0, 0b111 << 26) == {(1, 0)}
+    assert members(2, 0, 0b111 << 26) == set()
+    # With a third line, what the first is far from may be near another.
+    assert members(3, 0, 0b1111 << 26, 0b1110 << 26) == {(1, 0), (2, 0)}
+
+
+def test_only_texts_with_a_long_line_are_read_for_long_lines(spark):
+    short = "\n".join(["some words that come again in line " + str(n) for n in range(1000)])
+    text = "\u0130" * 8192  # twice as long in lower case
+    docs = spark.createDataFrame([(1, short), (2, text), (3, "y" * 16384 + "\n" + short)], "doc_id long, text string")
+    found = lines_module.line_hashes(docs, "doc_id", "text")
+    assert {r.doc_id: r[1] for r in found.groupBy("doc_id").count().collect()} == {1: 1000, 2: 1, 3: 1001}
+    assert "exists(" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_blanks_and_marks_are_replaced_without_a_lookup_of_each_character(spark):
     marks = BLANKS + PUNCTUATION + "\\^-$|*+/"
     text = "A" + "b".join(marks) + "\u4eca\U0001f642C"

@@ -46,6 +46,8 @@ MOST_BROADCAST = 500_000
 
 _LAST_DOC = (1 << 63) - 1
 _LONG = 1 << 14
+# The first code unit of UTF-16 that is no character.
+_MARKS = 0xD800
 
 
 def _replaced(text: Column, characters: str, other: str) -> Column:
@@ -127,7 +129,10 @@ def line_hashes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         lift, simhash = _majority(bits, F.col("n"))
         return counted.withColumn("lift", lift).select("doc_id", "line", "h1", "h2", simhash.alias("simhash"))
 
-    long_texts = docs.where(F.char_length(quoted(text_column).cast("string")) >= _LONG)
+    # A line has at most twice its characters in lower case.
+    text = quoted(text_column).cast("string")
+    has_long = F.exists(F.split(text, "\n"), lambda line: F.char_length(line) >= _LONG // 2)
+    long_texts = docs.where(F.char_length(text) >= _LONG // 2).where(has_long)
     usual = split_lines(docs, id_column, text_column).where(F.char_length("norm") < _LONG)
     long = split_lines(long_texts, id_column, text_column).where(F.char_length("norm") >= _LONG)
     return hashed(usual, 16).unionAll(hashed(long, 32))
@@ -146,10 +151,9 @@ def _distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _core(words: Column, start: Column, end: Column) -> Column:
-    """The words without so many at the start and at the end, each with the space after it."""
-    inner = F.slice(words, start + 1, F.size(words) - start - end)
-    return F.array_join(F.transform(inner, lambda word: F.concat(word, F.lit(" "))), "")
+def _core(words: Column) -> Column:
+    """The words, each with the space after it."""
+    return F.array_join(F.transform(words, lambda word: F.concat(word, F.lit(" "))), "")
 
 
 def _alike(a: Column, b: Column) -> Column:
@@ -159,13 +163,21 @@ def _alike(a: Column, b: Column) -> Column:
     return F.array_position(same, False).cast("int") - 1
 
 
+def _marks(words: Column, different: Column) -> Column:
+    """A text of one character for each word: its place in ``different``, which has fewer than ``_MARKS`` words."""
+    marks = F.transform(words, lambda word: F.lpad(F.hex(F.array_position(different, word)), 4, "0"))
+    return F.decode(F.unhex(F.array_join(marks, "")), "UTF-16BE")
+
+
 def with_similarity(pairs: DataFrame) -> DataFrame:
     """``a_norm`` and ``b_norm`` with ``similar``: whether the texts have the edit similarity.
 
-    Three shortcuts spare most of the quadratic work and change no answer. Texts with the same
+    Four shortcuts spare most of the quadratic work and change no answer. Texts with the same
     number of words need no more edits than their words one by one, so if that is few
     enough, it is settled. What texts begin or end with in common needs no edits, so
-    only what lies between is compared, and no further than the similarity allows. And it is
+    only what lies between is compared, and no further than the similarity allows. There, whole words are
+    put in, taken out or replaced first: so many of them cost no more than the longest words of both, each with its
+    space, and if that is few enough, characters are not compared. Else it is
     looked at first whether half of the edits will do, which takes half of the time.
     """
     words = pairs.withColumns({"a_words": F.split("a_norm", " "), "b_words": F.split("b_norm", " ")})
@@ -180,18 +192,32 @@ def with_similarity(pairs: DataFrame) -> DataFrame:
     words = words.withColumn("start", F.when(~F.col("settled"), _alike(a, b)))
     rest = [F.reverse(F.slice(some, start + 1, F.size(some))) for some in (a, b)]
     words = words.withColumn("end", F.when(~F.col("settled"), _alike(*rest)))
-    words = words.withColumns({"a_core": _core(a, start, end), "b_core": _core(b, start, end)})
-    within = [F.call_function("levenshtein", "a_core", "b_core", most) >= 0 for most in (F.floor(F.col("most") / 2).cast("int"), F.col("most"))]
-    return words.withColumn("similar", F.when(F.col("settled") | within[0], True).otherwise(within[1]))
-
-
-def _members(distinct: DataFrame) -> DataFrame:
-    """The lines of each key that has two or more, with the key's first line."""
+    words = words.withColumns({f"{x}_inner": F.slice(some, start + 1, F.size(some) - start - end) for x, some in (("a", a), ("b", b))})
+    words = words.withColumn("different", F.array_union("a_inner", "b_inner"))
+    marks = [F.when(F.size("different") < _MARKS, _marks(F.col(f"{x}_inner"), F.col("different"))) for x in "ab"]
+    # More of them seldom cost few enough characters.
+    words = words.withColumn("changed", F.call_function("levenshtein", *marks, F.floor(F.col("most") / 8).cast("int")))
+    lengths = F.transform(F.concat("a_inner", "b_inner"), lambda word: F.char_length(word) + 1)
+    dearest = F.when(F.col("changed") >= 0, F.slice(F.sort_array(lengths, asc=False), 1, F.col("changed")))
+    words = words.withColumn("by_place", F.coalesce(F.aggregate(dearest, F.lit(0), lambda n, x: n + x) <= F.col("most"), F.lit(False)))
+    words = words.withColumns({f"{x}_core": F.when(~F.col("by_place"), _core(F.col(f"{x}_inner"))) for x in "ab"})
+    limits = F.array(F.floor(F.col("most") / 2).cast("int"), F.col("most"))
+    within = F.exists(limits, lambda most: F.call_function("levenshtein", "a_core", "b_core", most) >= 0)
+    return words.withColumn("similar", F.when(F.col("settled") | F.col("by_place"), True).otherwise(within))
+
+
+def _members(distinct: DataFrame, most: int) -> DataFrame:
+    """The lines of each key that has two or more, but for its first line, which they have beside them.
+
+    Unlike lines meet in a key mostly two by two: where a key's only two lines are too far apart, it has none.
+    """
     keyed = distinct.where("simhash is not null").select(F.explode(block_keys(F.col("simhash"))).alias("key"), "id", "simhash").repartition("key")
     groups = keyed.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("id").alias("first"), F.min_by("simhash", "id").alias("first_hash")
+        F.count("*").alias("n"), F.min("id").alias("first"), F.min_by("simhash", "id").alias("first_hash"), F.bit_xor("simhash").alias("both")
     )
-    return keyed.join(groups.where("n > 1"), "key")
+    groups = groups.where((F.col("n") > 2) | (F.col("n") == 2) & (F.bit_count("both") <= most)).drop("both")
+    # One row of a key is few bytes, so that no rows need be sorted.
+    return keyed.join(groups.hint("shuffle_hash"), "key").where("id <> first")
 
 
 def _first_kind(a: Column, b: Column) -> Column:
@@ -234,10 +260,12 @@ def _texts(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, scratch: Scra
     return found.select("id", "norm").dropDuplicates(["id"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs whose texts are similar. Written before they are chosen: a condition would be made of the steps again, each for every use of it."""
     a = texts.select(F.col("id").alias("a"), F.col("norm").alias("a_norm"))
     b = texts.select(F.col("id").alias("b"), F.col("norm").alias("b_norm"))
-    return with_similarity(pairs.join(a, "a").join(b, "b")).where("similar").select("a", "b")
+    told = scratch.keep(with_similarity(pairs.join(a, "a").join(b, "b")).select("a", "b", "similar"), name)
+    return told.where("similar").select("a", "b")
 
 
 def line_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_distance: int = MOST_DISTANCE) -> DataFrame:
@@ -259,24 +287,26 @@ def line_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     distinct = scratch.keep(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
 
     apart = _distance(F.col("simhash"), F.col("first_hash")) > most_distance
-    members = scratch.keep(_members(distinct).withColumn("apart", apart), "members")
-    beside = members.where("id <> first and not apart")
+    members = scratch.keep(_members(distinct, most_distance).withColumn("apart", apart), "members")
+    beside = members.where("not apart")
     apart = members.where("apart and n > 2")
     with_first = beside.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     pairs = scratch.keep(with_first.unionAll(_pairs_with_all(apart, members, most_distance)).distinct(), "pairs")
     read = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).alias("text"))
     texts = scratch.keep(_texts(read, distinct, pairs, scratch), "texts")
-    links = scratch.keep(_verified(pairs, texts), "verified")
+    links = _verified(pairs, texts, scratch, "verified")
 
     # Lines near the first line by their hash that are unlike it by their text.
     unlike = beside.where("n > 2").join(links, (F.col("first") == F.col("a")) & (F.col("id") == F.col("b")), "left_anti")
     more = _pairs_with_all(unlike, members, most_distance).join(pairs, ["a", "b"], "left_anti")
-    links = links.unionAll(_verified(more, texts))
+    links = links.unionAll(_verified(more, texts, scratch, "verified-more"))
 
     roots = components(links, scratch)
-    scratch.drop("members", "pairs", "wanted", "texts", "verified")
-    members = distinct.join(roots, distinct["id"] == roots["node"], "left").select("h1", "h2", "id", "place", "root")
-    kept = scratch.keep(with_least(members, "id", "place", "keep").select("h1", "h2", "keep"), "kept")
+    scratch.drop("members", "pairs", "wanted", "texts", "verified", "verified-more")
+    linked = distinct.select("id", "place").join(roots, F.col("id") == F.col("node"))
+    linked = with_least(linked, "id", "place", "keep").select(F.col("id").alias("linked"), "keep")
+    kept = distinct.join(linked, F.col("id") == F.col("linked"), "left")
+    kept = scratch.keep(kept.select("h1", "h2", F.coalesce("keep", "place").alias("keep")), "kept")
     scratch.drop("distinct")
     found = hashed.withColumn("place", place).join(kept, ["h1", "h2"])
     return found.select(

@@ -189,6 +189,13 @@ def test_whole_words_are_compared_before_characters(spark, monkeypatch):
     assert sum(r.by_place for r in again) < sum(r.by_place for r in rows)
 
 
+def test_sums_of_counters_are_of_what_is_never_null(spark):
+    docs = spark.createDataFrame([(1, "short\n" + " ".join(BASE))], "doc_id long, text string")
+    found = lines_module.line_hashes(docs, "doc_id", "text")
+    assert {r.line: r.simhash is None for r in found.collect()} == {0: True, 1: False}
+    assert "sum((shiftrightunsigned(coalesce(" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lines_that_only_meet_in_a_key_do_not_stay(spark):
     def members(most, *hashes):
         distinct = spark.createDataFrame(list(enumerate(hashes)), "id long, simhash long")

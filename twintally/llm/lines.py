@@ -125,9 +125,11 @@ def line_hashes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         features = F.when(F.size("words") >= LEAST_WORDS, F.col("words")).when(enough, _trigrams(F.col("norm")))
         found = worded.select("doc_id", "line", "h1", "h2", features.alias("features"))
         each = found.select("doc_id", "line", "h1", "h2", F.explode_outer("features").alias("w"))
-        counted = each.groupBy("doc_id", "line", "h1", "h2").agg(F.count("w").alias("n"), *_counters(F.col("w"), bits))
+        # Sums of what is never null are quicker.
+        counters = _counters(F.coalesce("w", F.lit(0)), bits)
+        counted = each.groupBy("doc_id", "line", "h1", "h2").agg(F.count("w").alias("n"), *counters)
         lift, simhash = _majority(bits, F.col("n"))
-        return counted.withColumn("lift", lift).select("doc_id", "line", "h1", "h2", simhash.alias("simhash"))
+        return counted.withColumn("lift", lift).select("doc_id", "line", "h1", "h2", F.when(F.col("n") > 0, simhash).alias("simhash"))
 
     # A line has at most twice its characters in lower case.
     text = quoted(text_column).cast("string")

@@ -191,3 +191,55 @@ def test_numbered_tokens_are_those_of_each_text():
         assert lengths.tolist() == list(map(len, wanted)) and words == list(dict.fromkeys(w for some in wanted for w in some))
     own, words, lengths = mixing._numbered_tokens(pa.array([], pa.string()))
     assert len(own) == len(lengths) == 0
+
+
+def slow_spelling(words, spelling):
+    """Natural logarithm of each word's bytes, bit by bit; weights change after each ``_SPELT`` words."""
+    weights, found = spelling.weights.copy(), {}
+    for at in range(0, len(words), mixing._SPELT):
+        steps, seen = np.zeros_like(weights), np.zeros(len(weights))
+        for word in words[at : at + mixing._SPELT]:
+            padded, found[word] = bytes(mixing.ORDERS) + word + b" ", 0.0
+            for end in range(mixing.ORDERS, len(padded)):
+                window = np.array([int.from_bytes(padded[end - mixing.ORDERS : end + 1], "big")], np.uint64)
+                entries, bits = mixing.window_bits(window)
+                for way in range(8):
+                    odds = np.array([spelling.odds[k, entries[k, way]] for k in range(mixing.ORDERS)], float)
+                    gate = sum(bool(spelling.known[k, entries[k, way]]) for k in range(mixing.ORDERS))
+                    p = 1 / (1 + math.exp(-odds @ weights[gate]))
+                    found[word] += math.log(p if bits[way] else 1 - p)
+                    steps[gate] += (int(bits[way]) - p) * odds
+                    seen[gate] += 1
+        weights += mixing._SPELLING_RATE * steps / (seen + mixing._PRIOR)[:, None]
+    return found
+
+
+@pytest.mark.parametrize("part,piece", [(mixing._MOST_BYTES, mixing._PIECE), (500, 64)])
+def test_words_are_spelt_anew_in_each_text(monkeypatch, part, piece):
+    rng = random.Random(7)
+    made = ["".join(rng.choices("abcdeéz", k=rng.choice([1, 3, 5, 9, 90]))) for _ in range(400)]
+    texts = [None, " ".join(made[:150] * 2), "a b", " ".join(reversed(made)), " ".join(made[50:200]), "z" * 700]
+    counts = np.zeros((mixing.ORDERS, 1 << mixing.TABLE_BITS, 2))
+    entries, bits = mixing.window_bits(mixing.spelling_windows([w.encode() for w in made[:120]])[0])
+    for order in range(mixing.ORDERS):
+        np.add.at(counts[order], (entries[order], bits), 1)
+    spelling = mixing.spelling_of(counts, np.random.default_rng(0).uniform(0.1, 0.5, (mixing.ORDERS + 1, mixing.ORDERS)))
+    kinds = mixing.Kinds(np.zeros(mixing.KINDS, np.int64), np.zeros((mixing._MARKS, mixing.KINDS), np.int64))
+    monkeypatch.setattr(mixing, "_MOST_BYTES", part)
+    monkeypatch.setattr(mixing, "_PIECE", piece)
+    block = mixing.Texts(texts, kinds)
+    got = mixing.spell(block, spelling)
+    wanted = [p for text in texts for p in slow_spelling(list(dict.fromkeys(slow_tokens(text))), spelling).values()]
+    assert got == pytest.approx(wanted, rel=1e-4)
+    alone = spelling.score([block.words[w] for w in block.own[~block.hit]])
+    first = np.concatenate([np.arange(len(dict.fromkeys(slow_tokens(t)))) < mixing._SPELT for t in texts])
+    assert got[first] == pytest.approx(alone[first], rel=1e-4) and np.abs(got - alone)[~first].min() > 0
+
+
+def test_scores_follow_a_texts_own_spelling(spark):
+    rng = random.Random(5)
+    made = ["".join(rng.choices("abcdez", k=7)) for _ in range(420)]
+    rows = [(0, " ".join(made[:120])), (1, " ".join(made[120:])), (2, " ".join(reversed(made[120:])))]
+    found = {r.doc_id: r.score for r in mixing.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 0).collect()}
+    # The same unknown words: all that tells the two apart is what the weights have learnt of the words before.
+    assert abs(found[1] - found[2]) > 0.01

@@ -1,38 +1,43 @@
-"""Embedding near-dedup: spherical k-means cells, and blocked cosine products within cells.
-
-Vectors of length 1 are assigned to the cell of the centroid they are most like. Two linked
-vectors may fall on different sides of a border, so a vector near the border of another
-cell is a guest there too, and meets that cell's own vectors. A pair is at most
-``sqrt(2 - 2 * threshold)`` apart, so if a border parts it, one of the two is no
-further than half of that from the border:
-
-- ``slack="worst"`` (the default) makes guests of all vectors that near. It finds every pair, but in
-  many dimensions nearly every vector is that near to many borders.
-- ``slack="usual"`` supposes that the difference of two vectors points evenly in all directions. In
-  ``d`` dimensions its part across a border then has a spread of ``1 / sqrt(d - 1)`` of its length;
-  guests are those within two spreads. Real vectors differ most along the directions that part cells,
-  so this misses pairs.
-
-Equal vectors are one row with a count before that. A cell is cut into chunks of about
-``chunk`` rows and a task compares two chunks at a time, so a cell of any size is spread over
-tasks and memory stays bounded. A comparison gives counts of links and, for the rows that have any, one row that
-they are connected with, not the pairs.
+"""Embedding near-dedup: spherical k-means cells, and blocked cosine products of all pairs that cells do not rule out.
+
+Vectors of length 1 are assigned to the cell of the centroid they are most like. Two vectors of different cells lie on
+either side of the border halfway between the centroids, and are at least as far apart as their distances from it come to.
+A pair of a cosine of ``threshold`` is ``sqrt(2 - 2 * threshold)`` apart, so pairs whose distances come to more than
+
+- that (``slack="worst"``, the default) cannot be linked. Every pair is found.
+- four spreads are left out by ``slack="usual"``, which supposes that the difference of two vectors points evenly in all
+  directions: in ``d`` dimensions its part across a border then has a spread of ``1 / sqrt(d - 1)`` of its length.
+  Real vectors differ most along the directions that part cells, so this misses pairs.
+
+Equal vectors are one row with a count before that. A cell is cut into blocks of about ``chunk`` rows, written as one row
+each; all pairs of blocks come from a product of that table with itself, which reads it again and again but writes and
+shuffles nothing, so disk stays in proportion to the input however many pairs there are. The number of products grows
+with the square of the rows. They are taken in single precision; what comes too close to the threshold to tell is
+compared in double precision. Small cells share a block, as a product costs more to fetch than to take if blocks are small. A comparison gives counts of links and, for what is connected within neither block
+already, one row that it is connected with, not the pairs.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twintally.llm.scratch import Scratch, components, quoted, with_least
 
 THRESHOLD = 0.9
-CHUNK = 2048
+CHUNK = 8192
+STRIP = 512
+ROWS = 1 << 32  # more than a block's rows
+MOST_BLOCK = 1 << 24  # bytes of a block's vectors, about
+MOST_HELD = 1 << 26  # bytes of blocks that a task keeps for later rows
 MOST_FITTED = 32_768
 
 _SPREADS = 4.0
@@ -65,7 +70,7 @@ def spherical_kmeans(units: np.ndarray, k: int, rounds: int = 8, seed: int = 0)
 
 
 def half_width(threshold: float, dimensions: int, slack: str) -> float:
-    """How near to a border a vector is a guest beyond it."""
+    """Half of what the distances of two linked vectors from a border between them may come to."""
     worst = np.sqrt(2 - 2 * threshold) / 2
     if slack == "worst":
         return float(worst) + 1e-9
@@ -73,16 +78,9 @@ def half_width(threshold: float, dimensions: int, slack: str) -> float:
     return float(min(worst, _SPREADS / 2 * across)) + 1e-9
 
 
-def assign(units: np.ndarray, centroids: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
-    """Each vector's own cell, and for each vector and cell whether it is a guest there."""
-    like = units @ centroids.T
-    own = like.argmax(axis=1)
-    rows = np.arange(len(units))
-    apart = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))[own]
-    # Distance from the border between the own and another cell, times the centroids' distance.
-    guest = like[rows, own][:, None] - like <= width * apart
-    guest[rows, own] = False
-    return own, guest
+def assign(units: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Each vector's cell."""
+    return (units @ centroids.T).argmax(axis=1)
 
 
 def _connected(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,52 +98,147 @@ def _connected(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows, columns = lower, right
 
 
-def _compare(threshold: float):
-    """Compares two chunks of a cell, of which one at most is of guests; equal chunks are compared within.
+@dataclass
+class Block:
+    """Some distinct vectors, cell by cell: the rows as they are, of length 1 in single precision, and how many copies each has."""
 
-    Pairs of two guests of the cell are left to the cells they come from. A pair that is met in both
-    of its cells counts in the one with the smaller number.
-    """
+    cell: np.ndarray
+    raw: np.ndarray
+    copies: np.ndarray
+
+    def __post_init__(self):
+        self.units = _units(self.raw.astype(np.float64)).astype(np.float32)
+        starts = np.nonzero(np.diff(self.cell, prepend=-1))[0]
+        self.cells = list(zip(self.cell[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(self.cell)]))
+
+    def exact(self, rows: np.ndarray) -> np.ndarray:
+        return _units(self.raw[rows].astype(np.float64))
+
+
+def _linked(x: Block, y: Block, threshold: float, rows: np.ndarray, columns: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``x`` and of ``y`` among those given that have links, and which of them are linked.
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        cell, a, b = (int(rows[c].iat[0]) for c in ("cell", "a", "b"))
-        rows = rows.sort_values(["chunk", "rep"], kind="stable", ignore_index=True)
-        units = np.stack(rows["unit"].to_numpy())
-        home = rows["home"].to_numpy()
-        weight = rows["copies"].to_numpy()
-        own = home == cell
-        # Two rows of different cells meet twice if the one that is at home here is also a guest of the other's cell.
-        homes, column = np.unique(home, return_inverse=True)
-        visits = np.zeros((len(rows), len(homes)), bool)
-        visited = rows["guest_of"].where(own).dropna()
-        which = np.repeat(visited.index.to_numpy(), visited.map(len).to_numpy(np.int64))
-        cells = np.concatenate([np.zeros(0, np.int64), *visited])
-        told = np.isin(cells, homes) & (cells < cell)
-        visits[which[told], np.searchsorted(homes, cells[told])] = True
-        split = int((rows["chunk"] == a).sum()) if a != b else len(rows)
-        x = slice(0, split)
-        y = slice(split, len(rows)) if a != b else x
-        linked = units[x] @ units[y].T >= threshold
-        linked &= own[x][:, None] | own[y][None, :]
-        linked &= ~visits[x][:, column[y]]
-        linked &= ~visits[y][:, column[x]].T
-        if a == b:
-            np.fill_diagonal(linked, False)
-        left, right = np.nonzero(linked.any(axis=1))[0], np.nonzero(linked.any(axis=0))[0]
-        linked = linked[np.ix_(left, right)]
-        reps = rows["rep"].to_numpy()
-        ends = np.concatenate([reps[x][left], reps[y][right]])
-        counts = [linked @ weight[y][right]] + ([weight[x][left] @ linked] if a != b else [])
-        root = np.concatenate(_connected(linked))
-        joined = np.nonzero(root != np.arange(len(root)))[0]
-        counted = np.concatenate(counts).astype(np.int64)
-        return pd.DataFrame(
-            {
-                "a": np.concatenate([ends[: len(counted)], ends[joined]]),
-                "b": pd.array([None] * len(counted) + ends[root[joined]].tolist(), dtype="Int64"),
-                "n": np.concatenate([counted, np.zeros(len(joined), np.int64)]),
-            }
-        )
+    ``within``: both are one cell of one block; of a pair only the first way round counts.
+    """
+    none = rows[:0], columns[:0], np.zeros((0, 0), bool)
+    near = _rounding(x.units.shape[1])
+    like = x.units[rows] @ y.units[columns].T
+    if like.max(initial=-2) < threshold - near:
+        return none
+    linked = like >= threshold - near
+    if within:
+        linked &= columns[None, :] > rows[:, None]
+    left, right = np.nonzero(linked.any(axis=1))[0], np.nonzero(linked.any(axis=0))[0]
+    linked = linked[np.ix_(left, right)]
+    a, b = np.nonzero(linked & (like[np.ix_(left, right)] < threshold + near))
+    for start in range(0, len(a), 4096):
+        i, j = a[start : start + 4096], b[start : start + 4096]
+        linked[i, j] = np.einsum("nd,nd->n", x.exact(rows[left[i]]), y.exact(columns[right[j]])) >= threshold
+    return rows[left], columns[right], linked
+
+
+def _rounding(dimensions: int) -> float:
+    """More than what a product of two vectors of length 1 in single precision may be off."""
+    return (dimensions + 8) * 2.0**-23
+
+
+def _pairs(x: Block, y: Block, threshold: float, width: float, centroids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What :func:`_linked` finds, strip by strip, of two blocks or of one with itself."""
+    for cell, start, stop in x.cells:
+        for other, begin, end in y.cells:
+            if x is y and begin < start:
+                continue
+            within = x is y and begin == start
+            rows, columns = np.arange(start, stop), np.arange(begin, end)
+            apart = centroids[cell] - centroids[other]
+            length = np.linalg.norm(apart)
+            reach = np.full(len(rows), len(columns))
+            if length > 1e-6:
+                # Distances from the border, the nearest first.
+                across = (apart / length).astype(np.float32)
+                of_x, of_y = x.units[start:stop] @ across, -(y.units[begin:end] @ across)
+                by_x, by_y = np.argsort(of_x), np.argsort(of_y)
+                reach = np.searchsorted(of_y[by_y], width - of_x[by_x] + 4 * _rounding(len(across)), "right")
+                rows, columns = rows[by_x], columns[by_y]
+            for at in range(0, len(rows), STRIP):
+                if not reach[at]:
+                    break
+                some = rows[at : at + STRIP]
+                for first in range(at if within else 0, reach[at], 8 * STRIP):
+                    found = _linked(x, y, threshold, some, columns[first : min(first + 8 * STRIP, reach[at])], within)
+                    if len(found[0]):
+                        yield found
+
+
+def _within(block: Block, threshold: float, width: float, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many links each row of a block has to copies of others in it, and the first row that they connect it with."""
+    n = np.zeros(len(block.units), np.int64)
+    ends: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
+    for left, right, linked in _pairs(block, block, threshold, width, centroids):
+        n[left] += linked @ block.copies[right]
+        n[right] += block.copies[left] @ linked
+        both, own = np.append(left, right), np.concatenate(_connected(linked))
+        ends.append(np.stack([both, both[own]]))
+    root = np.arange(len(n))
+    a, b = np.concatenate(ends, axis=1)
+    while True:
+        lower = root.copy()
+        np.minimum.at(lower, a, root[b])
+        np.minimum.at(lower, b, root[a])
+        lower = lower[lower]
+        if (lower == root).all():
+            return n, root
+        root = lower
+
+
+def _between(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of rows and columns as pairs of their roots that connect what is connected."""
+    for axis, roots in enumerate((left, right)):
+        order = np.argsort(roots, kind="stable")
+        starts = np.nonzero(np.diff(roots[order], prepend=-1))[0]
+        linked = np.logical_or.reduceat(linked.take(order, axis=axis), starts, axis=axis)
+    left, right = np.unique(left), np.unique(right)
+    rows, columns = _connected(linked)
+    ends = np.append(left, -1 - right)  # a column's root by a negative number
+    root = np.append(rows, columns)
+    joined = np.nonzero(root != np.arange(len(root)))[0]
+    return ends[joined], ends[root[joined]]
+
+
+def _found(a: np.ndarray, b: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b), pa.array(n)], ["a", "b", "n"])
+
+
+def _compare(threshold: float, width: float, dimensions: int, kind: str, shared):
+    """Compares two blocks a row; counts of links are added up over all rows of a task."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: OrderedDict[int, tuple[Block, np.ndarray]] = OrderedDict()
+        counts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                sides = []
+                for side in "xy":
+                    number, cell, raw, copies, root = (batch.column(f"{side}_{c}")[row] for c in ("block", "cell", "raw", "copies", "root"))
+                    number = number.as_py()
+                    if number not in held:
+                        matrix = np.frombuffer(raw.as_buffer(), kind).reshape(-1, dimensions).copy()
+                        held[number] = Block(cell.values.to_numpy(), matrix, copies.values.to_numpy().copy()), root.values.to_numpy().astype(np.int64)
+                    held.move_to_end(number)
+                    sides.append((number, *held[number]))
+                while len(held) > 2 and sum(b.raw.nbytes + b.units.nbytes for b, _ in held.values()) > MOST_HELD:
+                    held.popitem(last=False)
+                (at_x, x, root_x), (at_y, y, root_y) = sides
+                for at, block in ((at_x, x), (at_y, y)):
+                    counts.setdefault(at, np.zeros(len(block.copies), np.int64))
+                for left, right, linked in _pairs(x, y, threshold, width, shared.value):
+                    counts[at_x][left] += linked @ y.copies[right]
+                    counts[at_y][right] += x.copies[left] @ linked
+                    a, b = (np.where(e < 0, at_y * ROWS - 1 - e, at_x * ROWS + e) for e in _between(linked, root_x[left], root_y[right]))
+                    yield _found(a, b, np.zeros(len(a), np.int64))
+        for at, n in counts.items():
+            some = np.nonzero(n)[0]
+            yield _found(at * ROWS + some, None, n[some])
 
     return compare
 
@@ -173,99 +266,106 @@ def near_vectors(
     - An empty table gives no rows. Other columns, labels among them, are not read.
     """
     spark = vectors.sparkSession
-    scratch = Scratch(spark, "embeddings")
-    raw = quoted(vector_column).cast("array<double>")
+    scratch = Scratch(spark, "embeddings", clean=True)
+    given = vectors.select(quoted(vector_column)).schema[0].dataType
+    kind = "float" if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else "double"
+    raw = quoted(vector_column).cast(f"array<{kind}>")
     rows = vectors.select(quoted(id_column).cast("long").alias("vec_id"), raw.alias("raw"))
     usable = F.coalesce(
         F.forall("raw", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("raw", lambda x: x != 0),
         F.lit(False),
     )
     # Adding 0 makes -0.0 and 0.0 the same value.
-    key = F.when(usable, F.transform("raw", lambda x: x + F.lit(0.0)))
-    rows = scratch.keep(rows.select("vec_id", key.alias("vector")), "rows")
-    distinct = rows.where("vector is not null").groupBy("vector").agg(
-        F.min("vec_id").alias("first"), F.count("*").alias("copies")
-    )
-    # A number of its own for every distinct vector, also where identifiers repeat or are missing.
-    numbered = scratch.keep(distinct.withColumn("rep", F.monotonically_increasing_id()), "distinct")
-    sizes = [row[0] for row in numbered.select(F.size("vector")).distinct().collect()]
-    found = [
-        _compare_all(numbered.where(F.size("vector") == size), scratch, size, threshold, slack, chunk, most_fitted)
-        for size in sorted(sizes)
-    ]
-    if not found:
-        own = F.col("vec_id").alias("component_id")
+    key = F.when(usable, F.transform("raw", lambda x: x + F.lit(0.0).cast(kind)))
+    rows = rows.select("vec_id", key.alias("vector"))
+    digest = F.unhex(F.sha2(F.col("vector").cast("string"), 256))
+    # About how many different vectors there are of each length; no more than the cells are chosen by it.
+    about = rows.where("vector is not null").groupBy(F.size("vector")).agg(F.approx_count_distinct(F.xxhash64("vector")))
+    sizes = {size: max(1, n) for size, n in about.collect()}
+    own = F.col("vec_id").alias("component_id")
+    if not sizes:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), own, F.lit(True).alias("kept"))
-    results = found[0]
-    for more in found[1:]:
-        results = results.unionAll(more)
-    roots = components(results.where("b is not null").select("a", "b"), scratch)
-    counts = results.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
+    heads, found, begun = [], [], 0
+    for size, total in sorted(sizes.items()):
+        some = rows.where(F.size("vector") == size).withColumn("digest", digest)
+        blocks, compared, begun = _compare_all(some, scratch, size, total, kind, begun, threshold, slack, chunk, most_fitted)
+        each = F.posexplode(F.arrays_zip("digest", "first", "copies", "n", "root")).alias("place", "at")
+        each = blocks.select("block", each).select((F.col("block") * ROWS + F.col("place")).alias("rep"), (F.col("block") * ROWS + F.col("at.root")).alias("near"), "at.*")
+        heads.append(scratch.keep(each.drop("root"), f"heads-{size}"))
+        scratch.drop(f"blocks-{size}")
+        found.append(compared)
+    numbered, results = (reduce(DataFrame.unionAll, frames) for frames in (heads, found))
+    edges = results.where("b is not null").select("a", "b")
+    edges = edges.unionAll(numbered.where("rep <> near").select(F.col("rep").alias("a"), F.col("near").alias("b")))
+    roots = components(edges, scratch)
+    counts = results.where("b is null").groupBy("a").agg(F.sum("n").alias("more"))
     joined = (
         numbered.join(counts, numbered["rep"] == counts["a"], "left")
         .join(roots, numbered["rep"] == roots["node"], "left")
-        .select("vector", "first", "rep", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "root")
+        .select("digest", "first", "rep", (F.coalesce("more", F.lit(0)) + F.col("n") + F.col("copies") - 1).alias("n_links"), "root")
     )
-    groups = with_least(joined, "rep", "first", "component_id").select("vector", "n_links", "component_id")
+    groups = with_least(joined, "rep", "first", "component_id").select("digest", "n_links", "component_id")
     groups = scratch.keep(groups, "groups")
-    scratch.drop("distinct", *[f"compared-{size}" for size in sizes])
-    linked = rows.join(groups, "vector", "left").select(
+    scratch.drop(*[f"{name}-{size}" for size in sizes for name in ("heads", "compared")])
+    linked = rows.select("vec_id", digest.alias("digest")).join(groups, "digest", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("vector").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(F.col("digest").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
     return linked.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def _compare_all(
-    numbered: DataFrame, scratch: Scratch, size: int, threshold: float, slack: str, chunk: int, most_fitted: int
-) -> DataFrame:
-    """``a, b, n``: counts of links (b null) and connecting links of the distinct vectors of one length."""
-    spark = numbered.sparkSession
-    total = numbered.count()
-    share = min(1.0, 1.1 * most_fitted / max(total, 1) + 100 / max(total, 1))
-    picked = numbered.where(F.xxhash64(F.lit("fit"), "rep") / float(2**64) + 0.5 <= share).select("rep", "vector")
-    fitted = _matrix(picked.orderBy("rep").limit(most_fitted).toArrow()["vector"])
+    rows: DataFrame, scratch: Scratch, size: int, total: int, kind: str, begun: int, threshold: float, slack: str, chunk: int, most_fitted: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """The written blocks of the distinct vectors of one length, about ``total``, numbered from ``begun``; ``a, b, n``: counts of
+    links (b null) and connecting links between blocks; and the next block's number."""
+    spark = rows.sparkSession
+    share = min(1.0, 1.1 * most_fitted / total + 100 / total)
+    picked = rows.where(F.xxhash64(F.lit("fit"), "vector") / float(2**64) + 0.5 <= share).select("digest", "vector").distinct()
+    fitted = _units(_matrix(picked.orderBy("digest").limit(most_fitted).toArrow()["vector"]))
     cells = max(1, int(np.ceil(np.sqrt(total) / 4)))
-    shared = spark.sparkContext.broadcast(spherical_kmeans(_units(fitted), min(cells, most_fitted // 16)))
-    width = half_width(threshold, size, slack)
+    centroids = spherical_kmeans(fitted, min(cells, max(1, most_fitted // 16)))
+    # A cell's share of what it was fitted on tells its blocks; small ones share a block.
+    shares = np.bincount(assign(fitted, centroids), minlength=len(centroids)) / len(fitted)
+    chunk = max(1, min(chunk, MOST_BLOCK // (size * (4 if kind == "float" else 8))))
+    parts = np.maximum(1, np.ceil(shares * total / chunk)).astype(np.int64)
+    firsts, room = np.empty(len(parts), np.int64), -1.0
+    for cell, n in enumerate(shares * total):
+        if parts[cell] > 1 or n > room:
+            firsts[cell], room = begun, chunk - n
+            begun += int(parts[cell])
+        else:
+            firsts[cell], room = begun - 1, room - n
+    shared = spark.sparkContext.broadcast(centroids)
+    width = 2 * half_width(threshold, size, slack)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(at, 1000) for at in range(0, batch.num_rows, 1000)):
-                units = _units(_matrix(part.column(2)))
-                own, guest = assign(units, shared.value, width)
-                columns = [
-                    part.column(0),
-                    part.column(1),
-                    pa.array(list(units), pa.list_(pa.float64())),
-                    pa.array(own.astype(np.int32)),
-                    pa.array([np.nonzero(g)[0].astype(np.int32) for g in guest], pa.list_(pa.int32())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["rep", "copies", "unit", "home", "guest_of"])
-
-    schema = "rep long, copies long, unit array<double>, home int, guest_of array<int>"
-    placed = scratch.keep(numbered.select("rep", "copies", "vector").mapInArrow(place, schema), f"placed-{size}")
-    met = placed.withColumn("cell", F.explode(F.concat(F.array("home"), "guest_of")))
-    # One row per cell, and cells are fewer than most_fitted. Guests have chunks of their own, numbered from -1 down:
-    # they meet the chunks of those at home, who meet one another as well.
-    at_home = F.col("home") == F.col("cell")
-    chunks = met.groupBy("cell").agg(
-        F.ceil(F.count_if(at_home) / chunk).cast("int").alias("own_chunks"),
-        F.ceil(F.count_if(~at_home) / chunk).cast("int").alias("guest_chunks"),
+                cell = assign(_units(_matrix(part.column("vector"))).astype(np.float32), shared.value.astype(np.float32))
+                mixed = np.frombuffer(b"".join(part.column("digest").to_pylist()), "<u8")[::4]
+                number = firsts[cell] + (mixed % parts[cell].astype(np.uint64)).astype(np.int64)
+                columns = [pa.array(number), pa.array(cell.astype(np.int32)), *part.columns]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "cell", *part.schema.names])
+
+    def pack(key: tuple, some: pa.Table) -> pa.Table:
+        some = some.sort_by([("cell", "ascending"), ("digest", "ascending")])
+        vectors = some["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+        block = Block(some["cell"].to_numpy(), vectors, some["copies"].to_numpy())
+        n, root = _within(block, threshold, width, shared.value)
+        lists = [some["cell"], some["digest"], some["first"], some["copies"], pa.array(n), pa.array(root.astype(np.int32))]
+        whole = [pa.ListArray.from_arrays([0, len(n)], x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x) for x in lists]
+        values = [pa.array([key[0].as_py()], pa.int64()), pa.array([vectors.tobytes()], pa.binary()), *whole]
+        return pa.Table.from_arrays(values, ["block", "raw", "cell", "digest", "first", "copies", "n", "root"])
+
+    distinct = rows.groupBy("digest").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
+    schema = f"block long, cell int, digest binary, first long, copies long, vector array<{kind}>"
+    blocks = distinct.mapInArrow(place, schema).groupBy("block").applyInArrow(
+        pack, "block long, raw binary, cell array<int>, digest array<binary>, first array<long>, copies array<long>, n array<long>, root array<int>"
     )
-    met = met.join(F.broadcast(chunks.where("own_chunks > 0")), "cell")
-    of_all = F.when(at_home, F.col("own_chunks")).otherwise(F.col("guest_chunks"))
-    number = F.pmod(F.xxhash64("rep"), of_all).cast("int")
-    met = met.withColumn("chunk", F.when(at_home, number).otherwise(-1 - number))
-    own_chunks = F.sequence(F.lit(0), F.col("own_chunks") - 1)
-    every_chunk = F.sequence(-F.col("guest_chunks"), F.col("own_chunks") - 1)
-    met = met.withColumn("other", F.explode(F.when(at_home, every_chunk).otherwise(own_chunks)))
-    units = met.select(
-        "cell", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
-        "chunk", "rep", "copies", "unit", "home", "guest_of",
-    )
-    compared = units.groupBy("cell", "a", "b").applyInPandas(_compare(threshold), "a long, b long, n long")
-    compared = scratch.keep(compared, f"compared-{size}")
-    scratch.drop(f"placed-{size}")
-    return compared
+    blocks = scratch.keep(blocks, f"blocks-{size}")
+    x, y = (blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in ("block", "cell", "raw", "copies", "root")]) for side in "xy")
+    met = x.join(y, F.col("x_block") < F.col("y_block"))
+    compared = met.mapInArrow(_compare(threshold, width, size, "<f4" if kind == "float" else "<f8", shared), "a long, b long, n long")
+    return blocks, scratch.keep(compared, f"compared-{size}"), begun

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from twintally import FileSource, JdbcSource, conform, content_check, malformed_rows, read_range, read_source, row_count_check
+from twintally.catalogue import QUERIES
 from twintally.catalogue.source_queries import derby
 from twintally.catalogue.tables import table
 from twintally.sources import read_count, source_from_mapping
@@ -293,3 +294,16 @@ def test_a_range_reads_the_folders_of_its_windows_only(spark, tmp_path):
     for wrong in ("/data/orders", "/data/%Y/%m", "/data/day=%Y/orders"):
         with pytest.raises(ValueError, match="data"):
             read_range(spark, FileSource("parquet", wrong), datetime(2024, 1, 1), datetime(2024, 1, 2))
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077"])
+@pytest.mark.parametrize(
+    "name",
+    ["check_run_file_and_database", "content_check_jdbc", "scan_jdbc_auto_bounds", "scan_jdbc_count", "scan_jdbc_partitioned",
+     "scan_jdbc_partitioned_query", "scan_jdbc_query", "scan_jdbc_table", "scan_templated_query"],
+)
+def test_database_queries_say_where_they_run(spark, sf_dir, monkeypatch, name, master):
+    """Each executor of a cluster would load a database of its own, which no other process sees."""
+    monkeypatch.setattr(spark.sparkContext, "master", master)
+    with pytest.raises(RuntimeError, match="only a local session's JVM can see"):
+        QUERIES[name](spark, sf_dir)
